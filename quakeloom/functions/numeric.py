@@ -36,21 +36,22 @@ def exact_half_even(c: ColumnOrName, digits: int) -> Column:
 
     The product with the power of ten may itself round onto a false tie. Its
     rounding error is recovered exactly by splitting the factor into halves of
-    at most 26 bits, and its sign then decides the tie.
+    at most 26 bits, and its sign then decides the tie. The argument appears
+    many times, so pass a column rather than a long expression.
     """
     x = as_col(c)
     factor = float(10 ** digits)
     product = x * factor
+    nearest = F.rint(product)
     carry = x * 134217729.0  # 2^27 + 1
     high = carry - (carry - x)
     error = (high * factor - product) + (x - high) * factor
-    on_tie = F.abs(product - F.rint(product)) == 0.5
-    nearest = (
-        F.when(on_tie & (error > 0), F.ceil(product).cast("double"))
-        .when(on_tie & (error < 0), F.floor(product).cast("double"))
-        .otherwise(F.rint(product))
+    step = (
+        F.when((product - nearest == 0.5) & (error > 0), 1.0)
+        .when((product - nearest == -0.5) & (error < 0), -1.0)
+        .otherwise(0.0)
     )
-    return nearest / factor + F.lit(0.0)
+    return (nearest + step) / factor + F.lit(0.0)
 
 
 def half_up_integer(c: ColumnOrName) -> Column:

@@ -22,17 +22,17 @@ def ladder(value: Column, steps: list[tuple[float, str]], default: str) -> Colum
     return out.otherwise(default)
 
 
-def risk_score(magnitude="magnitude", tsunami="tsunami", alert="alert", depth_km="depth_km") -> Column:
-    """0 without a magnitude, else capped magnitude points plus bonuses, at most 100."""
+def risk_points(magnitude="magnitude", tsunami="tsunami", alert="alert", depth_km="depth_km") -> Column:
+    """Capped magnitude points plus bonuses, at most 100; null without a magnitude."""
     points = F.least(known(magnitude) * 10.0, F.lit(60.0))
     wave = F.when(as_col(tsunami) != 0, 20.0).otherwise(0.0)
+    level = as_col(alert)
     bonus = F.lit(0.0)
-    for level, extra in ALERT_BONUS.items():
-        bonus = F.when(as_col(alert) == level, extra).otherwise(bonus)
+    for name, extra in ALERT_BONUS.items():
+        bonus = F.when(level == name, extra).otherwise(bonus)
     depth = known(depth_km)
     shallow = F.when((depth != 0) & (depth < 70), 5.0).otherwise(0.0)
-    total = F.least(points + wave + bonus + shallow, F.lit(100.0))
-    return F.when(known(magnitude).isNull(), 0.0).otherwise(exact_half_even(total, 2))
+    return F.when(known(magnitude).isNotNull(), F.least(points + wave + bonus + shallow, F.lit(100.0)))
 
 
 def risk_tier(score: Column | str = "risk_score") -> Column:
@@ -40,8 +40,13 @@ def risk_tier(score: Column | str = "risk_score") -> Column:
 
 
 def with_risk(df: DataFrame) -> DataFrame:
-    """Add ``risk_score`` and ``risk_tier``."""
-    return df.withColumn("risk_score", risk_score()).withColumn("risk_tier", risk_tier())
+    """Add ``risk_score`` (two digits, 0 without a magnitude) and ``risk_tier``."""
+    return (
+        df.withColumn("_points", risk_points())
+        .withColumn("risk_score", F.coalesce(exact_half_even("_points", 2), F.lit(0.0)))
+        .withColumn("risk_tier", risk_tier())
+        .drop("_points")
+    )
 
 
 def severity_band(magnitude: Column | str = "magnitude", orange_from: float = 4.0) -> Column:

@@ -55,13 +55,17 @@ def events_by_month_type(events: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, width: float, upper: float | None = None) -> DataFrame:
-    """Counts per fixed-width bin; a value at ``upper`` falls into the last bin."""
-    rows = df.filter(is_known(column))
-    index = F.floor(F.col(column) / F.lit(width))
+    """Counts per fixed-width bin; a value at ``upper`` falls into the last bin.
+
+    Missing values count as 0 in a bin of their own, which is dropped at the
+    end: a filter ahead of the grouping would repeat a computed column's work.
+    """
+    value = known(column)
+    index = F.floor(value / F.lit(width))
     if upper is not None:
         last = int(round(upper / width)) - 1
-        index = F.when(F.col(column) == upper, F.lit(last).cast("long")).otherwise(index)
-    counts = rows.groupBy(index.alias("bin")).agg(F.count("*").alias("count"))
+        index = F.when(value == upper, F.lit(last).cast("long")).otherwise(index)
+    counts = df.groupBy(index.alias("bin")).agg(F.count(value).alias("count")).filter("count > 0")
     return counts.select(
         "bin", (F.col("bin") * F.lit(width)).alias("lower"), ((F.col("bin") + 1) * F.lit(width)).alias("upper"),
         "count").orderBy("bin")
@@ -149,5 +153,5 @@ def depth_scatter(quakes: DataFrame) -> DataFrame:
 
 
 def risk_scatter(quakes: DataFrame) -> DataFrame:
-    return quakes.filter(is_known("magnitude", "risk_score")).select(
+    return quakes.filter(is_known("magnitude") & F.col("risk_score").isNotNull()).select(
         "event_id", "magnitude", "risk_score", "risk_tier")

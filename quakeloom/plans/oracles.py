@@ -36,6 +36,10 @@ def _iso(ms: str) -> str:
             f"ELSE '.' || lpad(CAST({ms} % 1000 AS VARCHAR), 3, '0') || '000' END || '+00:00'")
 
 
+def _ms(ts: str) -> str:
+    return f"(epoch_us({ts}) // 1000)"
+
+
 def _text(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -109,7 +113,7 @@ _PARTS = {
     "newest": "SELECT *, row_number() OVER (PARTITION BY event_id, county ORDER BY seq DESC) AS rn FROM fema",
     "msg": "SELECT *, CAST(event_id AS BIGINT) % 50 = 3 AS broken, CAST(event_id AS BIGINT) % 50 <> 3 AND "
            "CAST(event_id AS BIGINT) % 70 = 5 AND magnitude IS NOT NULL AS bad, CAST(event_id AS BIGINT) % 50 <> 3 AND "
-           "CAST(event_id AS BIGINT) % 70 <> 5 AND CAST(event_id AS BIGINT) % 90 = 7 AS keyless, epoch_ms(ts) AS ms FROM quakes",
+           "CAST(event_id AS BIGINT) % 70 <> 5 AND CAST(event_id AS BIGINT) % 90 = 7 AS keyless, epoch_us(ts) // 1000 AS ms FROM quakes",
     "letters": "SELECT CASE WHEN broken THEN 'undecodable' WHEN keyless THEN 'missing key' ELSE 'bad field' END AS reason, "
                "CASE WHEN bad THEN event_id END AS message_key, CASE WHEN broken THEN 'not json ' || event_id END AS value "
                "FROM msg WHERE broken OR keyless OR bad",
@@ -249,8 +253,8 @@ _add("trend_forecast", f"""SELECT CAST(CAST(last_date + INTERVAL 1 DAY * (step +
     (SELECT recent_avg_magnitude AS centre FROM ({_rates('quakes', c.AS_OF)} )), (VALUES {_draws}) AS d(step, z)""")
 
 # Parsing and messages
-_add("usgs_parse", f"""SELECT event_id, 'USGS' AS source, 'earthquake' AS type, magnitude, place, {_iso('epoch_ms(ts)')} AS time,
-    {_iso('(epoch_ms(ts) + 60000)')} AS updated, CASE WHEN latitude IS NOT NULL THEN longitude END AS longitude, latitude,
+_add("usgs_parse", f"""SELECT event_id, 'USGS' AS source, 'earthquake' AS type, magnitude, place, {_iso(_ms('ts'))} AS time,
+    {_iso(f"({_ms('ts')} + 60000)")} AS updated, CASE WHEN latitude IS NOT NULL THEN longitude END AS longitude, latitude,
     CASE WHEN latitude IS NOT NULL THEN depth_km END AS depth_km, 'reviewed' AS status, tsunami, alert,
     CAST(NULL AS INT) AS felt, 'event/' || event_id AS url, significance FROM quakes""")
 _category = "CASE WHEN num % 77 = 0 THEN 'unknown' WHEN num % 50 = 0 THEN 'tempExtremes' ELSE type END"
@@ -265,8 +269,8 @@ _add("eonet_parse", f"""SELECT event_id, 'NASA_EONET' AS source, {_category} AS
 _add("fema_parse", """SELECT event_id, state, county, incident_type, strftime(declaration_ts, '%Y-%m-%dT%H:%M:%S.000Z') AS
     declaration_date, 'Declaration ' || CAST(seq AS VARCHAR) AS title, seq % 2 = 1 AS ih_program_declared,
     seq % 2 <> 1 AS ia_program_declared, true AS pa_program_declared, false AS hm_program_declared FROM fema""")
-_add("landed_pages", f"SELECT event_id, magnitude, {_iso('epoch_ms(ts)')} AS time FROM quakes WHERE magnitude >= 2.5e0 AND "
-     "epoch_ms(epoch_ms(ts)) >= TIMESTAMP '2024-01-05' AND epoch_ms(epoch_ms(ts)) < TIMESTAMP '2024-01-20'")
+_add("landed_pages", f"SELECT event_id, magnitude, {_iso(_ms('ts'))} AS time FROM quakes WHERE magnitude >= 2.5e0 AND "
+     "epoch_ms(epoch_us(ts) // 1000) >= TIMESTAMP '2024-01-05' AND epoch_ms(epoch_us(ts) // 1000) < TIMESTAMP '2024-01-20'")
 _add("category_map", """SELECT type, count(*) AS count, CASE type WHEN 'wildfire' THEN 'Wildfire' WHEN 'storm' THEN 'Storm'
     WHEN 'ice' THEN 'Ice' WHEN 'dust_haze' THEN 'Dust_Haze' ELSE 'Tempextremes' END AS title FROM
     (SELECT ['wildfire', 'storm', 'ice', 'dust_haze', 'tempExtremes'][num % 5 + 1] AS type FROM parsed_events) GROUP BY type""")
@@ -276,7 +280,7 @@ _add("decode_messages", f"""SELECT event_id, 'USGS' AS source, CASE WHEN NOT bad
 _add("dead_letter", "SELECT * FROM letters")
 _add("kafka_records", "SELECT event_id || '-' || county || '-summaries' AS key, state, seq FROM fema")
 _add("ingest_window", f"""SELECT 'earthquake' AS load, event_id, count(*) AS count FROM quakes WHERE magnitude >= 2.5e0 AND
-    epoch_ms(epoch_ms(ts)) >= TIMESTAMP '2024-01-29' AND epoch_ms(epoch_ms(ts)) < TIMESTAMP '2024-01-31' GROUP BY 2
+    epoch_ms(epoch_us(ts) // 1000) >= TIMESTAMP '2024-01-29' AND epoch_ms(epoch_us(ts) // 1000) < TIMESTAMP '2024-01-31' GROUP BY 2
     UNION ALL SELECT 'open_event', event_id, count(*) FROM parsed_events WHERE num % 4 <> 0 AND latitude IS NOT NULL AND
     date_trunc('second', last_ts) >= TIMESTAMP '{c.AS_OF}' - INTERVAL {c.OPEN_DAYS} DAY GROUP BY 2
     UNION ALL SELECT 'closed_event', event_id, count(*) FROM parsed_events WHERE num % 4 = 0 GROUP BY 2
@@ -292,7 +296,7 @@ _add("unseen_anti_join", f"SELECT event_id, magnitude, 1 AS pass FROM quakes WHE
 _add("unique_key_check", "SELECT event_id, county, count(*) AS rows FROM fema GROUP BY 1, 2 HAVING count(*) > 1")
 _add("stream_scored", f"""SELECT event_id, magnitude, risk_score, risk_tier, latitude IS NOT NULL AND longitude IS NOT NULL AS located,
     CASE WHEN latitude IS NOT NULL THEN longitude END AS lon, CASE WHEN longitude IS NOT NULL THEN latitude END AS lat,
-    {_text('epoch_ms(epoch_ms(s.ts))')} AS ts FROM scored s""")
+    {_text('epoch_ms(epoch_us(s.ts) // 1000)')} AS ts FROM scored s""")
 _add("stream_dead_letters", "SELECT reason, message_key FROM letters")
 _add("stream_dedup", "SELECT event_id, magnitude FROM quakes")
 _add("stream_daily_cells", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, grid_lat, grid_lon, count(magnitude) AS event_count, "
