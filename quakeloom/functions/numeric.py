@@ -54,6 +54,16 @@ def exact_half_even(c: ColumnOrName, digits: int) -> Column:
     return (nearest + step) / factor + F.lit(0.0)
 
 
+def settled(c: ColumnOrName) -> Column:
+    """A mean or deviation cut to nine decimals.
+
+    Sums of doubles differ in their last bits with the order of the rows; cut
+    first, a mean that lies on a rounding tie rounds the same way on any
+    partitioning.
+    """
+    return F.rint(as_col(c) * 1e9) / 1e9
+
+
 def half_up_integer(c: ColumnOrName) -> Column:
     """Nearest whole number, ties away from zero, without decimal arithmetic."""
     x = as_col(c)

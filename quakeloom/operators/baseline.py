@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeloom.functions import grid
-from quakeloom.functions.numeric import exact_half_even, is_known, known
+from quakeloom.functions.numeric import exact_half_even, is_known, known, settled
 from quakeloom.session import materialise
 
 CELL = grid.CELL
@@ -45,12 +45,12 @@ def thresholds(cells: DataFrame) -> DataFrame:
         span_days(F.min("first_ts"), F.max("last_ts")).alias("historical_span_days"),
     )
     return totals.select(
-        exact_half_even("mean", 2).alias("global_mean_count"),
-        exact_half_even("std", 2).alias("global_std_count"),
-        exact_half_even(F.col("mean") / F.col("historical_span_days"), 6).alias("global_daily_rate"),
+        exact_half_even(settled("mean"), 2).alias("global_mean_count"),
+        exact_half_even(settled("std"), 2).alias("global_std_count"),
+        exact_half_even(settled(F.col("mean") / F.col("historical_span_days")), 6).alias("global_daily_rate"),
         F.lit(SPIKE_MULTIPLIER).alias("spike_multiplier"),
-        exact_half_even(F.col("mean") + 2 * F.col("std"), 2).alias("threshold_moderate"),
-        exact_half_even(F.col("mean") + 3 * F.col("std"), 2).alias("threshold_high"),
+        exact_half_even(settled(F.col("mean") + 2 * F.col("std")), 2).alias("threshold_moderate"),
+        exact_half_even(settled(F.col("mean") + 3 * F.col("std")), 2).alias("threshold_high"),
         "total_cells",
         "historical_span_days",
     )
@@ -62,9 +62,9 @@ def cell_baselines(cells: DataFrame, stats: DataFrame) -> DataFrame:
         *CELL,
         F.col("event_count").alias("historical_count"),
         exact_half_even(F.col("event_count") / F.col("historical_span_days"), 6).alias("daily_rate"),
-        exact_half_even("avg_mag", 3).alias("avg_mag"),
+        exact_half_even(settled("avg_mag"), 3).alias("avg_mag"),
         exact_half_even("max_mag", 2).alias("max_mag"),
-        exact_half_even("std_mag", 3).alias("std_mag"),
+        exact_half_even(settled("std_mag"), 3).alias("std_mag"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakeloom.functions.numeric import known, scaled_half_even
+from quakeloom.functions.numeric import known, scaled_half_even, settled
 from quakeloom.functions.text import region_of
 from quakeloom.operators.baseline import located
 from quakeloom.operators.rows import top
@@ -19,12 +19,12 @@ def regional_risk(quakes: DataFrame) -> DataFrame:
     magnitude = known("magnitude")
     measures = [
         F.count(magnitude).alias("eq_count"),
-        scaled_half_even(F.avg(magnitude), 2).alias("avg_mag"),
+        scaled_half_even(settled(F.avg(magnitude)), 2).alias("avg_mag"),
         F.max(magnitude).alias("max_mag"),
     ]
     scored = "risk_score" in quakes.columns
     if scored:
-        measures.append(scaled_half_even(F.avg("risk_score"), 1).alias("avg_risk"))
+        measures.append(scaled_half_even(settled(F.avg("risk_score")), 1).alias("avg_risk"))
     place = region_of() if "place" in quakes.columns else F.lit("Unknown")
     profile = (
         F.when(F.col("max_mag") >= 6.0, "Critical Seismic Zone")
@@ -44,5 +44,5 @@ def most_active(quakes: DataFrame, n: int = 15) -> DataFrame:
     """Regions by number of events; rows without coordinates count here."""
     magnitude = known("magnitude")
     grouped = quakes.groupBy(region_of().alias("region")).agg(
-        F.count(magnitude).alias("count"), scaled_half_even(F.avg(magnitude), 2).alias("avg_mag"))
+        F.count(magnitude).alias("count"), scaled_half_even(settled(F.avg(magnitude)), 2).alias("avg_mag"))
     return top(grouped, n, F.desc("count"), F.asc("region"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakeloom.functions.numeric import is_known, known, scaled_half_even
+from quakeloom.functions.numeric import is_known, known, scaled_half_even, settled
 from quakeloom.functions.scoring import depth_category, severity_band
 from quakeloom.functions.text import minute_text, shown, title_case
 from quakeloom.operators.baseline import located
@@ -77,7 +77,7 @@ def key_figures(quakes: DataFrame, events: DataFrame, states: DataFrame) -> Data
     risky = F.count_if(F.col("risk_score") >= 70) if "risk_score" in quakes.columns else F.lit(0).cast("long")
     waves = F.sum("tsunami") if "tsunami" in quakes.columns else F.lit(0)
     quake_side = quakes.agg(
-        F.coalesce(scaled_half_even(F.avg(magnitude), 2), F.lit(0.0)).alias("avg_mag"),
+        F.coalesce(scaled_half_even(settled(F.avg(magnitude)), 2), F.lit(0.0)).alias("avg_mag"),
         F.coalesce(scaled_half_even(F.max(magnitude), 1), F.lit(0.0)).alias("max_mag"),
         F.count_if(magnitude >= 6.0).alias("critical_quakes"),
         F.coalesce(waves, F.lit(0)).cast("long").alias("tsunami_warnings"),

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakeloom.functions.numeric import exact_half_even, is_known, known
+from quakeloom.functions.numeric import exact_half_even, is_known, known, settled
 from quakeloom.functions.text import weekday_name
 from quakeloom.operators.baseline import span_days
 
@@ -40,7 +40,7 @@ def patterns(counts: DataFrame) -> DataFrame:
     grouped = sets.agg(
         F.grouping_id().alias("_gid"),
         F.sum("n").alias("count"),
-        exact_half_even(F.sum("s") / F.sum("n"), 3).alias("avg_mag"),
+        exact_half_even(settled(F.sum("s") / F.sum("n")), 3).alias("avg_mag"),
     )
     level = F.when(F.col("_gid") == 0b101, "month").when(F.col("_gid") == 0b001, "year_month").otherwise("day_of_week")
     return grouped.select(level.alias("level"), *keys, "count", "avg_mag").orderBy("level", *keys)
@@ -74,7 +74,7 @@ def rates(counts: DataFrame, recent_days: int = RECENT_DAYS) -> DataFrame:
     return totals.select(
         exact_half_even(F.col("total_events") / F.col("total_days"), 2).alias("daily_event_rate"),
         exact_half_even(F.col("recent_n") / F.lit(float(recent_days)), 2).alias("recent_daily_rate"),
-        F.coalesce(exact_half_even(F.try_divide("recent_s", "recent_n"), 3), F.lit(0.0)).alias("recent_avg_magnitude"),
+        F.coalesce(exact_half_even(settled(F.try_divide("recent_s", "recent_n")), 3), F.lit(0.0)).alias("recent_avg_magnitude"),
         "total_events", "total_days",
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakeloom.functions import grid
-from quakeloom.functions.numeric import is_known
+from quakeloom.functions.numeric import exact_half_even, is_known, settled
 from quakeloom.functions.scoring import with_risk
 from quakeloom.functions.text import category_name, title_case
 from quakeloom.ml import regions, risk_forest
@@ -63,7 +63,7 @@ def _moment_text(ts: str) -> Column:
 
 
 def _six(c: str) -> Column:
-    return F.round(c, 6).alias(c)
+    return exact_half_even(settled(c), 6).alias(c)
 
 
 # Scoring

@@ -18,6 +18,11 @@ def _exact(x: str, digits: int) -> str:
     return f"(CAST(printf('%.{digits}f', {x}) AS DOUBLE) + 0e0)"
 
 
+def _mean(x: str, digits: int) -> str:
+    """The same for a mean or deviation, first cut to nine decimals."""
+    return _exact(f"round({x}, 9)", digits)
+
+
 def _scaled(x: str, digits: int) -> str:
     factor = f"{10 ** digits}e0"
     return f"(round_even(({x}) * {factor}, 0) / {factor} + 0e0)"
@@ -70,13 +75,13 @@ _PARTS = {
     "span": "SELECT greatest(coalesce(datediff('day', min(ts), max(ts)), 1), 1) AS days FROM history",
     "totals": "SELECT avg(event_count) AS mean, stddev_samp(event_count) AS std, count(*) AS n, "
               "(SELECT days FROM span) AS days FROM cells",
-    "limits": f"SELECT {_exact('mean', 2)} AS global_mean_count, {_exact('std', 2)} AS global_std_count, "
-              f"{_exact('mean / days', 6)} AS global_daily_rate, 3e0 AS spike_multiplier, "
-              f"{_exact('mean + 2 * std', 2)} AS threshold_moderate, {_exact('mean + 3 * std', 2)} AS threshold_high, "
+    "limits": f"SELECT {_mean('mean', 2)} AS global_mean_count, {_mean('std', 2)} AS global_std_count, "
+              f"{_mean('mean / days', 6)} AS global_daily_rate, 3e0 AS spike_multiplier, "
+              f"{_mean('mean + 2 * std', 2)} AS threshold_moderate, {_mean('mean + 3 * std', 2)} AS threshold_high, "
               "n AS total_cells, CAST(days AS INT) AS historical_span_days FROM totals",
     "baselines": "SELECT grid_lat, grid_lon, event_count AS historical_count, "
                  f"{_exact('event_count / CAST((SELECT days FROM span) AS DOUBLE)', 6)} AS daily_rate, "
-                 f"{_exact('avg_mag', 3)} AS avg_mag, {_exact('max_mag', 2)} AS max_mag, {_exact('std_mag', 3)} AS std_mag "
+                 f"{_mean('avg_mag', 3)} AS avg_mag, {_exact('max_mag', 2)} AS max_mag, {_mean('std_mag', 3)} AS std_mag "
                  "FROM cells",
     "live": "SELECT grid_lat, grid_lon, count(magnitude) AS event_count, max(magnitude) AS max_mag, "
             "arg_max(coalesce(place, 'None'), (ts, event_id)) AS top_place FROM located GROUP BY 1, 2",
@@ -104,8 +109,8 @@ _PARTS = {
             "WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2) USING (grid_lat, grid_lon)",
     "regions": f"SELECT *, CASE WHEN max_mag >= 6 THEN 'Critical Seismic Zone' WHEN avg_mag >= 4.5e0 THEN "
                "'High Seismic Activity' WHEN eq_count >= 10 THEN 'Frequent Activity' ELSE 'Low Activity' END AS profile FROM "
-               f"(SELECT {REGION} AS region, count(magnitude) AS eq_count, {_scaled('avg(magnitude)', 2)} AS avg_mag, "
-               f"max(magnitude) AS max_mag, {_scaled('avg(risk_score)', 1)} AS avg_risk FROM scored "
+               f"(SELECT {REGION} AS region, count(magnitude) AS eq_count, {_scaled('round(avg(magnitude), 9)', 2)} AS avg_mag, "
+               f"max(magnitude) AS max_mag, {_scaled('round(avg(risk_score), 9)', 1)} AS avg_risk FROM scored "
                "WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1)",
     "trend": f"SELECT CAST(ts AS DATE) AS date, count(*) AS count, avg(magnitude) AS avg_mag FROM quakes "
              f"WHERE ts >= TIMESTAMP '{c.TREND_SINCE}' GROUP BY 1",
@@ -154,8 +159,8 @@ _add("tier_counts", "SELECT risk_tier AS tier, count(*) AS count FROM scored GRO
 # Baselines and anomalies
 _add("cell_baseline", "SELECT * FROM baselines")
 _add("baseline_thresholds", "SELECT * FROM limits")
-_add("cell_statistics", "SELECT grid_lat, grid_lon, event_count, round(avg_mag, 6) AS avg_mag, max_mag, "
-     "round(std_mag, 6) AS std_mag FROM cells")
+_add("cell_statistics", f"SELECT grid_lat, grid_lon, event_count, {_mean('avg_mag', 6)} AS avg_mag, max_mag, "
+     f"{_mean('std_mag', 6)} AS std_mag FROM cells")
 _add("live_cells", "SELECT grid_lat, grid_lon, event_count, max_mag FROM live")
 _add("nearby_events_range", "SELECT l.grid_lat, l.grid_lon, l.event_count, coalesce(n.nearby, 0) AS nearby, "
      "coalesce(n.by_name, '') AS types FROM live l LEFT JOIN nearby n USING (grid_lat, grid_lon)")
@@ -176,11 +181,11 @@ _add("hazard_correlation_top", "SELECT * FROM corr ORDER BY eq_count DESC, grid_
 # Regions
 _add("regional_risk", "SELECT * FROM regions")
 _add("regional_leaderboard", "SELECT * FROM regions ORDER BY avg_risk DESC, region LIMIT 20")
-_add("top_regions", f"SELECT {REGION} AS region, count(magnitude) AS count, {_scaled('avg(magnitude)', 2)} AS avg_mag "
+_add("top_regions", f"SELECT {REGION} AS region, count(magnitude) AS count, {_scaled('round(avg(magnitude), 9)', 2)} AS avg_mag "
      "FROM quakes GROUP BY 1 ORDER BY count DESC, region LIMIT 15")
 
 # Reports
-_add("kpis", f"""SELECT coalesce({_scaled('avg(magnitude)', 2)}, 0e0) AS avg_mag,
+_add("kpis", f"""SELECT coalesce({_scaled('round(avg(magnitude), 9)', 2)}, 0e0) AS avg_mag,
     coalesce({_scaled('max(magnitude)', 1)}, 0e0) AS max_mag, count(*) FILTER (magnitude >= 6) AS critical_quakes,
     CAST(coalesce(sum(tsunami), 0) AS BIGINT) AS tsunami_warnings, count(*) FILTER (risk_score >= 70) AS high_risk,
     count(*) AS quakes, (SELECT count(*) FROM eonet ) AS active_events,
@@ -202,7 +207,7 @@ _add("tsunami_prob_top", "SELECT event_id, place, magnitude, depth_km, tsunami_p
 _add("declarations_by_state", "SELECT state, count(*) AS count, array_to_string(list_sort(list(DISTINCT incident_type)), '|') "
      "AS types FROM fema GROUP BY state")
 _add("top_states", "SELECT state, count(*) AS count FROM fema GROUP BY state ORDER BY count DESC, state NULLS LAST LIMIT 20")
-_add("daily_trend", "SELECT CAST(date AS VARCHAR) AS date, count, round(avg_mag, 6) AS avg_mag FROM trend")
+_add("daily_trend", f"SELECT CAST(date AS VARCHAR) AS date, count, {_mean('avg_mag', 6)} AS avg_mag FROM trend")
 _add("events_by_month_type", "SELECT coalesce(strftime(last_ts, '%Y-%m'), 'NaT') AS month, type, count(*) AS count FROM eonet "
      "WHERE type IS NOT NULL GROUP BY 1, 2")
 _add("depth_categories", f"SELECT {DEPTH} AS category, count(*) AS count FROM quakes WHERE {DEPTH} IS NOT NULL GROUP BY 1")
@@ -223,7 +228,7 @@ _add("depth_scatter", f"SELECT event_id, depth_km, magnitude, {DEPTH} AS depth_c
 _add("risk_scatter", "SELECT event_id, magnitude, risk_score, risk_tier FROM scored WHERE magnitude IS NOT NULL")
 
 # Seasons
-_avg3 = _exact("sum(magnitude) / count(*)", 3)
+_avg3 = _mean("sum(magnitude) / count(*)", 3)
 _add("seasonal_pattern", f"""SELECT 'month' AS level, CAST(NULL AS INT) AS year, CAST(month(ts) AS INT) AS month,
     CAST(NULL AS INT) AS day_of_week, count(*) AS count, {_avg3} AS avg_mag FROM hist GROUP BY month(ts)
     UNION ALL SELECT 'year_month', CAST(year(ts) AS INT), CAST(month(ts) AS INT), NULL, count(*), {_avg3} FROM hist
@@ -237,7 +242,7 @@ def _rates(table: str, as_of: str) -> str:
     days = "greatest(coalesce(datediff('day', min(ts), max(ts)), 1), 1)"
     return (f"SELECT {_exact(f'count(*) / CAST({days} AS DOUBLE)', 2)} AS daily_event_rate, "
             f"{_exact(f'count(*) FILTER ({recent}) / 30e0', 2)} AS recent_daily_rate, "
-            f"coalesce({_exact(f'avg(magnitude) FILTER ({recent})', 3)}, 0e0) AS recent_avg_magnitude, "
+            f"coalesce({_mean(f'avg(magnitude) FILTER ({recent})', 3)}, 0e0) AS recent_avg_magnitude, "
             f"count(*) AS total_events, CAST({days} AS INT) AS total_days FROM {table} WHERE magnitude IS NOT NULL")
 
 
@@ -246,8 +251,8 @@ _add("weekday_pattern", "SELECT ['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat'
      "FROM hist GROUP BY 1")
 _draws = ", ".join(f"({i}, {z!r}::DOUBLE)" for i, z in enumerate(forecast_draws()))
 _add("trend_forecast", f"""SELECT CAST(CAST(last_date + INTERVAL 1 DAY * (step + 1) AS DATE) AS VARCHAR) AS date,
-    round(centre + sigma * z, 6) AS value, round(greatest(0e0, centre + sigma * z - 1.96e0 * sigma), 6) AS lower,
-    round(centre + sigma * z + 1.96e0 * sigma, 6) AS upper
+    {_mean('centre + sigma * z', 6)} AS value, {_mean('greatest(0e0, centre + sigma * z - 1.96e0 * sigma)', 6)} AS lower,
+    {_mean('centre + sigma * z + 1.96e0 * sigma', 6)} AS upper
     FROM (SELECT max(date) AS last_date, stddev_samp(avg_mag) * 0.5e0 AS sigma FROM
           (SELECT * FROM trend ORDER BY date DESC LIMIT 7)),
     (SELECT recent_avg_magnitude AS centre FROM ({_rates('quakes', c.AS_OF)} )), (VALUES {_draws}) AS d(step, z)""")
@@ -305,12 +310,13 @@ _add("stream_daily_cells", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, gri
 # Learning
 _add("training_window", f"SELECT event_id, magnitude, {_text('h.ts')} AS ts FROM hist h")
 _add("stratified_sample", "SELECT event_id, magnitude FROM sampled")
-_add("rf_features", """SELECT event_id, magnitude, greatest(coalesce(depth_km, 33e0), 0e0) AS depth_km,
+_add("rf_features", f"""SELECT event_id, magnitude, greatest(coalesce(depth_km, 33e0), 0e0) AS depth_km,
     coalesce(tsunami, 0) AS tsunami, coalesce(alert, 'none') AS alert, CAST(month(ts) AS INT) AS month,
     CAST(hour(ts) AS INT) AS hour_of_day, CAST(dayofweek(ts) + 1 AS INT) AS day_of_week,
     CAST(greatest(coalesce(depth_km, 33e0), 0e0) < 70 AS INT) AS is_shallow,
     CAST(coalesce(depth_km, 33e0) >= 70 AND coalesce(depth_km, 33e0) < 300 AS INT) AS is_intermediate,
-    round(ln(1e0 + greatest(coalesce(depth_km, 33e0), 0e0)), 6) AS log_depth, round(magnitude * magnitude, 6) AS mag_squared
+    {_mean('ln(1e0 + greatest(coalesce(depth_km, 33e0), 0e0))', 6)} AS log_depth,
+    {_mean('magnitude * magnitude', 6)} AS mag_squared
     FROM quakes WHERE magnitude IS NOT NULL""")
 _add("rf_label", f"""SELECT event_id, sig_norm, {TIER.format('sig_norm')} AS risk_tier FROM (SELECT event_id,
     CAST(round(CAST(CAST(CASE WHEN significance > 1000 THEN 100e0 WHEN significance < 0 THEN 0e0 ELSE significance / 10e0 END
@@ -320,8 +326,8 @@ _add("dataset_counts", """SELECT CASE WHEN magnitude < 4 THEN 'low' WHEN magnitu
     CASE WHEN v < 0.8e0 THEN 'train' ELSE 'test' END AS part, count(*) AS count FROM sampled WHERE significance IS NOT NULL
     GROUP BY 1, 2""")
 _add("region_features", f"""SELECT {_batch('latitude', 10)} AS grid_lat, {_batch('longitude', 10)} AS grid_lon,
-    count(*) AS eq_count, round(avg(magnitude), 6) AS avg_mag, max(magnitude) AS max_mag,
-    round(avg(coalesce(depth_km, 33e0)), 6) AS avg_depth, round(coalesce(stddev_samp(magnitude), 0e0), 6) AS mag_variability
+    count(*) AS eq_count, {_mean('avg(magnitude)', 6)} AS avg_mag, max(magnitude) AS max_mag,
+    {_mean('avg(coalesce(depth_km, 33e0))', 6)} AS avg_depth, {_mean('coalesce(stddev_samp(magnitude), 0e0)', 6)} AS mag_variability
     FROM quakes WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND magnitude IS NOT NULL GROUP BY 1, 2""")
 _add("stats_roundtrip", "SELECT CAST(grid_lat AS VARCHAR) || ',' || CAST(grid_lon AS VARCHAR) AS cell, historical_count, "
      "daily_rate, avg_mag, max_mag, std_mag FROM baselines")
