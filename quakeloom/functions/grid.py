@@ -36,5 +36,6 @@ def centres_within_reach(c: Column | str, size: float) -> Column:
     inclusive of rounding, so callers keep the exact ``between`` test.
     """
     q = as_col(c) / float(size)
-    steps = F.sequence(F.ceil(q - 1), F.floor(q + 1))
-    return F.transform(steps, lambda k: k.cast("double") * float(size))
+    low, high = F.ceil(q - 1).cast("double"), F.floor(q + 1).cast("double")
+    ends = F.array(low * float(size), high * float(size))
+    return F.when(high - low == 2, F.array(low * float(size), (low + 1) * float(size), high * float(size))).otherwise(ends)

@@ -63,10 +63,12 @@ def kafka_publish(messages: DataFrame, topic: str, brokers: str) -> None:
 def decode(records: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """Flatten JSON values to the declared columns; unknown fields are dropped.
 
-    Text that does not fit the schema is kept in ``_corrupt_record``.
+    Text that does not fit the schema is kept in ``_corrupt_record``. The text
+    is parsed once, in a generator: as a projection the optimizer would copy
+    the parse into every later filter on the parsed columns.
     """
     parsed = F.from_json("value", f"{schema}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
-    return records.select(*keep, "value", parsed.alias("d")).select(*keep, "value", "d.*")
+    return records.select(*keep, "value", F.inline(F.array(parsed)))
 
 
 def _keyless(key: str) -> Column:
