@@ -11,11 +11,11 @@ from quakeloom.functions.numeric import is_known, known, scaled_half_even, settl
 from quakeloom.functions.scoring import depth_category, severity_band
 from quakeloom.functions.text import minute_text, shown, title_case
 from quakeloom.operators.baseline import located
-from quakeloom.operators.rows import existing, min_magnitude, of_types, top
+from quakeloom.operators.rows import at_least, existing, of_types, top
 
 
 def recent_quakes(quakes: DataFrame, n: int | None = 500, floor: float = 0.0) -> DataFrame:
-    return top(min_magnitude(quakes, floor), n, F.desc_nulls_last("ts"), F.asc("event_id"))
+    return top(at_least(quakes, "magnitude", floor), n, F.desc_nulls_last("ts"), F.asc("event_id"))
 
 
 def recent_events(events: DataFrame, n: int | None = 200, types: Sequence[str] | None = None) -> DataFrame:
@@ -91,7 +91,7 @@ def key_figures(quakes: DataFrame, events: DataFrame, states: DataFrame) -> Data
 
 def alert_feed(quakes: DataFrame, events: DataFrame, n_quakes: int = 20, n_events: int = 10) -> DataFrame:
     """Strong earthquakes, then the newest natural events, in display order."""
-    strong = top(quakes.filter(known("magnitude") >= 5.0), n_quakes, F.desc("magnitude"), F.asc("event_id"))
+    strong = top(at_least(quakes, "magnitude", 5.0), n_quakes, F.desc("magnitude"), F.asc("event_id"))
     first = strong.select(
         F.lit(1).alias("source_rank"), severity_band("magnitude", 5.0).alias("severity"),
         F.concat(F.lit("M "), F.col("magnitude").cast("string")).alias("badge"),
@@ -119,12 +119,12 @@ TSUNAMI_COLUMNS = ["event_id", "place", "magnitude", "depth_km", "tsunami_prob",
 
 def high_risk_table(quakes: DataFrame, n: int = 25) -> DataFrame:
     order = "risk_score" if "risk_score" in quakes.columns else "magnitude"
-    strong = existing(quakes.filter(known("magnitude") >= 5.5), HIGH_RISK_COLUMNS)
+    strong = existing(at_least(quakes, "magnitude", 5.5), HIGH_RISK_COLUMNS)
     return top(strong, n, F.desc_nulls_last(order), F.asc("event_id"))
 
 
 def tsunami_probabilities(quakes: DataFrame, n: int = 15) -> DataFrame:
-    likely = existing(quakes.filter(known("tsunami_prob") >= 0.10), TSUNAMI_COLUMNS)
+    likely = existing(at_least(quakes, "tsunami_prob", 0.10), TSUNAMI_COLUMNS)
     return top(likely, n, F.desc("tsunami_prob"), F.asc("event_id"))
 
 

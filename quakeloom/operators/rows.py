@@ -57,8 +57,10 @@ def of_types(df: DataFrame, types: Sequence[str] | None) -> DataFrame:
     return df.filter(F.col("type").isin(*types)) if types else df
 
 
-def min_magnitude(df: DataFrame, floor: float) -> DataFrame:
-    return df.filter((F.col("magnitude") >= floor) & ~F.isnan("magnitude"))
+def at_least(df: DataFrame, column: str, floor: float) -> DataFrame:
+    """Rows whose value reaches the floor. The bare comparison goes down to the
+    scan; NaN, which sorts above every number, is taken out after it."""
+    return df.filter((F.col(column) >= floor) & ~F.isnan(column))
 
 
 def since(df: DataFrame, ts: str, moment: str) -> DataFrame:
