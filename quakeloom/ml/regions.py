@@ -10,7 +10,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quakeloom.functions.numeric import exact_half_even
 from quakeloom.operators.baseline import region_features
 from quakeloom.session import materialise
 
@@ -87,10 +86,3 @@ def cluster_profiles(assigned: DataFrame) -> DataFrame:
 
 def save(fitted: RegionModel, path: str) -> None:
     fitted.model.write().overwrite().save(path)
-
-
-def summary(fitted: RegionModel) -> DataFrame:
-    """Stored description: one row per cluster with the chosen k."""
-    return cluster_profiles(fitted.assignments()).select(
-        F.lit(fitted.k).alias("k"), "cluster_id", "label", "region_count",
-        exact_half_even("avg_eq_count", 3).alias("avg_eq_count"))

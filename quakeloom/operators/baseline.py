@@ -17,6 +17,11 @@ def located(quakes: DataFrame) -> DataFrame:
     return quakes.filter(is_known("latitude", "longitude"))
 
 
+def one_row(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns of a one-row frame, as an aggregate that cannot have more."""
+    return F.broadcast(df.agg(*[F.max(c).alias(c) for c in columns]))
+
+
 def cell_stats(quakes: DataFrame, size: float = 5.0, mode: str = grid.BATCH) -> DataFrame:
     """Count, mean, maximum and sample deviation of magnitude per cell, with the
     cell's time range so that the global span needs no second scan."""
@@ -58,7 +63,7 @@ def thresholds(cells: DataFrame) -> DataFrame:
 
 def cell_baselines(cells: DataFrame, stats: DataFrame) -> DataFrame:
     """Stored per-cell record: rate per day over the whole history and rounded statistics."""
-    return cells.crossJoin(F.broadcast(stats.select("historical_span_days"))).select(
+    return cells.crossJoin(one_row(stats, "historical_span_days")).select(
         *CELL,
         F.col("event_count").alias("historical_count"),
         exact_half_even(F.col("event_count") / F.col("historical_span_days"), 6).alias("daily_rate"),
@@ -90,7 +95,7 @@ def rate_spikes(
     base = baselines.select(*CELL, "daily_rate")
     rated = (
         counts.join(base, CELL, "left")
-        .crossJoin(F.broadcast(stats.select("global_daily_rate", "spike_multiplier")))
+        .crossJoin(one_row(stats, "global_daily_rate", "spike_multiplier"))
         .withColumn("window_rate", F.col("window_count") / F.lit(float(window_days)))
         .withColumn("baseline_rate", F.coalesce("daily_rate", "global_daily_rate"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quakeloom.functions.numeric import exact_half_even, is_known, known, settled
 from quakeloom.functions.text import weekday_name
-from quakeloom.operators.baseline import span_days
+from quakeloom.operators.baseline import one_row, span_days
 
 RECENT_DAYS = 30
 
@@ -106,7 +106,7 @@ def trend_forecast(trend: DataFrame, centre: DataFrame | None = None, days: int
         F.max("date").alias("last_date"), F.avg("avg_mag").alias("tail_mean"),
         (F.stddev_samp("avg_mag") * 0.5).alias("sigma"))
     if centre is not None:
-        base = base.crossJoin(F.broadcast(centre.select("recent_avg_magnitude")))
+        base = base.crossJoin(one_row(centre, "recent_avg_magnitude"))
         middle = F.coalesce("recent_avg_magnitude", "tail_mean")
     else:
         middle = F.col("tail_mean")

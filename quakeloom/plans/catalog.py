@@ -455,6 +455,15 @@ def stream_scored(spark, sf):
         _moment_text("ts"))
 
 
+@query
+def stream_natural_events(spark, sf):
+    records = samples.event_records(_events(spark, sf))
+    store = _stream_feed(spark, sf, "natural_events", [records])
+    return store.current().select(
+        "event_id", "source", "type", "title", "status", F.get("location.coordinates", F.lit(0)).alias("lon"),
+        F.get("location.coordinates", F.lit(1)).alias("lat"), "geometry_count", _moment_text("last_ts"))
+
+
 @query
 def stream_dead_letters(spark, sf):
     store = _stream_feed(spark, sf, "earthquakes", [samples.damaged(samples.quake_records(_quakes(spark, sf)))])

@@ -302,6 +302,10 @@ _add("unique_key_check", "SELECT event_id, county, count(*) AS rows FROM fema GR
 _add("stream_scored", f"""SELECT event_id, magnitude, risk_score, risk_tier, latitude IS NOT NULL AND longitude IS NOT NULL AS located,
     CASE WHEN latitude IS NOT NULL THEN longitude END AS lon, CASE WHEN longitude IS NOT NULL THEN latitude END AS lat,
     {_text('epoch_ms(epoch_us(s.ts) // 1000)')} AS ts FROM scored s""")
+_add("stream_natural_events", f"""SELECT event_id, 'NASA_EONET' AS source, type, title,
+    CASE WHEN num % 4 = 0 THEN 'closed' ELSE 'open' END AS status, CASE WHEN latitude IS NOT NULL THEN longitude END AS lon,
+    CASE WHEN longitude IS NOT NULL THEN latitude END AS lat, CAST(1 AS INT) AS geometry_count,
+    {_text('epoch_ms(epoch_us(p.last_ts) // 1000)')} AS last_ts FROM parsed_events p""")
 _add("stream_dead_letters", "SELECT reason, message_key FROM letters")
 _add("stream_dedup", "SELECT event_id, magnitude FROM quakes")
 _add("stream_daily_cells", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, grid_lat, grid_lon, count(magnitude) AS event_count, "

@@ -19,9 +19,13 @@ def _millis(ts: str) -> Column:
     return F.unix_millis(F.col(ts).cast("timestamp"))
 
 
-def _pages(rows: DataFrame, number: Column, item: Column, field: str) -> DataFrame:
-    """Pages of at most ``PAGE_ROWS`` items, as the public feeds deliver them."""
-    paged = rows.groupBy(F.floor(number / PAGE_ROWS).alias("page")).agg(F.collect_list(item).alias("items"))
+def _pages(rows: DataFrame, item: Column, field: str) -> DataFrame:
+    """Pages of at most ``PAGE_ROWS`` items, as the public feeds deliver them.
+
+    Pages follow the row number, not a key, so none can outgrow its size.
+    """
+    page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
+    paged = rows.select(page.alias("page"), item.alias("item")).groupBy("page").agg(F.collect_list("item").alias("items"))
     text = F.concat(F.lit(f'{{"{field}":['), F.array_join("items", ","), F.lit("]}"))
     return paged.select(text.alias("payload"))
 
@@ -36,7 +40,7 @@ def quake_pages(quakes: DataFrame) -> DataFrame:
     geometry = F.when(
         F.col("latitude").isNotNull(), F.struct(F.array("longitude", "latitude", "depth_km").alias("coordinates")))
     feature = F.struct(F.col("event_id").alias("id"), properties.alias("properties"), geometry.alias("geometry"))
-    return _pages(quakes, F.col("event_id").cast("long"), F.to_json(feature), "features")
+    return _pages(quakes, F.to_json(feature), "features")
 
 
 def _event_number() -> Column:
@@ -64,8 +68,8 @@ def event_pages(events: DataFrame) -> DataFrame:
     first = F.concat(F.lit('{"date":"2023-12-01T00:00:00Z","coordinates":[0.5,0.5]},'))
     last = F.concat(F.lit('{"date":"'), F.date_format("last_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('","coordinates":'), shape, F.lit("}"))
     geometry = F.when(F.col("latitude").isNull(), "").when(n % 5 == 0, last).otherwise(F.concat(first, last))
-    item = F.concat(F.expr("substring({0}, 1, length({0}) - 1)".format("_head")), F.lit(',"geometry":['), geometry, F.lit("]}"))
-    return _pages(events.withColumn("_head", head), n, item, "events")
+    item = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"geometry":['), geometry, F.lit("]}"))
+    return _pages(events.withColumn("_head", head), item, "events")
 
 
 def declaration_pages(declarations: DataFrame) -> DataFrame:
@@ -77,7 +81,7 @@ def declaration_pages(declarations: DataFrame) -> DataFrame:
         F.concat(F.lit("Declaration "), F.col("seq")).alias("declarationTitle"),
         odd.alias("ihProgramDeclared"), (~odd).alias("iaProgramDeclared"),
         F.lit(True).alias("paProgramDeclared"), F.lit(False).alias("hmProgramDeclared"))
-    return _pages(declarations, F.col("seq"), F.to_json(item), "DisasterDeclarationsSummaries")
+    return _pages(declarations, F.to_json(item), "DisasterDeclarationsSummaries")
 
 
 def _record(messages: DataFrame, offset: Column, ts: Column) -> DataFrame:
@@ -107,6 +111,18 @@ def damaged(records: DataFrame) -> DataFrame:
     return records.withColumn("value", value)
 
 
+def event_records(events: DataFrame) -> DataFrame:
+    """Topic records of natural events; the event number is the offset."""
+    n = _event_number()
+    fields = [
+        "event_id", F.lit("NASA_EONET").alias("source"), "type", "title",
+        F.when(n % 4 == 0, "closed").otherwise("open").alias("status"), "longitude", "latitude",
+        iso_utc(_millis("last_ts")).alias("last_date"), F.lit(1).alias("geometry_count"),
+        F.array("title").alias("categories")]
+    value = F.to_json(F.struct(*fields)).alias("value")
+    return _record(events.select(F.col("event_id").alias("key"), value, n.alias("n"), "last_ts"), F.col("n"), F.col("last_ts"))
+
+
 def declaration_records(declarations: DataFrame) -> DataFrame:
     """Topic records of declarations; ids are JSON numbers, as the feed sends them."""
     rows = declarations.select(

@@ -20,7 +20,7 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     """The saved records, or None when nothing has been saved there."""
     try:
         return spark.read.schema(schema).json(path)
@@ -30,13 +30,15 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
         raise
 
 
-def thresholds_or_default(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def thresholds_or_default(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Saved thresholds, else one row of defaults."""
     saved = read_json(spark, path, schema)
     if saved is not None:
         return saved
-    defaults = [F.lit(DEFAULT_THRESHOLDS.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return spark.range(1).select(*defaults)
+    empty = spark.createDataFrame([], schema)
+    return empty.agg(*[
+        F.coalesce(F.max(f.name), F.lit(DEFAULT_THRESHOLDS.get(f.name)).cast(f.dataType)).alias(f.name)
+        for f in empty.schema.fields])
 
 
 def cell_key(lat: str = "grid_lat", lon: str = "grid_lon"):

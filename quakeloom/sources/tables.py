@@ -28,16 +28,18 @@ class Collection:
         self.keys = list(keys)
         self.schema = f"{schema}, {ORDER} BIGINT"
 
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
-        """Numbers of the complete subfolders, ascending."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _path(self, name: str):
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return target, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _numbers(self, folder: str, prefix: str, above: int = -1) -> list[int]:
+        """Numbers of the complete subfolders beyond ``above``, ascending."""
+        root, fs = self._path(folder)
         if not fs.exists(root):
             return []
-        found = [s.getPath() for s in fs.listStatus(root)]
-        complete = [p.getName() for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(n[len(prefix):]) for n in complete if n.startswith(prefix))
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        numbers = sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+        return [n for n in numbers if n > above and fs.exists(self._path(f"{folder}/{prefix}{n}/_SUCCESS")[0])]
 
     def _base_version(self) -> int:
         return max(self._numbers("base", "v"), default=-1)
@@ -50,13 +52,14 @@ class Collection:
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.keys, ORDER)
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+    def upsert(self, rows: DataFrame, batch_id: int) -> bool:
         """Store one batch; ``rows`` carry ``_order`` and need not be unique.
 
-        Columns the batch does not carry keep their stored values.
+        Columns the batch does not carry keep their stored values. False for
+        the replay of a batch that the base already holds.
         """
         if batch_id <= self._base_version():
-            return  # replay of a batch the base already holds
+            return False
         newest = self._latest(rows)
         narrow = [f.name for f in self._read().schema if f.name not in newest.columns]
         if narrow:
@@ -64,6 +67,7 @@ class Collection:
             newest = newest.join(earlier, self._same_key(newest, earlier), "left").select(
                 *[newest[c] for c in newest.columns], *[earlier[c] for c in narrow])
         newest.select(*self._read().columns).write.mode("overwrite").parquet(f"{self.path}/batches/b{batch_id}")
+        return True
 
     def _same_key(self, left: DataFrame, right: DataFrame) -> Column:
         match = F.lit(True)
@@ -78,7 +82,7 @@ class Collection:
         ship them to it by their file size, and the base is not shuffled then.
         """
         version = self._base_version()
-        live = [b for b in self._numbers("batches", "b") if b > version and (before is None or b < before)]
+        live = [b for b in self._numbers("batches", "b", version) if before is None or b < before]
         base = self._read(f"{self.path}/base/v{version}") if version >= 0 else None
         recent = self._latest(self._read(*[f"{self.path}/batches/b{b}" for b in live])) if live else None
         if base is None and recent is None:
@@ -107,22 +111,24 @@ class Collection:
 
     def fold(self) -> int:
         """Merge all batches into a new base; returns its version."""
-        batches = self._numbers("batches", "b")
         version = self._base_version()
-        if not batches or batches[-1] <= version:
+        batches = self._numbers("batches", "b", version)
+        if not batches:
             return version
         self.current(with_order=True).write.mode("overwrite").parquet(f"{self.path}/base/v{batches[-1]}")
         return batches[-1]
 
-    def vacuum(self) -> None:
-        """Drop what the newest base replaces. Call it when no reader is active."""
-        version = self._base_version()
-        old = [f"base/v{n}" for n in self._numbers("base", "v") if n < version]
-        old += [f"batches/b{n}" for n in self._numbers("batches", "b") if n <= version]
-        jvm = self.spark.sparkContext._jvm
+    def vacuum(self, keep: int = 1) -> None:
+        """Drop what the newest ``keep`` bases replace; a reader that started on
+        one of those bases is not disturbed."""
+        bases = self._numbers("base", "v")[-keep:]
+        if not bases:
+            return
+        old = [f"base/v{n}" for n in self._numbers("base", "v") if n < bases[0]]
+        old += [f"batches/b{n}" for n in self._numbers("batches", "b") if n <= bases[0]]
         for name in old:
-            target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            target, fs = self._path(name)
+            fs.delete(target, True)
 
     def append_dead_letters(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/dead/b{batch_id}")

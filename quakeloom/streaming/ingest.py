@@ -81,14 +81,15 @@ def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: st
         try:
             seen = Observation()
             rows = feed.enrich(accepted(batch)).observe(seen, F.count(F.lit(1)).alias("rows"))
-            collection.upsert(rows, batch_id)
+            stored = collection.upsert(rows, batch_id)
             collection.append_dead_letters(dead_letters(batch), batch_id)
-            if on_batch:
+            if stored and on_batch:
                 on_batch(batch_id, seen.get["rows"])
         finally:
             batch.unpersist()
         if fold_every and batch_id % fold_every == fold_every - 1:
             collection.fold()
+            collection.vacuum(keep=2)
 
     writer = decoded.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=feed.interval)

@@ -6,6 +6,8 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from quakeloom.ml import regions, risk_forest
+from quakeloom.operators import anomaly
+from quakeloom.plans import training
 from quakeloom.sources import adapters
 
 SF = "/root/testdata/sf0.01"
@@ -91,3 +93,20 @@ def test_elbow_takes_the_first_largest_drop(spark):
 def test_cluster_labels(spark, row, label):
     df = spark.createDataFrame([row], "cluster_id INT, eq_count DOUBLE, avg_mag DOUBLE, max_mag DOUBLE, avg_depth DOUBLE")
     assert regions.cluster_profiles(df).first().label == label
+
+
+def test_training_job_writes_every_result(spark, folder, event_rows):
+    quakes = adapters.quakes(spark, "/root/testdata/sf0.001")
+    assert training.load_thresholds(spark, folder).first().threshold_moderate == 40.0
+    assert training.load_cells(spark, folder) is None and training.load_rates(spark, folder) is None
+    training.train_all(quakes, folder, "2024-01-03", "2024-01-31")
+    window = quakes.filter("ts >= '2024-01-03' AND magnitude IS NOT NULL")
+    rates = training.load_rates(spark, folder).first()
+    assert rates.total_events == window.count() and rates.recent_avg_magnitude > 0
+    stats = training.load_thresholds(spark, folder).first()
+    assert stats.total_cells == training.load_cells(spark, folder).count()
+    assert spark.read.json(f"{folder}/risk_forest_importances").count() == 11
+    assert spark.read.json(f"{folder}/region_sweep").filter("chosen").count() == 1
+    assert spark.read.json(f"{folder}/seasonal_patterns").filter("level = 'day_of_week'").count() == 7
+    found = anomaly.detect(quakes.drop("anomaly_flag"), event_rows(), training.load_thresholds(spark, folder))
+    assert found.count() >= 1
