@@ -55,9 +55,17 @@ def kafka_stream(spark: SparkSession, topic: str, brokers: str, offsets_per_trig
         "partition", "offset", "timestamp", F.col("timestamp").alias("arrived_at"))
 
 
-def kafka_publish(messages: DataFrame, topic: str, brokers: str) -> None:
-    """Publish (key, value) messages to a broker topic (needs the Kafka package)."""
-    (messages.write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic).save())
+def kafka_publish(messages: DataFrame, topic: str, brokers: str, checkpoint: str | None = None):
+    """Publish (key, value) messages to a broker topic (needs the Kafka package).
+
+    A streaming frame also needs a checkpoint; its running query is returned.
+    """
+    options = {"kafka.bootstrap.servers": brokers, "topic": topic}
+    if not messages.isStreaming:
+        messages.write.format("kafka").options(**options).save()
+        return None
+    writer = messages.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint)
+    return writer.start()
 
 
 def decode(records: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -22,7 +22,8 @@ def _millis(ts: str) -> Column:
 def _pages(rows: DataFrame, item: Column, field: str) -> DataFrame:
     """Pages of at most ``PAGE_ROWS`` items, as the public feeds deliver them.
 
-    Pages follow the row number, not a key, so none can outgrow its size.
+    Pages follow the row number within a partition, not a key, so none can
+    outgrow its size; callers pass rows in an order that a retry repeats.
     """
     page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
     paged = rows.select(page.alias("page"), item.alias("item")).groupBy("page").agg(F.collect_list("item").alias("items"))
@@ -81,7 +82,7 @@ def declaration_pages(declarations: DataFrame) -> DataFrame:
         F.concat(F.lit("Declaration "), F.col("seq")).alias("declarationTitle"),
         odd.alias("ihProgramDeclared"), (~odd).alias("iaProgramDeclared"),
         F.lit(True).alias("paProgramDeclared"), F.lit(False).alias("hmProgramDeclared"))
-    return _pages(declarations, F.to_json(item), "DisasterDeclarationsSummaries")
+    return _pages(declarations.sortWithinPartitions("seq"), F.to_json(item), "DisasterDeclarationsSummaries")
 
 
 def _record(messages: DataFrame, offset: Column, ts: Column) -> DataFrame:

@@ -18,6 +18,13 @@ from quakeloom.operators.rows import latest_per_key
 ORDER = "_order"
 
 
+def mongo_collection(spark: SparkSession, uri: str, database: str, collection: str, schema: str) -> DataFrame:
+    """An existing document collection with a declared schema (needs the MongoDB
+    connector package); a starting point for moving it into a :class:`Collection`."""
+    options = {"connection.uri": uri, "database": database, "collection": collection}
+    return spark.read.format("mongodb").options(**options).schema(schema).load()
+
+
 class Collection:
     """``keys`` identify a document; ``_order`` (a growing number such as the
     message offset) decides which version of it is the newest."""

@@ -121,3 +121,19 @@ def test_newest_version_as_state(spark, folder):
 def test_unavailable_broker_package_is_reported(spark):
     with pytest.raises(Exception, match="kafka"):
         messages.kafka_stream(spark, "t", "localhost:1")
+
+
+def test_closed_days_take_no_late_events(spark, folder):
+    store = Collection(spark, f"{folder}/cells", "day DATE, grid_lat DOUBLE, grid_lon DOUBLE, event_count BIGINT, max_mag DOUBLE",
+                       ["day", "grid_lat", "grid_lon"])
+    rows = [("a", "2024-01-01T10:00:00Z"), ("b", "2024-01-20T10:00:00Z")], [("c", "2024-01-01T11:00:00Z"), ("d", "2024-01-20T11:00:00Z")]
+    for n, part in enumerate(rows):
+        df = spark.createDataFrame([(k, t, 10 * n + i) for i, (k, t) in enumerate(part)], "event_id STRING, time STRING, offset BIGINT")
+        full = df.select("event_id", "time", F.lit(4.0).alias("magnitude"), F.lit(1.0).alias("latitude"), F.lit(1.0).alias("longitude"), "offset")
+        records = messages.encode(full, "event_id").withColumn("partition", F.lit(0)).withColumn(
+            "offset", F.lit(n).cast("long")).withColumn("timestamp", F.current_timestamp())
+        messages.land(records, f"{folder}/topic")
+        decoded = messages.accepted(messages.decode(messages.topic_stream(spark, f"{folder}/topic"), EARTHQUAKE))
+        cells = live.daily_cells(decoded.withColumn("ts", F.try_to_timestamp("time")), delay="2 days")
+        live.keep_updated(cells, store, f"{folder}/cp").awaitTermination()
+    assert {str(r.day): r.event_count for r in store.current().collect()} == {"2024-01-01": 1, "2024-01-20": 2}
