@@ -58,7 +58,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "quakeloom-bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g",
-        spark__ui__showConsoleProgress="false")
+        spark__ui__showConsoleProgress="false",
+        # call-site capture costs driver time for every expression built
+        spark__python__sql__dataFrameDebugging__enabled="false")
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     queries = {name: timed(spark, QUERIES[name], sf_dir, runs) for name in sys.argv[1:] or HEADLINE}

@@ -79,13 +79,14 @@ def rates(counts: DataFrame, recent_days: int = RECENT_DAYS) -> DataFrame:
     )
 
 
+def per_day(quakes: DataFrame) -> DataFrame:
+    return quakes.filter(F.col("ts").isNotNull()).groupBy(F.to_date("ts").alias("date")).agg(
+        F.count("*").alias("count"), F.avg(known("magnitude")).alias("avg_mag")).orderBy("date")
+
+
 def daily_trend(quakes: DataFrame, since: str) -> DataFrame:
     """Events and mean magnitude per day from ``since`` on."""
-    day = F.to_date("ts").alias("date")
-    return (
-        quakes.filter(F.col("ts") >= _moment(quakes, since)).groupBy(day)
-        .agg(F.count("*").alias("count"), F.avg(known("magnitude")).alias("avg_mag")).orderBy("date")
-    )
+    return per_day(quakes.filter(F.col("ts") >= _moment(quakes, since)))
 
 
 def forecast_draws(days: int = 14, seed: int = 42) -> list[float]:

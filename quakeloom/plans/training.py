@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from quakeloom.functions.numeric import exact_half_even, settled
 from quakeloom.ml import regions, risk_forest
@@ -67,5 +68,15 @@ def load_cells(spark: SparkSession, root: str) -> DataFrame | None:
     return stats.read_json(spark, f"{root}/anomaly_cells", CELLS)
 
 
+def load_calendar(spark: SparkSession, root: str) -> DataFrame | None:
+    """Sums per year, month and weekday, from which every pattern follows."""
+    try:
+        return spark.read.parquet(f"{root}/calendar_counts")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" in str(missing):
+            return None
+        raise
+
+
 def load_rates(spark: SparkSession, root: str) -> DataFrame | None:
     return stats.read_json(spark, f"{root}/seasonal_rates", RATES)

@@ -91,7 +91,9 @@ class Collection:
         version = self._base_version()
         live = [b for b in self._numbers("batches", "b", version) if before is None or b < before]
         base = self._read(f"{self.path}/base/v{version}") if version >= 0 else None
-        recent = self._latest(self._read(*[f"{self.path}/batches/b{b}" for b in live])) if live else None
+        recent = self._read(*[f"{self.path}/batches/b{b}" for b in live]) if live else None
+        if len(live) > 1:  # a single batch already holds one row per key
+            recent = self._latest(recent)
         if base is None and recent is None:
             out = self._read()
         elif base is None:
