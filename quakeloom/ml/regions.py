@@ -39,6 +39,14 @@ def elbow(sweep: DataFrame) -> DataFrame:
     return drops.crossJoin(F.broadcast(pick)).withColumn("chosen", F.col("k") == F.col("best_k")).orderBy("k")
 
 
+def standardiser(regions: DataFrame) -> PipelineModel:
+    """Feature vectors with zero mean and unit sample deviation."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=FEATURES, outputCol="raw_features", handleInvalid="skip"),
+        StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=True),
+    ]).fit(regions)
+
+
 def fit(quakes: DataFrame, ks: range = range(3, 9), seed: int = 42) -> RegionModel:
     """Sweep k over the standardised features and keep the elbow's model.
 
@@ -46,10 +54,7 @@ def fit(quakes: DataFrame, ks: range = range(3, 9), seed: int = 42) -> RegionMod
     passes never return to the events.
     """
     regions = materialise(region_features(quakes), "regions")
-    prep = Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="raw_features", handleInvalid="skip"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=True),
-    ]).fit(regions)
+    prep = standardiser(regions)
     ready = prep.transform(regions).persist()
     try:
         fitted, costs = {}, []

@@ -58,9 +58,14 @@ def training_frame(quakes: DataFrame) -> DataFrame:
     return split(labelled(stratified(quakes.filter(is_known("magnitude", "significance")))))
 
 
+def alert_indexer() -> StringIndexer:
+    """Alert levels by falling frequency; an unknown level gets an index of its own."""
+    return StringIndexer(inputCol="alert", outputCol="alert_idx", handleInvalid="keep")
+
+
 def fit(train: DataFrame, trees: int = 100, depth: int = 8, seed: int = 42) -> PipelineModel:
     stages = [
-        StringIndexer(inputCol="alert", outputCol="alert_idx", handleInvalid="keep"),
+        alert_indexer(),
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip"),
         RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed),
     ]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from quakeloom.functions.text import category_name, title_case
 from quakeloom.ml import regions, risk_forest
 from quakeloom.operators import anomaly, baseline, proximity, regional, reports, rows, sampling, seasonal
 from quakeloom.schemas import DECLARATION, EARTHQUAKE
-from quakeloom.session import ensure_utc, scratch_path
+from quakeloom.session import ensure_utc, materialise, scratch_path
 from quakeloom.sources import adapters, messages, payloads, samples, stats
 from quakeloom.sources.tables import ORDER, Collection
 from quakeloom.streaming import ingest, live
@@ -101,6 +102,13 @@ def live_cells(spark, sf):
     return anomaly.live_cells(_quakes(spark, sf)).select(*grid.CELL, "event_count", "max_mag")
 
 
+@query
+def cell_places(spark, sf):
+    """Place of the newest event of every live cell."""
+    quakes = _quakes(spark, sf)
+    return anomaly.newest_places(quakes, materialise(anomaly.live_cells(quakes), "cells"))
+
+
 @query
 def nearby_events_range(spark, sf):
     cells = anomaly.live_cells(_quakes(spark, sf)).select(*grid.CELL, "event_count")
@@ -267,6 +275,14 @@ def risk_scatter(spark, sf):
     return reports.risk_scatter(_scored(spark, sf))
 
 
+@query
+def flat_export(spark, sf):
+    """Raw export: the known columns in their fixed order."""
+    wanted = ["event_id", "magnitude", "place", "ts", "longitude", "latitude", "depth_km", "felt", "tsunami", "alert",
+              "risk_score", "risk_tier", "anomaly_flag", "tsunami_prob"]
+    return rows.existing(_scored(spark, sf), wanted).withColumn("ts", _moment_text("ts"))
+
+
 # Seasons
 
 def _calendar(spark, sf):
@@ -545,6 +561,22 @@ def region_features(spark, sf):
     return cells.select(*grid.CELL, "eq_count", _six("avg_mag"), "max_mag", _six("avg_depth"), _six("mag_variability"))
 
 
+@query
+def region_scaled(spark, sf):
+    """Standardised cluster features."""
+    cells = baseline.region_features(adapters.archive(spark, sf))
+    scaled = regions.standardiser(cells).transform(cells).withColumn("v", vector_to_array("features"))
+    named = [F.col("v")[i].alias(f"z_{name}") for i, name in enumerate(regions.FEATURES)]
+    return scaled.select(*grid.CELL, *named).select(*grid.CELL, *[_six(f"z_{name}") for name in regions.FEATURES])
+
+
+@query
+def alert_index(spark, sf):
+    """Alert levels as model inputs, indexed by falling frequency."""
+    x = risk_forest.features(_quakes(spark, sf))
+    return risk_forest.alert_indexer().fit(x).transform(x).select("event_id", "alert", "alert_idx")
+
+
 def _archive_regions(spark, sf):
     return regions.fit(rows.since(adapters.archive(spark, sf), "ts", TRAINING_START))
 

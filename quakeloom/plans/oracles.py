@@ -162,6 +162,7 @@ _add("baseline_thresholds", "SELECT * FROM limits")
 _add("cell_statistics", f"SELECT grid_lat, grid_lon, event_count, {_mean('avg_mag', 6)} AS avg_mag, max_mag, "
      f"{_mean('std_mag', 6)} AS std_mag FROM cells")
 _add("live_cells", "SELECT grid_lat, grid_lon, event_count, max_mag FROM live")
+_add("cell_places", "SELECT grid_lat, grid_lon, top_place FROM live")
 _add("nearby_events_range", "SELECT l.grid_lat, l.grid_lon, l.event_count, coalesce(n.nearby, 0) AS nearby, "
      "coalesce(n.by_name, '') AS types FROM live l LEFT JOIN nearby n USING (grid_lat, grid_lon)")
 for _name in ("anomalies_threshold", "anomalies_saved_thresholds"):
@@ -227,6 +228,9 @@ _add("depth_scatter", f"SELECT event_id, depth_km, magnitude, {DEPTH} AS depth_c
      "WHERE depth_km IS NOT NULL AND magnitude IS NOT NULL")
 _add("risk_scatter", "SELECT event_id, magnitude, risk_score, risk_tier FROM scored WHERE magnitude IS NOT NULL")
 
+_add("flat_export", f"""SELECT event_id, magnitude, place, {_text('s.ts')} AS ts, longitude, latitude, depth_km, tsunami, alert,
+    risk_score, risk_tier, anomaly_flag, tsunami_prob FROM scored s""")
+
 # Seasons
 _avg3 = _mean("sum(magnitude) / count(*)", 3)
 _add("seasonal_pattern", f"""SELECT 'month' AS level, CAST(NULL AS INT) AS year, CAST(month(ts) AS INT) AS month,
@@ -329,6 +333,16 @@ _add("rf_label", f"""SELECT event_id, sig_norm, {TIER.format('sig_norm')} AS ris
 _add("dataset_counts", """SELECT CASE WHEN magnitude < 4 THEN 'low' WHEN magnitude < 5 THEN 'mid' ELSE 'high' END AS band,
     CASE WHEN v < 0.8e0 THEN 'train' ELSE 'test' END AS part, count(*) AS count FROM sampled WHERE significance IS NOT NULL
     GROUP BY 1, 2""")
+_names = ["eq_count", "avg_mag", "max_mag", "avg_depth", "mag_variability", "grid_lat", "grid_lon"]
+_z = ", ".join(f"{_mean(f'({n} - avg({n}) OVER ()) / stddev_samp({n}) OVER ()', 6)} AS z_{n}" for n in _names)
+_add("region_scaled", f"""SELECT grid_lat, grid_lon, {_z} FROM (SELECT {_batch('latitude', 10)} AS grid_lat,
+    {_batch('longitude', 10)} AS grid_lon, count(*) AS eq_count, avg(magnitude) AS avg_mag, max(magnitude) AS max_mag,
+    avg(coalesce(depth_km, 33e0)) AS avg_depth, coalesce(stddev_samp(magnitude), 0e0) AS mag_variability
+    FROM arch GROUP BY 1, 2)""")
+_add("alert_index", """SELECT event_id, alert, alert_idx FROM (SELECT event_id, coalesce(alert, 'none') AS alert FROM quakes
+    WHERE magnitude IS NOT NULL) JOIN (SELECT coalesce(alert, 'none') AS alert,
+    CAST(row_number() OVER (ORDER BY count(*) DESC, coalesce(alert, 'none')) - 1 AS DOUBLE) AS alert_idx FROM quakes
+    WHERE magnitude IS NOT NULL GROUP BY 1) USING (alert)""")
 _add("region_features", f"""SELECT {_batch('latitude', 10)} AS grid_lat, {_batch('longitude', 10)} AS grid_lon,
     count(*) AS eq_count, {_mean('avg(magnitude)', 6)} AS avg_mag, max(magnitude) AS max_mag,
     {_mean('avg(coalesce(depth_km, 33e0))', 6)} AS avg_depth, {_mean('coalesce(stddev_samp(magnitude), 0e0)', 6)} AS mag_variability
