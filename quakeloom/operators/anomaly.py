@@ -10,6 +10,7 @@ from quakeloom.functions.numeric import is_known, known
 from quakeloom.functions.text import one_decimal, shown
 from quakeloom.operators import baseline
 from quakeloom.operators.proximity import cells_with_nearby
+from quakeloom.operators.rows import not_before
 from quakeloom.session import materialise
 
 CELL = grid.CELL
@@ -37,7 +38,8 @@ def newest_places(quakes: DataFrame, cells: DataFrame, size: float = SIZE) -> Da
     Give it cells that are written down: their file size lets the planner ship
     them to the events instead of shuffling the events.
     """
-    rows = grid.with_cell(baseline.located(quakes), size, grid.LIVE).select(*CELL, "ts", "event_id", "place")
+    recent = not_before(baseline.located(quakes), "ts", cells.agg(F.min("newest")))
+    rows = grid.with_cell(recent, size, grid.LIVE).select(*CELL, "ts", "event_id", "place")
     wanted = cells.select(*[F.col(c).alias(f"_{c}") for c in CELL], "newest")
     same_cell = (F.col("grid_lat") == F.col("_grid_lat")) & (F.col("grid_lon") == F.col("_grid_lon"))
     at_newest = rows.join(wanted, same_cell & F.col("ts").eqNullSafe(F.col("newest")), "inner")

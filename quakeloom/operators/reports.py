@@ -11,15 +11,15 @@ from quakeloom.functions.numeric import is_known, known, scaled_half_even, settl
 from quakeloom.functions.scoring import depth_category, severity_band
 from quakeloom.functions.text import minute_text, shown, title_case
 from quakeloom.operators.baseline import located
-from quakeloom.operators.rows import at_least, existing, of_types, top
+from quakeloom.operators.rows import at_least, existing, newest, of_types, top
 
 
 def recent_quakes(quakes: DataFrame, n: int | None = 500, floor: float = 0.0) -> DataFrame:
-    return top(at_least(quakes, "magnitude", floor), n, F.desc_nulls_last("ts"), F.asc("event_id"))
+    return newest(at_least(quakes, "magnitude", floor), "ts", n, F.asc("event_id"))
 
 
 def recent_events(events: DataFrame, n: int | None = 200, types: Sequence[str] | None = None) -> DataFrame:
-    return top(of_types(events, types), n, F.desc_nulls_last("last_ts"), F.asc("event_id"))
+    return newest(of_types(events, types), "last_ts", n, F.asc("event_id"))
 
 
 def declarations_by_state(declarations: DataFrame, n: int | None = None) -> DataFrame:
@@ -98,8 +98,7 @@ def alert_feed(quakes: DataFrame, events: DataFrame, n_quakes: int = 20, n_event
         F.coalesce("risk_score", F.lit(0.0)).alias("risk"),
         F.substring(shown("place"), 1, 36).alias("title"), minute_text("ts").alias("at"),
         F.col("magnitude").alias("_mag"), F.col("ts").alias("_ts"), F.col("event_id").alias("_id"))
-    newest = top(events, n_events, F.desc_nulls_last("last_ts"), F.asc("event_id"))
-    second = newest.select(
+    second = newest(events, "last_ts", n_events, F.asc("event_id")).select(
         F.lit(2).alias("source_rank"), F.lit("yellow").alias("severity"),
         title_case(shown("type")).alias("badge"), F.lit(None).cast("double").alias("risk"),
         F.substring(shown("title"), 1, 36).alias("title"), minute_text("last_ts").alias("at"),

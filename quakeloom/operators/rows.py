@@ -16,6 +16,25 @@ def top(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
     return out if n is None else out.limit(n)
 
 
+def not_before(df: DataFrame, ts: str, edge: DataFrame) -> DataFrame:
+    """Rows from the moment in the one-value frame ``edge`` on, undated rows included.
+
+    The moment is known when the scan starts, so files and row groups that end
+    before it are skipped where the table is roughly in time order.
+    """
+    return df.filter(F.col(ts).isNull() | (F.col(ts) >= edge.scalar()))
+
+
+def newest(df: DataFrame, ts: str, n: int | None, *ties: Column) -> DataFrame:
+    """The ``n`` newest rows. A first pass over the time column alone finds the
+    moment of the last of them; whole rows are read from there on only."""
+    order = [F.desc_nulls_last(ts), *ties]
+    if n is None:
+        return df.orderBy(*order)
+    edge = df.select(ts).orderBy(F.desc_nulls_last(ts)).limit(n).agg(F.min(ts))
+    return not_before(df, ts, edge).orderBy(*order).limit(n)
+
+
 def ranked_first(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """One row per key. The rank limit is applied before the shuffle as well,
     so a key holding a third of the rows sends one row per task."""

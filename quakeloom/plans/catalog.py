@@ -19,7 +19,7 @@ from quakeloom.functions.text import category_name, title_case
 from quakeloom.ml import regions, risk_forest
 from quakeloom.operators import anomaly, baseline, proximity, regional, reports, rows, sampling, seasonal
 from quakeloom.schemas import DECLARATION, EARTHQUAKE
-from quakeloom.session import ensure_utc, materialise, scratch_path
+from quakeloom.session import materialise, prepare, scratch_path
 from quakeloom.sources import adapters, messages, payloads, samples, stats
 from quakeloom.sources.tables import ORDER, Collection
 from quakeloom.streaming import ingest, live
@@ -39,7 +39,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(ensure_utc(spark), sf_dir.rstrip("/"))
+        return fn(prepare(spark), sf_dir.rstrip("/"))
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

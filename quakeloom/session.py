@@ -7,8 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULTS = {
+# Settings that results or file statistics depend on; set on any session in use.
+RUNTIME = {
+    # calendar parts (month, hour, day) must not follow the host's zone
     "spark.sql.session.timeZone": "UTC",
+    # the legacy 96-bit format carries no statistics, so scans could not skip by time
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
+
+DEFAULTS = RUNTIME | {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,10 +39,11 @@ def build_session(app: str = "quakeloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def ensure_utc(spark: SparkSession) -> SparkSession:
-    """Calendar parts (month, hour, day) must not follow the host's zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings this library relies on to a session made elsewhere."""
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakeloom.operators.rows import latest_per_key
+from quakeloom.session import prepare
 
 ORDER = "_order"
 
@@ -27,10 +28,12 @@ def mongo_collection(spark: SparkSession, uri: str, database: str, collection: s
 
 class Collection:
     """``keys`` identify a document; ``_order`` (a growing number such as the
-    message offset) decides which version of it is the newest."""
+    message offset) decides which version of it is the newest. The base is laid
+    out by ``cluster_by``, a time column, so that reads of a period skip files."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str]):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], cluster_by: str | None = None):
+        self.spark = prepare(spark)
+        self.cluster_by = cluster_by
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.schema = f"{schema}, {ORDER} BIGINT"
@@ -124,7 +127,12 @@ class Collection:
         batches = self._numbers("batches", "b", version)
         if not batches:
             return version
-        self.current(with_order=True).write.mode("overwrite").parquet(f"{self.path}/base/v{batches[-1]}")
+        merged = self.current(with_order=True)
+        if self.cluster_by:
+            # the keys split a moment that very many documents share
+            layout = [self.cluster_by, *self.keys]
+            merged = merged.repartitionByRange(*layout).sortWithinPartitions(*layout)
+        merged.write.mode("overwrite").parquet(f"{self.path}/base/v{batches[-1]}")
         return batches[-1]
 
     def vacuum(self, keep: int = 1) -> None:

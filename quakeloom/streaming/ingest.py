@@ -36,7 +36,7 @@ def as_stored_declarations(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Feed:
-    """One topic: message schema, enrichment, document key and trigger interval."""
+    """One topic: message schema, enrichment, stored columns, trigger interval and layout."""
 
     topic: str
     collection: str
@@ -44,6 +44,7 @@ class Feed:
     enrich: Callable[[DataFrame], DataFrame]
     stored: str
     interval: str
+    time_column: str
 
     @property
     def keys(self) -> list[str]:
@@ -53,18 +54,18 @@ class Feed:
 FEEDS = {
     "earthquakes": Feed(
         "usgs-earthquakes", "earthquakes", schemas.EARTHQUAKE, as_stored_quakes,
-        f"{schemas.EARTHQUAKE}, risk_score DOUBLE, risk_tier STRING, {POINT}, ts TIMESTAMP", "30 seconds"),
+        f"{schemas.EARTHQUAKE}, risk_score DOUBLE, risk_tier STRING, {POINT}, ts TIMESTAMP", "30 seconds", "ts"),
     "natural_events": Feed(
         "nasa-eonet-events", "eonet_events", schemas.NATURAL_EVENT, as_stored_events,
-        f"{schemas.NATURAL_EVENT}, {POINT}, last_ts TIMESTAMP", "60 seconds"),
+        f"{schemas.NATURAL_EVENT}, {POINT}, last_ts TIMESTAMP", "60 seconds", "last_ts"),
     "declarations": Feed(
         "fema-disasters", "fema_disasters", schemas.DECLARATION, as_stored_declarations,
-        f"{schemas.DECLARATION}, declaration_ts TIMESTAMP", "120 seconds"),
+        f"{schemas.DECLARATION}, declaration_ts TIMESTAMP", "120 seconds", "declaration_ts"),
 }
 
 
 def open_collection(spark: SparkSession, feed: Feed, root: str) -> Collection:
-    return Collection(spark, f"{root}/{feed.collection}", feed.stored, feed.keys)
+    return Collection(spark, f"{root}/{feed.collection}", feed.stored, feed.keys, feed.time_column)
 
 
 def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: str, available_now: bool = False,

@@ -65,6 +65,46 @@ def test_hot_keys_shrink_before_the_shuffle(stored):
     assert "WindowGroupLimit" in text.split("Exchange")[1]
 
 
+def scanned_rows(df):
+    """Rows that left each file scan of the executed plan."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "FileSourceScanExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_newest_rows_skip_old_files(spark, stored, tmp_path):
+    dated = stored[0].withColumn("ts", F.col("ts").cast("timestamp"))
+    dated.repartitionByRange(8, "ts").write.parquet(f"{tmp_path}/by_time")
+    quakes = spark.read.parquet(f"{tmp_path}/by_time")
+    recent = reports.recent_quakes(quakes, 10)
+    assert sum(scanned_rows(recent)) < quakes.count() / 4
+    assert [r.event_id for r in recent.collect()] == [
+        r.event_id for r in quakes.filter("magnitude >= 0").orderBy(F.desc("ts"), "event_id").limit(10).collect()]
+
+
+def test_undated_rows_come_last_but_are_kept(quake_rows):
+    import datetime as dt
+
+    df = quake_rows(dict(event_id="a", magnitude=1.0), dict(event_id="b", magnitude=1.0, ts=dt.datetime(2024, 1, 1)),
+                    dict(event_id="c", magnitude=1.0))
+    assert [r.event_id for r in reports.recent_quakes(df, 2).collect()] == ["b", "a"]
+    assert [r.event_id for r in reports.recent_quakes(df.filter("ts IS NULL"), 5).collect()] == ["a", "c"]
+
+
 def test_calendar_reads_two_columns(stored):
     schema = plan(seasonal.calendar_counts(stored[0], "2024-01-31")).split("ReadSchema: ")[1]
     assert schema.split(">")[0].count(":") == 2

@@ -173,6 +173,24 @@ def test_folded_base_is_not_shuffled_by_a_read(spark, store):
     assert store.current().count() == 200_001
 
 
+def test_base_is_laid_out_by_time(spark, folder):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    store = Collection(spark, f"{folder}/t", "id STRING, ts TIMESTAMP", ["id"], "ts")
+    rows = spark.range(5000).select(
+        F.col("id").cast("string").alias("id"), F.timestamp_seconds(F.pmod(F.col("id") * 7919, F.lit(5000))).alias("ts"),
+        F.col("id").alias(ORDER))
+    store.upsert(rows, 0)
+    store.fold()
+    for file in glob.glob(f"{folder}/t/base/v0/*.parquet"):
+        assert pq.ParquetFile(file).metadata.row_group(0).column(1).statistics.has_min_max
+        times = [r.ts for r in spark.read.parquet(file).collect()]
+        assert times == sorted(times)
+    assert store.current().count() == 5000
+
+
 def test_statistics_round_trip(spark, folder):
     df = spark.createDataFrame([("0.0,5.0", 1, 0.25), ("5.0,5.0", 2, None)], "cell STRING, n INT, rate DOUBLE")
     assert stats.read_json(spark, f"{folder}/s", df.schema) is None
