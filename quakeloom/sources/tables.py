@@ -17,6 +17,12 @@ from quakeloom.operators.rows import latest_per_key
 from quakeloom.session import prepare
 
 ORDER = "_order"
+# a folder counts as complete once this marker is in it, so always ask for it
+MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+
+
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").options(**MARKER).parquet(path)
 
 
 def mongo_collection(spark: SparkSession, uri: str, database: str, collection: str, schema: str) -> DataFrame:
@@ -76,7 +82,7 @@ class Collection:
             earlier = self.current(before=batch_id).select(*self.keys, *narrow)
             newest = newest.join(earlier, self._same_key(newest, earlier), "left").select(
                 *[newest[c] for c in newest.columns], *[earlier[c] for c in narrow])
-        newest.select(*self._read().columns).write.mode("overwrite").parquet(f"{self.path}/batches/b{batch_id}")
+        _write(newest.select(*self._read().columns), f"{self.path}/batches/b{batch_id}")
         return True
 
     def _same_key(self, left: DataFrame, right: DataFrame) -> Column:
@@ -132,7 +138,7 @@ class Collection:
             # the keys split a moment that very many documents share
             layout = [self.cluster_by, *self.keys]
             merged = merged.repartitionByRange(*layout).sortWithinPartitions(*layout)
-        merged.write.mode("overwrite").parquet(f"{self.path}/base/v{batches[-1]}")
+        _write(merged, f"{self.path}/base/v{batches[-1]}")
         return batches[-1]
 
     def vacuum(self, keep: int = 1) -> None:
@@ -148,7 +154,7 @@ class Collection:
             fs.delete(target, True)
 
     def append_dead_letters(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/dead/b{batch_id}")
+        _write(rows, f"{self.path}/dead/b{batch_id}")
 
     def dead_letters(self) -> DataFrame:
         numbers = self._numbers("dead", "b")

@@ -69,16 +69,20 @@ def open_collection(spark: SparkSession, feed: Feed, root: str) -> Collection:
 
 
 def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: str, available_now: bool = False,
-          fold_every: int | None = 100, on_batch: Callable[[int, int], None] | None = None) -> StreamingQuery:
+          fold_every: int | None = 100, on_batch: Callable[[int, int], None] | None = None,
+          cache_batches: bool = False) -> StreamingQuery:
     """Decode, enrich and upsert every micro-batch of ``records``.
 
     Delivery is at least once; the upsert by key and offset makes a replay
-    harmless. The offset orders the versions of a document.
+    harmless. The offset orders the versions of a document. Documents and dead
+    letters are two passes over the batch: parsing twice is cheaper than caching
+    the parsed rows, but ``cache_batches`` spares a slow source the second read.
     """
     decoded = decode(records, feed.schema, keep=["offset"]).withColumnRenamed("offset", ORDER)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        if cache_batches:
+            batch = batch.persist()
         try:
             seen = Observation()
             rows = feed.enrich(accepted(batch)).observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -87,7 +91,8 @@ def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: st
             if stored and on_batch:
                 on_batch(batch_id, seen.get["rows"])
         finally:
-            batch.unpersist()
+            if cache_batches:
+                batch.unpersist()
         if fold_every and batch_id % fold_every == fold_every - 1:
             collection.fold()
             collection.vacuum(keep=2)

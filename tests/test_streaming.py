@@ -69,12 +69,14 @@ def test_continuous_run_stops_after_the_timeout(spark, quakes, folder):
     assert stores["earthquakes"].current().count() == quakes.count()
 
 
-def test_dead_letters_of_a_stream(spark, quakes, folder):
+@pytest.mark.parametrize("cached", [False, True])
+def test_dead_letters_of_a_stream(spark, quakes, folder, cached):
     feed = ingest.FEEDS["earthquakes"]
     store = ingest.open_collection(spark, feed, folder)
     records = samples.damaged(samples.quake_records(quakes))
     messages.land(records, f"{folder}/topic")
-    ingest.start(feed, messages.topic_stream(spark, f"{folder}/topic"), store, f"{folder}/cp", available_now=True).awaitTermination()
+    ingest.start(feed, messages.topic_stream(spark, f"{folder}/topic"), store, f"{folder}/cp", available_now=True,
+                 cache_batches=cached).awaitTermination()
     reasons = {r.reason: r["count"] for r in store.dead_letters().groupBy("reason").count().collect()}
     lost = reasons["undecodable"] + reasons["missing key"]
     assert reasons["bad field"] > 0 and store.current().count() == quakes.count() - lost
