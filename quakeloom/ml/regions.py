@@ -35,8 +35,8 @@ def elbow(sweep: DataFrame) -> DataFrame:
     """
     drops = sweep.withColumn("drop", F.lag("wssse").over(Window.orderBy("k")) - F.col("wssse"))
     best = drops.filter(F.col("drop") > 0).orderBy(F.desc("drop"), "k").limit(1)
-    pick = best.agg(F.coalesce(F.max("k"), F.lit(DEFAULT_K)).alias("best_k"))
-    return drops.crossJoin(F.broadcast(pick)).withColumn("chosen", F.col("k") == F.col("best_k")).orderBy("k")
+    pick = best.agg(F.coalesce(F.max("k"), F.lit(DEFAULT_K)))
+    return drops.withColumn("best_k", pick.scalar()).withColumn("chosen", F.col("k") == F.col("best_k")).orderBy("k")
 
 
 def standardiser(regions: DataFrame) -> PipelineModel:

@@ -17,9 +17,9 @@ def located(quakes: DataFrame) -> DataFrame:
     return quakes.filter(is_known("latitude", "longitude"))
 
 
-def one_row(df: DataFrame, *columns: str) -> DataFrame:
-    """The columns of a one-row frame, as an aggregate that cannot have more."""
-    return F.broadcast(df.agg(*[F.max(c).alias(c) for c in columns]))
+def only(df: DataFrame, column: str) -> Column:
+    """The value in a one-row frame, as a scalar subquery."""
+    return df.agg(F.max(column)).scalar()
 
 
 def cell_stats(quakes: DataFrame, size: float = 5.0, mode: str = grid.BATCH) -> DataFrame:
@@ -63,7 +63,7 @@ def thresholds(cells: DataFrame) -> DataFrame:
 
 def cell_baselines(cells: DataFrame, stats: DataFrame) -> DataFrame:
     """Stored per-cell record: rate per day over the whole history and rounded statistics."""
-    return cells.crossJoin(one_row(stats, "historical_span_days")).select(
+    return cells.withColumn("historical_span_days", only(stats, "historical_span_days")).select(
         *CELL,
         F.col("event_count").alias("historical_count"),
         exact_half_even(F.col("event_count") / F.col("historical_span_days"), 6).alias("daily_rate"),
@@ -95,11 +95,10 @@ def rate_spikes(
     base = baselines.select(*CELL, "daily_rate")
     rated = (
         counts.join(base, CELL, "left")
-        .crossJoin(one_row(stats, "global_daily_rate", "spike_multiplier"))
         .withColumn("window_rate", F.col("window_count") / F.lit(float(window_days)))
-        .withColumn("baseline_rate", F.coalesce("daily_rate", "global_daily_rate"))
+        .withColumn("baseline_rate", F.coalesce(F.col("daily_rate"), only(stats, "global_daily_rate")))
     )
-    return rated.filter(F.col("window_rate") > F.col("spike_multiplier") * F.col("baseline_rate")).select(
+    return rated.filter(F.col("window_rate") > only(stats, "spike_multiplier") * F.col("baseline_rate")).select(
         *CELL, "window_count", "window_max_mag",
         exact_half_even("window_rate", 6).alias("window_rate"),
         "baseline_rate",

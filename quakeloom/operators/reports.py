@@ -84,9 +84,11 @@ def key_figures(quakes: DataFrame, events: DataFrame, states: DataFrame) -> Data
         risky.alias("high_risk"),
         F.count("*").alias("quakes"),
     )
-    event_side = events.agg(F.count("*").alias("active_events"))
-    state_side = states.agg(F.count("*").alias("states"))
-    return quake_side.crossJoin(F.broadcast(event_side)).crossJoin(F.broadcast(state_side))
+    total = F.count("*")
+    return quake_side.withColumns({
+        "active_events": events.agg(total).scalar(),
+        "states": states.agg(total).scalar(),
+    })
 
 
 def alert_feed(quakes: DataFrame, events: DataFrame, n_quakes: int = 20, n_events: int = 10) -> DataFrame:

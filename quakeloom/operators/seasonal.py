@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quakeloom.functions.numeric import exact_half_even, is_known, known, settled
 from quakeloom.functions.text import weekday_name
-from quakeloom.operators.baseline import one_row, span_days
+from quakeloom.operators.baseline import only, span_days
 
 RECENT_DAYS = 30
 
@@ -106,11 +106,9 @@ def trend_forecast(trend: DataFrame, centre: DataFrame | None = None, days: int
     base = last_days.agg(
         F.max("date").alias("last_date"), F.avg("avg_mag").alias("tail_mean"),
         (F.stddev_samp("avg_mag") * 0.5).alias("sigma"))
+    middle = F.col("tail_mean")
     if centre is not None:
-        base = base.crossJoin(one_row(centre, "recent_avg_magnitude"))
-        middle = F.coalesce("recent_avg_magnitude", "tail_mean")
-    else:
-        middle = F.col("tail_mean")
+        middle = F.coalesce(only(centre, "recent_avg_magnitude"), middle)
     draws = F.array(*[F.lit(z) for z in forecast_draws(days, seed)])
     steps = base.select("last_date", "sigma", middle.alias("centre"), F.posexplode(draws).alias("step", "z"))
     value = F.col("centre") + F.col("sigma") * F.col("z")
