@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeloom.functions import grid
-from quakeloom.functions.numeric import is_known, known
+from quakeloom.functions.numeric import known
 from quakeloom.functions.text import one_decimal, shown
 from quakeloom.operators import baseline
 from quakeloom.operators.proximity import cells_with_nearby
