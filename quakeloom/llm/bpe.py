@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +31,8 @@ from .common import materialise, texts
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Code points of a chunk, and by how many it reaches into the next.
 CHUNK, OVERLAP = 32_768, 2_048
-#: Pre-tokens whose ids a worker keeps at hand.
-CACHE = 400_000
+#: Pre-tokens whose ids a worker keeps at hand, and rows it turns out at once.
+CACHE, ROWS = 150_000, 128
 
 
 def default_ranks() -> str:
@@ -47,30 +46,38 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        import tiktoken
 
         with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.pieces = regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.pattern, self.pieces = pattern, regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
+
+    @functools.cached_property
+    def core(self):
+        import tiktoken
+
+        return tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
+
+    @functools.cached_property
+    def token(self) -> dict[int, bytes]:
+        return {rank: token for token, rank in self.ranks.items()}
 
-    def encode(self, pieces: list[str]) -> list[int]:
+    def encode(self, pieces: list[str]) -> bytes:
+        """The ids of pre-tokens, little-endian unsigned 32-bit integers."""
         known, out = self.known, []
         if len(known) > CACHE:
             known.clear()
         for piece in pieces:
             ids = known.get(piece)
             if ids is None:
-                ids = tuple(self.core._encode_single_piece(piece))
-                if len(piece) < 64:
+                ids = np.array(self.core._encode_single_piece(piece), "<u4").tobytes()
+                if len(piece) < 32:
                     known[piece] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @functools.lru_cache(2)
@@ -78,8 +85,11 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def slices(batches):
+    """Few rows at a time, so that what a worker holds doesn't grow with Spark's batches."""
+    for batch in batches:
+        for first in range(0, len(batch), ROWS):
+            yield batch.slice(first, ROWS)
 
 
 def boundaries(found: Codec, text: str) -> list[int]:
@@ -87,13 +97,6 @@ def boundaries(found: Codec, text: str) -> list[int]:
     return [m.end() for m in found.pieces.finditer(text)]
 
 
-def stitch(left: list[int], left_end: int, right: list[int], right_start: int) -> int | None:
-    """The first boundary from ``right_start`` on that both neighbours have and trust."""
-    # a cut can change the last two pre-tokens: the one at the end and white space before it
-    trusted = set(left[:-2]) if left and left[-1] == left_end else set(left)
-    return next((b for b in [right_start, *right] if b in trusted and b >= right_start), None)
-
-
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id and ``ids`` (little-endian unsigned 32-bit integers) of each input row."""
     import public_tokenizers
@@ -103,28 +106,27 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
     def whole(batches):
         own = codec(path, pattern)
-        for batch in batches:
-            ids = [packed(own.encode(own.pieces.findall(text))) for text in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            ids = [own.encode(own.pieces.findall(text)) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary())})
 
     def cut(batches):
-        own = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
                 for i, start in enumerate(range(0, len(text), chunk)):
                     yield pa.RecordBatch.from_pydict({
                         "row": pa.array([row], pa.int64()), "doc_id": pa.array([doc_id], pa.int64()), "i": pa.array([i], pa.int32()),
                         "last": pa.array([start + chunk >= len(text)]), "text": [text[start:start + chunk + overlap]]})
-        del own
 
     def split(batches):
         """Each chunk's boundaries that a neighbour looks at: up to the overlap's end, and from the next chunk on."""
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             head, tail = [], []
             for i, last, text in zip(*(batch.column(c).to_pylist() for c in ("i", "last", "text"))):
                 ends = boundaries(own, text)
                 head.append([b for b in ends if b <= overlap] if i else [])
+                # the cut can change the last two pre-tokens: the one at the end and white space before it
                 trusted = ends if not ends or last else ends[:-2]
                 tail.append([] if last else [b - chunk for b in trusted if b >= chunk])
             keep = [batch.column(c) for c in ("row", "i")]
@@ -132,7 +134,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
     def ids_between(batches):
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for begin, end, text in zip(*(batch.column(c).to_pylist() for c in ("begin", "end", "text"))):
                 end = len(text) if end is None else end + chunk
@@ -143,7 +145,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
                         break
                     pieces.append(m.group())
                     at = m.end()
-                out.append(packed(own.encode(pieces)))
+                out.append(own.encode(pieces))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("i"), pa.array(out, pa.binary())], ["row", "doc_id", "i", "ids"])
 
     size = F.length("text")
@@ -183,8 +185,8 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
 
     def back(batches):
         own = codec(path, pattern)
-        for batch in batches:
-            out = [own.decode(np.frombuffer(ids, "<u4").tolist()) for ids in batch.column("ids").to_pylist()]
+        for batch in slices(batches):
+            out = [own.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.mapInArrow(back, "doc_id long, ids binary, decoded binary")
@@ -193,7 +195,3 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
 def digest(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -18,7 +18,7 @@ from quakeloom.session import materialise, scratch_path
 __all__ = ["materialise", "scratch_path"]
 
 #: Bytes of text handled at once by the bulk word functions.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)

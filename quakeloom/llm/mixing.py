@@ -96,17 +96,33 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
     return open_.select("source", "passes", (F.col("prefix") + F.when(2 * F.col("budget") >= F.col("tokens"), 1).otherwise(0)).alias("below"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """doc_id, source, size, source_size, target and ``copies``, how often the mix has the document."""
+def _plan(docs: DataFrame, weights, share: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' sizes, and of each source its target and how its documents are taken."""
     sized = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                                     words().alias("size")).withColumn("hash", hash60()), "sizes")
     goals = materialise(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     edge = thresholds(sized, goals).withColumnRenamed("source", "s2")
     plan = goals.join(edge, F.col("source").eqNullSafe(F.col("s2"))).select(F.col("source").alias("s"), "source_size", "target", "passes", "below")
+    return sized, materialise(plan, "plan")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """doc_id, source, size, source_size, target and ``copies``, how often the mix has the document."""
+    sized, plan = _plan(docs, weights, share, most)
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("passes") + (F.col("hash") < F.col("below")).cast("long")).alias("copies"))
 
 
+def repeat(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """The documents with all their columns, each as often as the mix has it."""
+    _, plan = _plan(docs, weights, share, most)
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").cast("string").alias("from"),
+                        F.col("doc_id").cast("long").alias("doc_id")).withColumn("hash", hash60())
+    copies = F.col("passes") + (F.col("hash") < F.col("below")).cast("long")
+    met = whole.join(plan, F.col("from").eqNullSafe(F.col("s"))).select("doc", copies.alias("copies")).filter("copies > 0")
+    return met.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*")
+
+
 def digest(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

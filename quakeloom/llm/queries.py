@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quakeloom.session import prepare
 
-from . import bpe, chat, exact_dedup, mixing, secrets
+from . import bpe, chat, exact_dedup, hilbert, langid, mixing, quality, secrets, setjoin, substrings
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,16 +19,33 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(prepare(spark), sf_dir, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    return quality.rate(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of equal texts stays."""
     return exact_dedup.digest(exact_dedup.dedup(table(prepare(spark), sf_dir, "documents")))
 
 
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every row whose id is divisible by 100."""
+    return hilbert.search(table(prepare(spark), sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     return mixing.digest(mixing.mix(table(prepare(spark), sf_dir, "documents")))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that says control strings, read back from their formatted form."""
     turns = table(prepare(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -42,5 +59,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(table(prepare(spark), sf_dir, "documents"))))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_secrets, op3_exact_dedup, op5_mixing, op7_chat, op8_bpe)}
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words under repeated windows."""
+    return substrings.digest(substrings.dedup(table(prepare(spark), sf_dir, "documents")))
+
+
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar shingle sets."""
+    return setjoin.digest(setjoin.components(table(prepare(spark), sf_dir, "documents")))
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (
+    op1_secrets, op2_quality, op3_exact_dedup, op4_hilbert, op5_mixing, op6_langid, op7_chat, op8_bpe, op9_substrings, op10_jaccard)}
 ORACLES: dict[str, str] = {}
