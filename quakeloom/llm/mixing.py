@@ -106,12 +106,17 @@ def _plan(docs: DataFrame, weights, share: float, most: int) -> tuple[DataFrame,
     return sized, materialise(plan, "plan")
 
 
+def _copies(most: int) -> Column:
+    """Documents without a word cost no budget, so the most is held here too."""
+    return F.least(F.col("passes") + (F.col("hash") < F.col("below")).cast("long"), F.lit(most))
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """doc_id, source, size, source_size, target and ``copies``, how often the mix has the document."""
     sized, plan = _plan(docs, weights, share, most)
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("passes") + (F.col("hash") < F.col("below")).cast("long")).alias("copies"))
+        _copies(most).alias("copies"))
 
 
 def repeat(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -119,8 +124,7 @@ def repeat(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = M
     _, plan = _plan(docs, weights, share, most)
     whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").cast("string").alias("from"),
                         F.col("doc_id").cast("long").alias("doc_id")).withColumn("hash", hash60())
-    copies = F.col("passes") + (F.col("hash") < F.col("below")).cast("long")
-    met = whole.join(plan, F.col("from").eqNullSafe(F.col("s"))).select("doc", copies.alias("copies")).filter("copies > 0")
+    met = whole.join(plan, F.col("from").eqNullSafe(F.col("s"))).select("doc", _copies(most).alias("copies")).filter("copies > 0")
     return met.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*")
 
 

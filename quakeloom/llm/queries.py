@@ -66,7 +66,7 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar shingle sets."""
-    return setjoin.digest(setjoin.components(table(prepare(spark), sf_dir, "documents")))
+    return setjoin.digest(setjoin.components(table(prepare(spark), sf_dir, "documents"), n=4, percent=85))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks, materialise, mix, prefix_hash, row_key, screen, span_hash, text_bytes, texts, word_hashes
 
-SHINGLE, PERCENT = 4, 85
+#: Words of a shingle, and the least similarity in hundredths.
+SHINGLE, PERCENT = 5, 80
 #: Min-hashes by which classes find a pivot.
 PIVOT_KEYS = 4
 #: At most so many shingles are known as frequent (1 MB); beyond, the order is by fingerprint alone.
