@@ -42,9 +42,9 @@ def category_name(category_id: Column | str) -> Column:
 
 
 def title_case(c: Column | str) -> Column:
-    """Capitalise every word; words end at blanks and underscores."""
-    words = F.transform(F.split(as_col(c), "_"), F.initcap)
-    return F.array_join(words, "_")
+    """Capitalise every run of letters; anything else ends a word."""
+    words = F.regexp_extract_all(as_col(c), F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(words, F.initcap), "")
 
 
 def weekday_name(day_of_week: Column | str) -> Column:
@@ -57,7 +57,8 @@ def shown(c: Column | str) -> Column:
 
 
 def one_decimal(c: Column | str) -> Column:
-    return F.format_string("%.1f", exact_half_even(c, 1))
+    """Text with one decimal; a missing value prints as ``nan``."""
+    return F.when(as_col(c).isNull(), "nan").otherwise(F.format_string("%.1f", exact_half_even(c, 1)))
 
 
 def iso_utc(millis: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quakeloom.operators.baseline import region_features
 from quakeloom.session import materialise
 
+# fixed values: the model's inputs, by name and in order
 FEATURES = ["eq_count", "avg_mag", "max_mag", "avg_depth", "mag_variability", "grid_lat", "grid_lon"]
 DEFAULT_K = 5
 
@@ -58,18 +59,14 @@ def fit(quakes: DataFrame, ks: range = range(3, 9), seed: int = 42) -> RegionMod
     ready = prep.transform(regions).persist()
     try:
         fitted, costs = {}, []
-        size = ready.count()
-        for k in [k for k in ks if k <= size]:
+        for k in ks:  # with fewer regions than k, KMeans finds fewer centres
             fitted[k] = KMeans(featuresCol="features", predictionCol="cluster_id", k=k, seed=seed, maxIter=100).fit(ready)
             costs.append((k, round(float(fitted[k].summary.trainingCost), 2)))
     finally:
         ready.unpersist()
     spark = quakes.sparkSession
     sweep = spark.createDataFrame(costs, "k INT, wssse DOUBLE")
-    best = elbow(sweep).first()
-    k = best["best_k"] if best else DEFAULT_K
-    if k not in fitted:
-        raise ValueError(f"{size} regions are too few for {k} clusters")
+    k = elbow(sweep).first()["best_k"]
     return RegionModel(PipelineModel(prep.stages + [fitted[k]]), k, sweep, regions)
 
 

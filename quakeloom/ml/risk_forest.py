@@ -14,6 +14,7 @@ from quakeloom.functions.numeric import is_known, known
 from quakeloom.functions.scoring import risk_tier
 from quakeloom.operators.sampling import split, stratified
 
+# fixed values: the model's inputs, by name and in order
 FEATURES = ["magnitude", "depth_km", "tsunami", "alert_idx", "is_shallow", "is_intermediate", "log_depth",
             "mag_squared", "month", "hour_of_day", "day_of_week"]
 LABEL = "sig_norm"

@@ -117,7 +117,7 @@ def anomalies_from_history(quakes: DataFrame, events: DataFrame, live: Column |
     """Train the threshold and apply it to the live rows, one scan for both."""
     rollup = materialise(count_rollup(quakes, size, live), "rollup")
     recent = quakes if live is None else quakes.filter(live)
-    crowded = over_threshold(rollup_live_cells(rollup), rollup_thresholds(rollup))
+    crowded = materialise(over_threshold(rollup_live_cells(rollup), rollup_thresholds(rollup)), "crowded")
     return threshold_anomalies(recent, events, crowded, size)
 
 

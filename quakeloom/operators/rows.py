@@ -53,7 +53,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> D
 def unseen(incoming: DataFrame, seen: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """First arrival of every key that an earlier load has not delivered."""
     fresh = first_per_key(with_key(incoming, keys[0]), keys, *order)
-    return fresh.join(seen.select(*keys).distinct(), list(keys), "left_anti")
+    return fresh.join(seen.select(*keys), list(keys), "left_anti")
 
 
 def with_key(df: DataFrame, key: str = "event_id") -> DataFrame:

@@ -74,7 +74,8 @@ def rates(counts: DataFrame, recent_days: int = RECENT_DAYS) -> DataFrame:
     return totals.select(
         exact_half_even(F.col("total_events") / F.col("total_days"), 2).alias("daily_event_rate"),
         exact_half_even(F.col("recent_n") / F.lit(float(recent_days)), 2).alias("recent_daily_rate"),
-        F.coalesce(exact_half_even(settled(F.try_divide("recent_s", "recent_n")), 3), F.lit(0.0)).alias("recent_avg_magnitude"),
+        # unknown for an empty window, so that a forecast falls back on the days it has
+        exact_half_even(settled(F.try_divide("recent_s", "recent_n")), 3).alias("recent_avg_magnitude"),
         "total_events", "total_days",
     )
 

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from quakeloom.functions import grid
 from quakeloom.functions.numeric import exact_half_even, is_known, settled
-from quakeloom.functions.scoring import with_risk
+from quakeloom.functions.scoring import risk_tier, with_risk
 from quakeloom.functions.text import category_name, title_case
 from quakeloom.ml import regions, risk_forest
 from quakeloom.operators import anomaly, baseline, proximity, regional, reports, rows, sampling, seasonal
-from quakeloom.schemas import DECLARATION, EARTHQUAKE
+from quakeloom.schemas import DECLARATION, EARTHQUAKE, EARTHQUAKE_PAYLOAD
 from quakeloom.session import materialise, prepare, scratch_path
 from quakeloom.sources import adapters, messages, payloads, samples, stats
 from quakeloom.sources.tables import ORDER, Collection
@@ -347,6 +347,20 @@ def landed_pages(spark, sf):
     return found.select("event_id", "magnitude", "time")
 
 
+@query
+def page_dead_letters(spark, sf):
+    """What damaged pages lose: items that are no objects, a page cut off, a bad field."""
+    pages = samples.damaged_pages(_quakes(spark, sf))
+    lost = payloads.page_dead_letters(pages, EARTHQUAKE_PAYLOAD, "id")
+    return lost.select("reason", "message_key", F.when(F.col("reason") != "bad field", F.col("value")).alias("value"))
+
+
+@query
+def damaged_page_parse(spark, sf):
+    """What can still be read of damaged pages."""
+    return payloads.parse_earthquakes(samples.damaged_pages(_quakes(spark, sf))).select("event_id", "magnitude", "place")
+
+
 @query
 def category_map(spark, sf):
     ids = F.element_at(
@@ -423,23 +437,55 @@ def upsert_latest(spark, sf):
     return store.current().select("event_id", "county", "state", "incident_type", "title")
 
 
+DECLARED = "event_id STRING, county STRING, state STRING, incident_type STRING"
+DECLARED_KEYS = ["event_id", "county"]
+
+
 @query
 def upsert_replay(spark, sf):
-    """Batches replayed before and after a fold leave the same documents."""
-    root = scratch_path(spark, "replay")
-    store = Collection(spark, root, "event_id STRING, county STRING, state STRING, incident_type STRING",
-                       ["event_id", "county"])
+    """Batches replayed before and after a compaction leave the same documents."""
+    store = Collection(spark, scratch_path(spark, "replay"), DECLARED, DECLARED_KEYS)
     declared = adapters.declarations(spark, sf).withColumn(ORDER, F.col("seq"))
-    columns = ["event_id", "county", "state", "incident_type", ORDER]
+    columns = [*DECLARED_KEYS, "state", "incident_type", ORDER]
     early, late = [declared.filter(F.col("seq") % 2 == p).select(columns) for p in (1, 0)]
     store.upsert(early, 0)
-    store.fold()
+    store.compact()
     store.upsert(late, 1)
     store.upsert(late, 1)
     store.upsert(early, 0)
     return store.current()
 
 
+def _second_writer(spark, sf, label: str, shift: int, compact: bool) -> DataFrame:
+    """The first half under one checkpoint, the second under a fresh one whose
+    batches start from 0 again and whose offsets are lowered by ``shift``."""
+    root = scratch_path(spark, label)
+    feed = ingest.FEEDS["declarations"]
+    store = ingest.open_collection(spark, feed, root)
+    records = samples.declaration_records(adapters.declarations(spark, sf))
+    middle = records.agg(F.percentile_approx("offset", 0.5))
+    halves = records.filter(F.col("offset") <= middle.scalar()), records.filter(F.col("offset") > middle.scalar())
+    for n, half in enumerate(halves):
+        messages.land(half.withColumn("offset", F.col("offset") - n * shift), f"{root}/topic{n}")
+        stream = messages.topic_stream(spark, f"{root}/topic{n}")
+        ingest.start(feed, stream, store, f"{root}/checkpoint{n}", available_now=True).awaitTermination()
+        if compact:
+            store.compact()
+    return store.current().select("event_id", "county", "state", "incident_type", "title")
+
+
+@query
+def upsert_new_checkpoint(spark, sf):
+    """A second checkpoint counts its batches from 0 again and loses nothing."""
+    return _second_writer(spark, sf, "new-checkpoint", 0, compact=True)
+
+
+@query
+def upsert_topic_reset(spark, sf):
+    """A topic made anew has small offsets; its documents are newer all the same."""
+    return _second_writer(spark, sf, "topic-reset", 10_000_000_000, compact=False)
+
+
 @query
 def unseen_anti_join(spark, sf):
     """Live rows no earlier load has seen, first arrival of each."""
@@ -488,16 +534,20 @@ def stream_dead_letters(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
-    """Historical records, then the same ones again with later offsets."""
+    """Records of several partitions, some files ten days late, then many of them
+    again with later offsets: the first arrival of every key stays."""
     root = scratch_path(spark, "dedup")
     records = samples.quake_records(_quakes(spark, sf))
-    again = records.filter(F.col("offset") % 2 == 0).withColumn("offset", F.col("offset") + 1_000_000_000)
-    for part in (records, again):
+    late = (F.col("offset") % 5 == 0)
+    again = records.filter(F.col("offset") % 2 == 0).withColumns({
+        "offset": F.col("offset") + 1_000_000_000, "value": F.regexp_replace("value", r'"magnitude":[-0-9.E]+', '"magnitude":99.0')})
+    store = Collection(spark, f"{root}/first", "event_id STRING, magnitude DOUBLE", ["event_id"], first=True)
+    for part in (records.filter(~late), records.filter(late).withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL '10' DAY")), again):
         messages.land(part, f"{root}/topic")
-        fresh = live.deduplicate(messages.topic_stream(spark, f"{root}/topic"), ["key"])
-        decoded = messages.accepted(messages.decode(fresh, EARTHQUAKE, keep=["key"]))
-        live.append_to(decoded, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("event_id", "magnitude")
+        stream = messages.decode(messages.topic_stream(spark, f"{root}/topic"), EARTHQUAKE, keep=["offset"])
+        rows_ = messages.accepted(stream).select("event_id", "magnitude", F.col("offset").alias(ORDER))
+        live.keep_updated(rows_, store, f"{root}/checkpoint", mode="append").awaitTermination()
+    return store.current()
 
 
 @query
@@ -516,14 +566,15 @@ def stream_daily_cells(spark, sf):
 
 @query
 def stream_newest_versions(spark, sf):
+    """Newest version per key, kept by the collection rather than as stream state."""
     root = scratch_path(spark, "newest")
-    store = Collection(spark, f"{root}/docs", "event_id STRING, county STRING, state STRING, incident_type STRING",
-                       ["event_id", "county"])
+    store = Collection(spark, f"{root}/docs", DECLARED, DECLARED_KEYS)
     for part in _declaration_parts(spark, sf):
         messages.land(part, f"{root}/topic")
         stream = messages.decode(messages.topic_stream(spark, f"{root}/topic"), DECLARATION, keep=["offset"])
-        stream = messages.accepted(stream).select("event_id", "county", "state", "incident_type", F.col("offset").alias(ORDER))
-        live.keep_updated(live.newest_versions(stream, store.keys), store, f"{root}/checkpoint").awaitTermination()
+        stream = messages.accepted(stream).select(*DECLARED_KEYS, "state", "incident_type", F.col("offset").alias(ORDER))
+        live.keep_updated(stream, store, f"{root}/checkpoint", mode="append").awaitTermination()
+        store.compact()
     return store.current()
 
 
@@ -583,12 +634,31 @@ def _archive_regions(spark, sf):
 
 @query
 def elbow(spark, sf):
-    return regions.elbow(_archive_regions(spark, sf).sweep)
+    """The elbow rule over costs that the table fixes."""
+    sizes = adapters.archive(spark, sf).groupBy((F.month("ts") % 6 + 3).alias("k")).agg(F.count("*").alias("n"))
+    costs = sizes.select("k", (F.col("n") * F.lit(1.0) / F.col("k")).alias("wssse"))
+    return regions.elbow(costs).select("k", _six("wssse"), _six("drop"), "best_k", "chosen")
 
 
 @query
 def cluster_profiles(spark, sf):
-    return regions.cluster_profiles(_archive_regions(spark, sf).assignments())
+    """Profiles and labels over cluster numbers that the grid fixes."""
+    cells = baseline.region_features(rows.since(adapters.archive(spark, sf), "ts", TRAINING_START))
+    assigned = cells.withColumn("cluster_id", F.pmod(F.col("grid_lat") / 10 + F.col("grid_lon") / 10, F.lit(5)).cast("int"))
+    p = regions.cluster_profiles(assigned)
+    return p.select("cluster_id", "region_count", _six("avg_eq_count"), _six("cluster_avg_mag"), "cluster_max_mag", _six("cluster_avg_depth"), "label")
+
+
+@query
+def region_model(spark, sf):
+    """Checked properties of the fitted regional clusters."""
+    fitted = _archive_regions(spark, sf)
+    least = fitted.sweep.agg(F.min("wssse")).scalar()
+    tried = fitted.sweep.agg(F.count("*")).scalar()
+    return fitted.assignments().agg(
+        F.count("*").alias("regions"), F.min("cluster_id").alias("low"), F.max("cluster_id").alias("high")).select(
+        "regions", tried.alias("tried"), ((F.col("low") >= 0) & (F.col("high") < fitted.k)).alias("numbered"),
+        (least >= 0).alias("costs"), F.lit(3 <= fitted.k <= 8).alias("k_in_range"))
 
 
 def _forest(spark, sf):
@@ -598,17 +668,29 @@ def _forest(spark, sf):
 
 @query
 def rf_metrics(spark, sf):
-    return risk_forest.metrics(_forest(spark, sf)[2])
+    """RMSE and R2 over predictions that the table fixes."""
+    fixed = risk_forest.labelled(_quakes(spark, sf)).withColumn("prediction", F.col("magnitude") * 10)
+    m = risk_forest.metrics(fixed)
+    return m.select("rows", _six("rmse"), _six("r2"))
 
 
 @query
 def rf_importance(spark, sf):
-    return risk_forest.importances(spark, _forest(spark, sf)[1])
+    """Checked properties of the fitted forest: importances and fit on its test part."""
+    _, model, predictions = _forest(spark, sf)
+    found = risk_forest.importances(spark, model)
+    total, least, count = (found.agg(f("importance")).scalar() for f in (F.sum, F.min, F.count))
+    return risk_forest.metrics(predictions).select(
+        count.alias("features"), F.round(total, 6).alias("total"), (least >= 0).alias("none_negative"),
+        (F.col("r2") > 0.85).alias("r2_floor"), (F.col("rmse") < 10).alias("rmse_ceiling"), "rows")
 
 
 @query
 def rf_scored(spark, sf):
-    return risk_forest.score(_quakes(spark, sf), _forest(spark, sf)[0])
+    """Every event with a magnitude is scored, within the label's range, with the tier of its score."""
+    scored = risk_forest.score(_quakes(spark, sf), _forest(spark, sf)[0])
+    return scored.select("event_id", F.col("predicted_score").between(0, 100).alias("in_range"),
+                         (F.col("predicted_tier") == risk_tier("predicted_score")).alias("tier_fits"))
 
 
 @query

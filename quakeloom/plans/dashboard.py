@@ -15,12 +15,13 @@ from quakeloom.session import materialise
 
 @dataclass(frozen=True)
 class Filters:
-    """What the viewer chose; the row numbers are limits of the view."""
+    """What the viewer chose; the row numbers are limits of the two list tables
+    and of nothing else. No types named means all."""
 
     min_magnitude: float = 2.5
     quakes: int = 300
     events: int = 200
-    types: Sequence[str] = ("wildfire", "storm", "volcano", "flood")
+    types: Sequence[str] | None = None
     trend_days: int = 30
 
 
@@ -28,19 +29,19 @@ def report_tables(quakes: DataFrame, events: DataFrame, declarations: DataFrame,
                   filters: Filters = Filters()) -> dict[str, DataFrame]:
     """Report tables by name from the stored collections and the trained statistics.
 
-    The newest rows are picked once and written down, so the many small tables
+    The filtered rows are picked once and written down, so the many small tables
     below never return to the collections; trend and states read them whole.
     """
     spark = quakes.sparkSession
-    shown = materialise(reports.recent_quakes(quakes, filters.quakes, filters.min_magnitude), "shown-quakes")
-    active = materialise(reports.recent_events(events, filters.events, filters.types), "shown-events")
+    shown = materialise(rows.at_least(quakes, "magnitude", filters.min_magnitude), "shown-quakes")
+    active = materialise(rows.of_types(events, filters.types), "shown-events")
     states = materialise(reports.declarations_by_state(declarations), "states")
     recent = rows.last_days(quakes, "ts", as_of, filters.trend_days)
     trend = materialise(seasonal.per_day(recent), "trend").orderBy("date")
     found = materialise(anomaly.detect(shown, active, training.load_thresholds(spark, trained)), "anomalies")
     tables = {
-        "earthquakes": shown,
-        "natural_events": active,
+        "earthquakes": reports.recent_quakes(shown, filters.quakes, filters.min_magnitude),
+        "natural_events": reports.recent_events(active, filters.events),
         "states": states.orderBy(F.desc("count"), F.asc_nulls_last("state")),
         "top_states": rows.top(states, 20, F.desc("count"), F.asc_nulls_last("state")),
         "trend": trend,

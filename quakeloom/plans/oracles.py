@@ -115,6 +115,10 @@ _PARTS = {
     "trend": f"SELECT CAST(ts AS DATE) AS date, count(*) AS count, avg(magnitude) AS avg_mag FROM quakes "
              f"WHERE ts >= TIMESTAMP '{c.TREND_SINCE}' GROUP BY 1",
     "hist": f"SELECT * FROM arch WHERE ts >= TIMESTAMP '{c.TRAINING_START}'",
+    "costs": "SELECT *, lag(wssse) OVER (ORDER BY k) - wssse AS d FROM (SELECT CAST(month(ts) % 6 + 3 AS INT) AS k, "
+             "count(*) * 1e0 / (month(ts) % 6 + 3) AS wssse FROM arch GROUP BY month(ts) % 6)",
+    "grid10": f"SELECT {_batch('latitude', 10)} AS grid_lat, {_batch('longitude', 10)} AS grid_lon, count(*) AS eq_count, "
+              "avg(magnitude) AS avg_mag, max(magnitude) AS max_mag, avg(coalesce(depth_km, 33e0)) AS avg_depth FROM hist GROUP BY 1, 2",
     "newest": "SELECT *, row_number() OVER (PARTITION BY event_id, county ORDER BY seq DESC) AS rn FROM fema",
     "msg": "SELECT *, CAST(event_id AS BIGINT) % 50 = 3 AS broken, CAST(event_id AS BIGINT) % 50 <> 3 AND "
            "CAST(event_id AS BIGINT) % 70 = 5 AND magnitude IS NOT NULL AS bad, CAST(event_id AS BIGINT) % 50 <> 3 AND "
@@ -283,6 +287,12 @@ _add("landed_pages", f"SELECT event_id, magnitude, {_iso(_ms('ts'))} AS time FRO
 _add("category_map", """SELECT type, count(*) AS count, CASE type WHEN 'wildfire' THEN 'Wildfire' WHEN 'storm' THEN 'Storm'
     WHEN 'ice' THEN 'Ice' WHEN 'dust_haze' THEN 'Dust_Haze' ELSE 'Tempextremes' END AS title FROM
     (SELECT ['wildfire', 'storm', 'ice', 'dust_haze', 'tempExtremes'][num % 5 + 1] AS type FROM parsed_events) GROUP BY type""")
+_bad = "CAST(event_id AS BIGINT) % 50 <> 3 AND CAST(event_id AS BIGINT) % 70 = 5 AND magnitude IS NOT NULL"
+_add("page_dead_letters", f"""SELECT 'unreadable item' AS reason, CAST(NULL AS VARCHAR) AS message_key, 'lost ' || event_id AS value
+    FROM quakes WHERE CAST(event_id AS BIGINT) % 50 = 3 UNION ALL SELECT 'bad field', event_id, NULL FROM quakes WHERE {_bad}
+    UNION ALL SELECT 'unreadable page', NULL, '{{"features":[{{"id":"cut","properties":{{"mag":5.'""")
+_add("damaged_page_parse", f"""SELECT event_id, CASE WHEN NOT ({_bad}) THEN magnitude END AS magnitude, place FROM quakes
+    WHERE CAST(event_id AS BIGINT) % 50 <> 3""")
 _add("decode_messages", f"""SELECT event_id, 'USGS' AS source, CASE WHEN NOT bad THEN magnitude END AS magnitude, place,
     {_iso('ms')} AS time, longitude, latitude, depth_km, CAST(NULL AS VARCHAR) AS status, tsunami, alert, significance
     FROM msg WHERE NOT broken AND NOT keyless""")
@@ -296,8 +306,9 @@ _add("ingest_window", f"""SELECT 'earthquake' AS load, event_id, count(*) AS cou
     UNION ALL SELECT 'declaration', event_id, count(*) FROM fema WHERE declaration_ts > TIMESTAMP '{c.DECLARED_AFTER}' GROUP BY 2""")
 
 # Keyed tables and streams
-_add("upsert_latest", "SELECT event_id, county, state, incident_type, 'Declaration ' || CAST(seq AS VARCHAR) AS title "
-     "FROM newest WHERE rn = 1")
+for _name in ("upsert_latest", "upsert_new_checkpoint", "upsert_topic_reset"):
+    _add(_name, "SELECT event_id, county, state, incident_type, 'Declaration ' || CAST(seq AS VARCHAR) AS title "
+                "FROM newest WHERE rn = 1")
 for _name in ("upsert_replay", "stream_newest_versions"):
     _add(_name, "SELECT event_id, county, state, incident_type FROM newest WHERE rn = 1")
 _add("latest_declarations", "SELECT event_id, county, state, incident_type, seq FROM newest WHERE rn = 1")
@@ -349,3 +360,22 @@ _add("region_features", f"""SELECT {_batch('latitude', 10)} AS grid_lat, {_batch
     FROM quakes WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND magnitude IS NOT NULL GROUP BY 1, 2""")
 _add("stats_roundtrip", "SELECT CAST(grid_lat AS VARCHAR) || ',' || CAST(grid_lon AS VARCHAR) AS cell, historical_count, "
      "daily_rate, avg_mag, max_mag, std_mag FROM baselines")
+
+# Fitted models: their rules on inputs fixed by the tables, and checked properties of the fits
+_add("elbow", f"""SELECT k, {_mean('wssse', 6)} AS wssse, {_mean('d', 6)} AS drop, CAST(coalesce((SELECT arg_max(k, (d, -k)) FROM costs
+    WHERE d > 0), 5) AS INT) AS best_k, k = coalesce((SELECT arg_max(k, (d, -k)) FROM costs WHERE d > 0), 5) AS chosen FROM costs""")
+_add("cluster_profiles", f"""SELECT *, CASE WHEN cluster_max_mag >= 7 AND avg_eq_count > 50 THEN 'Critical Seismic Zone'
+    WHEN cluster_avg_mag >= 4.5e0 THEN 'High Seismic Activity' WHEN avg_eq_count >= 20 THEN 'Frequent Moderate Activity'
+    WHEN cluster_avg_depth > 200 THEN 'Deep Seismic Zone' ELSE 'Low Activity' END AS label FROM (SELECT
+    CAST((((grid_lat + grid_lon) / 10e0) % 5 + 5) % 5 AS INT) AS cluster_id, count(*) AS region_count,
+    {_mean('avg(eq_count)', 6)} AS avg_eq_count, {_mean('avg(avg_mag)', 6)} AS cluster_avg_mag, max(max_mag) AS cluster_max_mag,
+    {_mean('avg(avg_depth)', 6)} AS cluster_avg_depth FROM grid10 GROUP BY 1)""")
+_add("region_model", """SELECT count(*) AS regions, CAST(6 AS BIGINT) AS tried, true AS numbered, true AS costs, true AS k_in_range
+    FROM grid10""")
+_add("rf_metrics", f"""SELECT count(*) AS rows, {_mean('sqrt(avg(e * e))', 6)} AS rmse,
+    {_mean('1e0 - sum(e * e) / (var_pop(sig_norm) * count(*))', 6)} AS r2 FROM (SELECT sig_norm, sig_norm - magnitude * 10 AS e
+    FROM (SELECT magnitude, CAST(round(CAST(CAST(least(greatest(significance / 10e0, 0e0), 100e0) AS VARCHAR) AS DECIMAL(38, 20)), 2)
+    AS DOUBLE) AS sig_norm FROM quakes WHERE magnitude IS NOT NULL AND significance IS NOT NULL))""")
+_add("rf_importance", """SELECT CAST(11 AS BIGINT) AS features, 1e0 AS total, true AS none_negative, true AS r2_floor,
+    true AS rmse_ceiling, count(*) AS rows FROM sampled WHERE significance IS NOT NULL AND NOT v < 0.8e0""")
+_add("rf_scored", "SELECT event_id, true AS in_range, true AS tier_fits FROM quakes WHERE magnitude IS NOT NULL")

@@ -13,6 +13,9 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     # the legacy 96-bit format carries no statistics, so scans could not skip by time
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # keyed stream state lives on disk, so it may outgrow executor memory
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 DEFAULTS = RUNTIME | {
@@ -20,9 +23,6 @@ DEFAULTS = RUNTIME | {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    # keyed stream state lives on disk, so it may outgrow executor memory
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _local_root: str | None = None
@@ -60,22 +60,36 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def _file(spark: SparkSession, path: str):
+    """Hadoop's path and file system: Spark's own API can neither list nor delete."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _file(spark, path)
+    return fs.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, fs = _file(spark, path)
+    fs.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, dropped when the driver JVM exits."""
+    """A fresh path under the shared folder. Whoever asked for it may :func:`delete`
+    it when done; what is left goes when the driver JVM exits."""
     path = f"{shared_root(spark)}/quakeloom/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop_path)
-    fs.deleteOnExit(hadoop_path)
+    target, fs = _file(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
     return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
-    Used for grid-sized aggregates that feed several branches of one report:
-    the raw table is scanned once, a lost executor costs nothing already
+    What is written is scanned once, a lost executor costs nothing already
     written, and the planner sees the table's real size when it picks a join.
     """
     path = f"{scratch_path(df.sparkSession, label)}/table"

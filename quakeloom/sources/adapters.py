@@ -35,12 +35,12 @@ FROM m
 
 NATURAL_EVENTS = """
 SELECT concat('EONET_', CAST(event_id AS STRING)) AS event_id,
-  CASE event_type WHEN 'view' THEN 'wildfire' WHEN 'signup' THEN 'storm' ELSE 'volcano' END AS type,
+  CASE WHEN event_type IN ('view', 'purchase') THEN 'wildfire' WHEN event_type = 'signup' THEN 'storm' ELSE 'volcano' END AS type,
   concat('Event ', CAST(event_id AS STRING)) AS title,
   CASE WHEN event_id % 89 = 0 THEN NULL WHEN user_id < 10 THEN 30e0 + (event_id % 11) ELSE (user_id * 25 % 1700) / 10e0 - 85e0 END AS latitude,
   CASE WHEN user_id < 10 THEN 139e0 ELSE (user_id * 75 % 3500) / 10e0 - 175e0 END AS longitude,
   ts AS last_ts
-FROM events WHERE event_type IN ('view', 'signup', 'click') AND event_id % 3 = 0
+FROM events
 """
 
 DECLARATIONS = """

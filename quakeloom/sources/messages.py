@@ -37,17 +37,18 @@ def topic_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.parquet(path).select("*", F.col("_metadata.file_modification_time").alias("arrived_at"))
 
 
-def kafka_options(topic: str, brokers: str, offsets_per_trigger: int = 1000) -> dict[str, str]:
-    return {
+def kafka_options(topic: str, brokers: str, offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """Without ``offsets_per_trigger`` a trigger takes all there is."""
+    options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(offsets_per_trigger),
     }
+    return options if offsets_per_trigger is None else options | {"maxOffsetsPerTrigger": str(offsets_per_trigger)}
 
 
-def kafka_stream(spark: SparkSession, topic: str, brokers: str, offsets_per_trigger: int = 1000) -> DataFrame:
+def kafka_stream(spark: SparkSession, topic: str, brokers: str, offsets_per_trigger: int | None = None) -> DataFrame:
     """A broker topic with the columns of :func:`topic_stream` (needs the Kafka package)."""
     source = spark.readStream.format("kafka").options(**kafka_options(topic, brokers, offsets_per_trigger)).load()
     return source.select(

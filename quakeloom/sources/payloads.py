@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quakeloom import schemas
 from quakeloom.functions.text import category_name, iso_utc
 from quakeloom.operators.rows import with_key
+from quakeloom.sources.messages import CORRUPT
 
 
 def read_pages(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
@@ -15,8 +17,45 @@ def read_pages(spark: SparkSession, path: str, one_per_line: bool = False) -> Da
     return spark.read.text(path, wholetext=not one_per_line).select(F.col("value").alias("payload"))
 
 
-def _items(pages: DataFrame, schema: str, field: str) -> DataFrame:
-    return pages.select(F.explode(F.from_json("payload", schema)[field]).alias("x")).select("x.*")
+def _parsed(pages: DataFrame, schema: str) -> DataFrame:
+    """One row per item with its text and ``x``, or one per page that is no page.
+
+    The array is split as text and every item parsed on its own, so an item
+    that does not fit takes no other item of its page with it.
+    """
+    page = StructType.fromDDL(schema)
+    field, item = page.fields[0].name, page.fields[0].dataType.elementType
+    texts = F.from_json("payload", f"{field} ARRAY<STRING>")[field]
+    whole = F.array(F.struct(F.col("payload").alias("item"), F.lit(True).alias("page")))
+    one = F.when(texts.isNull(), whole).otherwise(F.transform(texts, lambda t: F.struct(t.alias("item"), F.lit(False).alias("page"))))
+    rows = pages.select(F.inline(one))
+    kept = StructType(item.fields).add(CORRUPT, "string")
+    # in a generator, as a projection would be copied into every filter on parsed columns
+    return rows.select("item", "page", F.explode(F.array(F.from_json("item", kept, {"columnNameOfCorruptRecord": CORRUPT}))).alias("x"))
+
+
+def _some(rows: DataFrame) -> Column:
+    """Something of the item could be read."""
+    names = [f.name for f in rows.schema["x"].dataType.fields if f.name != CORRUPT]
+    return F.greatest(*[F.col(f"x.{n}").isNotNull() for n in names])
+
+
+def _items(pages: DataFrame, schema: str) -> DataFrame:
+    rows = _parsed(pages, schema)
+    return rows.filter(~F.col("page") & _some(rows)).select("x.*").drop(CORRUPT)
+
+
+def page_dead_letters(pages: DataFrame, schema: str, key: str) -> DataFrame:
+    """What the parsers lost, as messages have it: reason, message_key and the text.
+
+    Unreadable pages and items are lost whole; an item with a field that does
+    not fit is kept without that field and is listed here too.
+    """
+    rows = _parsed(pages, schema)
+    reason = (F.when(F.col("page"), "unreadable page").when(~_some(rows), "unreadable item")
+              .when(F.col(f"x.{CORRUPT}").isNotNull(), "bad field"))
+    return rows.select(reason.alias("reason"), F.col(f"x.{key}").cast("string").alias("message_key"), F.col("item").alias("value")).filter(
+        F.col("reason").isNotNull())
 
 
 def _iso_or_null(millis: str) -> Column:
@@ -26,7 +65,7 @@ def _iso_or_null(millis: str) -> Column:
 
 def parse_earthquakes(pages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Features to the flat earthquake record; a missing geometry gives null coordinates."""
-    x = _items(pages, schemas.EARTHQUAKE_PAYLOAD, "features")
+    x = _items(pages, schemas.EARTHQUAKE_PAYLOAD)
     point = F.col("geometry.coordinates")
     return x.select(
         F.col("id").alias("event_id"), F.lit("USGS").alias("source"), F.lit("earthquake").alias("type"),
@@ -60,7 +99,7 @@ def first_point(coordinates: Column) -> Column:
 
 def parse_natural_events(pages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Events to flat records: first category, first and last geometry."""
-    x = _items(pages, schemas.NATURAL_EVENT_PAYLOAD, "events")
+    x = _items(pages, schemas.NATURAL_EVENT_PAYLOAD)
     first = F.get("geometry", F.lit(0))
     last = F.try_element_at("geometry", F.lit(-1))
     category = F.coalesce(F.get("categories", F.lit(0))["id"], F.lit("unknown"))
@@ -82,7 +121,7 @@ def _column_of(array: str, field: str) -> Column:
 
 
 def parse_declarations(pages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    x = _items(pages, schemas.DECLARATION_PAYLOAD, "DisasterDeclarationsSummaries")
+    x = _items(pages, schemas.DECLARATION_PAYLOAD)
     return x.select(
         F.col("disasterNumber").cast("string").alias("event_id"), "state", F.col("designatedArea").alias("county"),
         F.col("incidentType").alias("incident_type"), F.col("declarationDate").alias("declaration_date"),

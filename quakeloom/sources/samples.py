@@ -6,6 +6,8 @@ geometries of several shapes, numeric ids, broken and incomplete messages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def _pages(rows: DataFrame, item: Column, field: str) -> DataFrame:
     return paged.select(text.alias("payload"))
 
 
-def quake_pages(quakes: DataFrame) -> DataFrame:
+def quake_pages(quakes: DataFrame, change: Callable[[Column], Column] = lambda item: item) -> DataFrame:
     """Earthquake pages; events without a latitude have no geometry."""
     properties = F.struct(
         F.col("magnitude").alias("mag"), "place", _millis("ts").alias("time"),
@@ -41,7 +43,15 @@ def quake_pages(quakes: DataFrame) -> DataFrame:
     geometry = F.when(
         F.col("latitude").isNotNull(), F.struct(F.array("longitude", "latitude", "depth_km").alias("coordinates")))
     feature = F.struct(F.col("event_id").alias("id"), properties.alias("properties"), geometry.alias("geometry"))
-    return _pages(quakes, F.to_json(feature), "features")
+    return _pages(quakes, change(F.to_json(feature)), "features")
+
+
+def damaged_pages(quakes: DataFrame) -> DataFrame:
+    """Earthquake pages with items that are no objects, numbers as text, and one page cut off."""
+    n = F.col("event_id").cast("long")
+    whole = quake_pages(quakes, lambda item: F.when(n % 50 == 3, F.concat(F.lit('"lost '), F.col("event_id"), F.lit('"')))
+                        .when(n % 70 == 5, F.regexp_replace(item, r'"mag":[-0-9.E]+', '"mag":"5.1 Mw"')).otherwise(item))
+    return whole.unionByName(quakes.sparkSession.createDataFrame([('{"features":[{"id":"cut","properties":{"mag":5.',)], "payload STRING"))
 
 
 def _event_number() -> Column:
@@ -87,7 +97,7 @@ def declaration_pages(declarations: DataFrame) -> DataFrame:
 
 def _record(messages: DataFrame, offset: Column, ts: Column) -> DataFrame:
     return messages.select(
-        "key", "value", F.lit(0).alias("partition"), offset.cast("long").alias("offset"), ts.cast("timestamp").alias("timestamp"))
+        "key", "value", F.pmod(offset, F.lit(3)).cast("int").alias("partition"), offset.cast("long").alias("offset"), ts.cast("timestamp").alias("timestamp"))
 
 
 def quake_records(quakes: DataFrame) -> DataFrame:

@@ -1,28 +1,29 @@
-"""Keyed collections: idempotent upserts with last write wins.
+"""Keyed collections: upserts whose outcome depends on keys and versions alone.
 
-A collection is a Parquet base plus one small folder per micro-batch. A batch
-writes only its own rows, so its cost does not grow with the collection, and a
-replayed batch overwrites its own folder. Reading overlays the batches on the
-base with a join on the key; folding rewrites the base now and then.
+A collection is two Parquet datasets partitioned by a hash bucket of the key: the
+``base``, one row per key, and the ``changes`` that micro-batches wrote since.
+Whatever arrives is stored; which version of a document counts is decided when
+rows meet, by (writer, batch, order). A replay writes the same versions again and
+changes nothing. A writer is one stream checkpoint, so the batch numbers of a
+new checkpoint and the offsets of a re-created topic cannot hide older ones.
+
+``compact`` merges the changes into the buckets they touch and leaves the others
+alone. It is a job of its own, outside of the streams.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeloom.operators.rows import latest_per_key
-from quakeloom.session import prepare
-
-ORDER = "_order"
-# a folder counts as complete once this marker is in it, so always ask for it
-MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
-
+from quakeloom.operators.rows import ranked_first
+from quakeloom.session import delete, exists, prepare
 
-def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**MARKER).parquet(path)
+ORDER, WRITER, BATCH, BUCKET = "_order", "_writer", "_batch", "_bucket"
+VERSION = [WRITER, BATCH, ORDER]
 
 
 def mongo_collection(spark: SparkSession, uri: str, database: str, collection: str, schema: str) -> DataFrame:
@@ -32,58 +33,65 @@ def mongo_collection(spark: SparkSession, uri: str, database: str, collection: s
     return spark.read.format("mongodb").options(**options).schema(schema).load()
 
 
-class Collection:
-    """``keys`` identify a document; ``_order`` (a growing number such as the
-    message offset) decides which version of it is the newest. The base is laid
-    out by ``cluster_by``, a time column, so that reads of a period skip files."""
+def writer_of(spark: SparkSession, checkpoint: str) -> int:
+    """The number of a checkpoint's writer: the moment it was first used, kept inside of it."""
+    path = f"{checkpoint.rstrip('/')}/writer"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(time.time_ns() // 1000,)], "writer BIGINT").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).first()["writer"]
+
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], cluster_by: str | None = None):
+class Collection:
+    """``keys`` identify a document; ``_order`` (such as the message offset) orders the
+    versions of one batch. ``first`` keeps the oldest version instead of the newest.
+    Within a bucket the base is sorted by ``cluster_by``, a time column, so that
+    reads of a period skip row groups. ``buckets`` is fixed when a collection is
+    created; a bucket is what a compaction rewrites at least."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], cluster_by: str | None = None,
+                 buckets: int = 8, first: bool = False):
         self.spark = prepare(spark)
         self.cluster_by = cluster_by
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.schema = f"{schema}, {ORDER} BIGINT"
+        self.buckets = buckets
+        self.first = first
+        self.schema = f"{schema}, {ORDER} BIGINT, {WRITER} BIGINT, {BATCH} BIGINT, {BUCKET} INT"
+        self.columns = self._none().columns
 
-    def _path(self, name: str):
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return target, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _none(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
 
-    def _numbers(self, folder: str, prefix: str, above: int = -1) -> list[int]:
-        """Numbers of the complete subfolders beyond ``above``, ascending."""
-        root, fs = self._path(folder)
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        numbers = sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-        return [n for n in numbers if n > above and fs.exists(self._path(f"{folder}/{prefix}{n}/_SUCCESS")[0])]
+    def _read(self, name: str, schema: str | None = None) -> DataFrame | None:
+        path = f"{self.path}/{name}"
+        if not exists(self.spark, path):
+            return None
+        found = self.spark.read.schema(schema or self.schema).parquet(path)
+        return found.select(self.columns) if schema is None else found
 
-    def _base_version(self) -> int:
-        return max(self._numbers("base", "v"), default=-1)
-
-    def _read(self, *paths: str) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def _write(self, rows: DataFrame, name: str, *partitions: str) -> None:
+        """Replace the partitions that ``rows`` have and leave the others."""
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(f"{self.path}/{name}")
 
     def _latest(self, rows: DataFrame) -> DataFrame:
-        return latest_per_key(rows, self.keys, ORDER)
+        order = [F.col(c).asc_nulls_last() if self.first else F.col(c).desc_nulls_last() for c in VERSION]
+        return ranked_first(rows, self.keys, *order)
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> bool:
+    def upsert(self, rows: DataFrame, batch_id: int, writer: int = 0) -> None:
         """Store one batch; ``rows`` carry ``_order`` and need not be unique.
 
-        Columns the batch does not carry keep their stored values. False for
-        the replay of a batch that the base already holds.
+        Columns the batch does not carry keep their stored values.
         """
-        if batch_id <= self._base_version():
-            return False
+        rows = rows.withColumns({
+            WRITER: F.lit(writer).cast("long"), BATCH: F.lit(batch_id).cast("long"),
+            BUCKET: F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")})
         newest = self._latest(rows)
-        narrow = [f.name for f in self._read().schema if f.name not in newest.columns]
+        narrow = [c for c in self.columns if c not in newest.columns]
         if narrow:
-            earlier = self.current(before=batch_id).select(*self.keys, *narrow)
+            earlier = self._current(but=(writer, batch_id)).select(*self.keys, *narrow)
             newest = newest.join(earlier, self._same_key(newest, earlier), "left").select(
                 *[newest[c] for c in newest.columns], *[earlier[c] for c in narrow])
-        _write(newest.select(*self._read().columns), f"{self.path}/batches/b{batch_id}")
-        return True
+        self._write(newest.select(self.columns), "changes", WRITER, BATCH, BUCKET)
 
     def _same_key(self, left: DataFrame, right: DataFrame) -> Column:
         match = F.lit(True)
@@ -91,74 +99,73 @@ class Collection:
             match = match & left[k].eqNullSafe(right[k])
         return match
 
-    def current(self, before: int | None = None, with_order: bool = False) -> DataFrame:
-        """One row per key.
-
-        The batches not yet folded are small next to the base: the planner can
-        ship them to it by their file size, and the base is not shuffled then.
-        """
-        version = self._base_version()
-        live = [b for b in self._numbers("batches", "b", version) if before is None or b < before]
-        base = self._read(f"{self.path}/base/v{version}") if version >= 0 else None
-        recent = self._read(*[f"{self.path}/batches/b{b}" for b in live]) if live else None
-        if len(live) > 1:  # a single batch already holds one row per key
+    def current(self) -> DataFrame:
+        """One row per key, as far as stored."""
+        return self._current().drop(*VERSION, BUCKET)
+
+    def _current(self, but: tuple[int, int] | None = None) -> DataFrame:
+        """The changes are small next to the base: the planner can ship them to it
+        by their file size, and the base is not shuffled then."""
+        base, recent = self._read("base"), self._read("changes")
+        if recent is not None:
+            if but is not None:
+                recent = recent.filter((F.col(WRITER) != but[0]) | (F.col(BATCH) != but[1]))
             recent = self._latest(recent)
-        if base is None and recent is None:
-            out = self._read()
-        elif base is None:
-            out = recent
-        elif recent is None:
-            out = base
-        else:
-            out = self._overlay(base, recent)
-        return out if with_order else out.drop(ORDER)
+        if base is None or recent is None:
+            return self._none() if base is None and recent is None else recent if base is None else base
+        return self._overlay(base, recent)
 
     def _overlay(self, base: DataFrame, recent: DataFrame) -> DataFrame:
-        columns = base.columns
-        new = recent.select(F.struct(*columns).alias("_new"), *[F.col(k).alias(f"_k_{k}") for k in self.keys])
+        new = recent.select(F.struct(*self.columns).alias("_new"), *[F.col(k).alias(f"_k_{k}") for k in self.keys])
         match = F.lit(True)
         for k in self.keys:
             match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        wins = F.col("_new").isNotNull() & (F.col(f"_new.{ORDER}") >= F.col(ORDER))
+        mine, theirs = F.struct(*VERSION), F.struct(*[F.col(f"_new.{c}").alias(c) for c in VERSION])
+        wins = F.col("_new").isNotNull() & ((theirs < mine) if self.first else (theirs >= mine))
         kept = base.join(new, match, "left").select(
-            *[F.when(wins, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns])
-        # keys of the batches that the base holds: few, found without moving the base
+            *[F.when(wins, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in self.columns])
+        # keys of the changes that the base holds: few, found without moving the base
         known = base.select(*self.keys).join(recent.select(*self.keys), self._same_key(base, recent), "left_semi")
         inserted = recent.join(known, self._same_key(recent, known), "left_anti")
-        return kept.unionByName(inserted.select(*columns))
-
-    def fold(self) -> int:
-        """Merge all batches into a new base; returns its version."""
-        version = self._base_version()
-        batches = self._numbers("batches", "b", version)
-        if not batches:
-            return version
-        merged = self.current(with_order=True)
-        if self.cluster_by:
-            # the keys split a moment that very many documents share
-            layout = [self.cluster_by, *self.keys]
-            merged = merged.repartitionByRange(*layout).sortWithinPartitions(*layout)
-        _write(merged, f"{self.path}/base/v{batches[-1]}")
-        return batches[-1]
-
-    def vacuum(self, keep: int = 1) -> None:
-        """Drop what the newest ``keep`` bases replace; a reader that started on
-        one of those bases is not disturbed."""
-        bases = self._numbers("base", "v")[-keep:]
-        if not bases:
-            return
-        old = [f"base/v{n}" for n in self._numbers("base", "v") if n < bases[0]]
-        old += [f"batches/b{n}" for n in self._numbers("batches", "b") if n <= bases[0]]
-        for name in old:
-            target, fs = self._path(name)
-            fs.delete(target, True)
-
-    def append_dead_letters(self, rows: DataFrame, batch_id: int) -> None:
-        _write(rows, f"{self.path}/dead/b{batch_id}")
+        return kept.unionByName(inserted.select(self.columns))
+
+    def compact(self) -> int:
+        """Merge the changes stored so far into the buckets they touch; returns how many buckets.
+
+        The merged buckets are complete in ``staging`` before they replace those of the
+        base. If the driver is lost in between, the next compaction replaces them
+        again; changes that were merged and not dropped are merged once more.
+        """
+        self._replace()
+        changes = self._read("changes")
+        if changes is None:
+            return 0
+        batches = [(r[0], r[1]) for r in changes.select(WRITER, BATCH).distinct().collect()]  # folders, not rows
+        taken = changes.join(F.broadcast(self.spark.createDataFrame(batches, f"{WRITER} BIGINT, {BATCH} BIGINT")), [WRITER, BATCH])
+        touched = [r[0] for r in taken.select(BUCKET).distinct().collect()]
+        rows, base = taken.select(self.columns), self._read("base")
+        if base is not None:
+            rows = rows.unionByName(base.filter(F.col(BUCKET).isin(touched)))
+        merged = self._latest(rows)
+        # the keys split a moment that very many documents share
+        merged = merged.repartition(BUCKET).sortWithinPartitions(BUCKET, *[c for c in (self.cluster_by,) if c], *self.keys)
+        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/staging")
+        self._replace()
+        for writer, batch in batches:
+            delete(self.spark, f"{self.path}/changes/{WRITER}={writer}/{BATCH}={batch}")
+        return len(touched)
+
+    def _replace(self) -> None:
+        if exists(self.spark, f"{self.path}/staging/_SUCCESS"):
+            staged = self._read("staging")
+            self._write(staged.sortWithinPartitions(BUCKET, *[c for c in (self.cluster_by,) if c]), "base", BUCKET)
+        delete(self.spark, f"{self.path}/staging")
+
+    def append_dead_letters(self, rows: DataFrame, batch_id: int, writer: int = 0) -> None:
+        numbered = rows.withColumns({WRITER: F.lit(writer).cast("long"), BATCH: F.lit(batch_id).cast("long")})
+        self._write(numbered.coalesce(1), "dead", WRITER, BATCH)
 
     def dead_letters(self) -> DataFrame:
-        numbers = self._numbers("dead", "b")
         schema = "reason STRING, message_key STRING, value STRING"
-        if not numbers:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/dead/b{n}" for n in numbers])
+        found = self._read("dead", schema)
+        return self.spark.createDataFrame([], schema) if found is None else found.select("reason", "message_key", "value")

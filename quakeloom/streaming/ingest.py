@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quakeloom import schemas
 from quakeloom.functions.scoring import geo_point, with_risk
 from quakeloom.sources.messages import accepted, dead_letters, decode
-from quakeloom.sources.tables import ORDER, Collection
+from quakeloom.sources.tables import ORDER, Collection, writer_of
 
 POINT = "location STRUCT<type: STRING, coordinates: ARRAY<DOUBLE>>"
 
@@ -69,16 +69,18 @@ def open_collection(spark: SparkSession, feed: Feed, root: str) -> Collection:
 
 
 def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: str, available_now: bool = False,
-          fold_every: int | None = 100, on_batch: Callable[[int, int], None] | None = None,
-          cache_batches: bool = False) -> StreamingQuery:
+          on_batch: Callable[[int, int], None] | None = None, cache_batches: bool = False) -> StreamingQuery:
     """Decode, enrich and upsert every micro-batch of ``records``.
 
-    Delivery is at least once; the upsert by key and offset makes a replay
-    harmless. The offset orders the versions of a document. Documents and dead
-    letters are two passes over the batch: parsing twice is cheaper than caching
-    the parsed rows, but ``cache_batches`` spares a slow source the second read.
+    Delivery is at least once; versions are ordered by checkpoint, batch and
+    offset, so a replay changes nothing and a re-created topic hides nothing.
+    Documents and dead letters are two passes over the batch: parsing twice is
+    cheaper than caching the parsed rows, but ``cache_batches`` spares a slow
+    source the second read. Call ``collection.compact()`` beside the stream now
+    and then; the stream itself never rewrites what is stored.
     """
     decoded = decode(records, feed.schema, keep=["offset"]).withColumnRenamed("offset", ORDER)
+    writer = writer_of(collection.spark, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         if cache_batches:
@@ -86,20 +88,17 @@ def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: st
         try:
             seen = Observation()
             rows = feed.enrich(accepted(batch)).observe(seen, F.count(F.lit(1)).alias("rows"))
-            stored = collection.upsert(rows, batch_id)
-            collection.append_dead_letters(dead_letters(batch), batch_id)
-            if stored and on_batch:
+            collection.upsert(rows, batch_id, writer)
+            collection.append_dead_letters(dead_letters(batch), batch_id, writer)
+            if on_batch:
                 on_batch(batch_id, seen.get["rows"])
         finally:
             if cache_batches:
                 batch.unpersist()
-        if fold_every and batch_id % fold_every == fold_every - 1:
-            collection.fold()
-            collection.vacuum(keep=2)
 
-    writer = decoded.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=feed.interval)
-    return writer.start()
+    out = decoded.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    out = out.trigger(availableNow=True) if available_now else out.trigger(processingTime=feed.interval)
+    return out.start()
 
 
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], root: str, available_now: bool = False,

@@ -1,36 +1,14 @@
-"""Stateful streams: deduplication, live daily cells, newest version per key."""
+"""Live results: daily cells, newest or first version per key."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quakeloom.functions import grid
 from quakeloom.functions.numeric import is_known
-from quakeloom.sources.tables import ORDER, Collection
-
-
-def deduplicate(stream: DataFrame, keys: Sequence[str], delay: str = "7 days", salts: int = 8) -> DataFrame:
-    """First message per key among those arriving within ``delay`` of each other.
-
-    The watermark follows arrival time, so no message is ever late and state is
-    bounded by the delay. A key repeated by many messages is first thinned in
-    ``salts`` groups; only their survivors meet in one task.
-    """
-    marked = stream.withWatermark("arrived_at", delay)
-    if salts > 1:
-        salted = marked.withColumn("_salt", F.pmod(F.xxhash64("offset", "partition"), F.lit(salts)))
-        marked = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-    return marked.dropDuplicatesWithinWatermark(list(keys))
-
-
-def append_to(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start(path)
+from quakeloom.sources.tables import ORDER, Collection, writer_of
 
 
 def daily_cells(quakes: DataFrame, size: float = 5.0, delay: str | None = None) -> DataFrame:
@@ -48,20 +26,22 @@ def daily_cells(quakes: DataFrame, size: float = 5.0, delay: str | None = None)
     ).select(F.to_date("day.start").alias("day"), *grid.CELL, "event_count", "max_mag")
 
 
-def newest_versions(decoded: DataFrame, keys: Sequence[str], order: str = ORDER) -> DataFrame:
-    """Newest version of every document as streaming state."""
-    rest = [c for c in decoded.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.col(order)).alias("d")
-    return decoded.groupBy(*keys).agg(newest).select(*keys, "d.*")
+def keep_updated(changes: DataFrame, collection: Collection, checkpoint: str, available_now: bool = True,
+                 mode: str = "update") -> StreamingQuery:
+    """Upsert what every trigger yields: the changed groups of an aggregate, or
+    with ``mode="append"`` plain rows, of which the collection keeps one per key.
 
-
-def keep_updated(changes: DataFrame, collection: Collection, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Upsert the changed groups of an aggregate after every trigger."""
+    A collection made with ``first=True`` so drops repeated messages: each batch
+    is thinned to one row per key without any state, and the stored first
+    arrival stays, however late or often its copies come. No arrival is lost,
+    and what has to be remembered is the collection itself.
+    """
+    writer = writer_of(collection.spark, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch if ORDER in batch.columns else batch.withColumn(ORDER, F.lit(batch_id).cast("long"))
-        collection.upsert(rows, batch_id)
+        collection.upsert(rows, batch_id, writer)
 
-    writer = changes.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    out = changes.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", checkpoint)
+    out = out.trigger(availableNow=True) if available_now else out
+    return out.start()

@@ -124,6 +124,9 @@ def test_categories_and_titles(spark):
     df = column(spark, ["wildfires", "seaLakeIce", "tempExtremes", None], "string")
     assert results(df, text.category_name("x")) == ["wildfire", "ice", "tempExtremes", None]
     assert results(column(spark, ["dust_haze", "storm"], "string"), text.title_case("x")) == ["Dust_Haze", "Storm"]
+    odd = ["sea-ice 3d", "o'neil é_x", "", None]
+    assert results(column(spark, odd, "string"), text.title_case("x")) == [o and o.title() for o in odd]
+    assert results(column(spark, [None, 2.25], "double"), text.one_decimal("x")) == ["nan", "2.2"]
 
 
 def test_iso_text(spark):

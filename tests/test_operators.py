@@ -165,7 +165,7 @@ def test_forecast_uses_fixed_draws(spark):
 def test_recent_window_without_events_gives_zero(spark, quake_rows):
     counts = seasonal.calendar_counts(quake_rows(*cluster(5, 0.0, 0.0)), "2030-01-01")
     r = seasonal.rates(counts).first()
-    assert (r.recent_daily_rate, r.recent_avg_magnitude, r.total_events, r.total_days) == (0.0, 0.0, 5, 4)
+    assert (r.recent_daily_rate, r.recent_avg_magnitude, r.total_events, r.total_days) == (0.0, None, 5, 4)
 
 
 def test_unseen_keeps_the_first_arrival(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quakeloom import schemas
 from quakeloom.sources import messages, payloads, stats
-from quakeloom.sources.tables import ORDER, Collection
+from quakeloom.sources.tables import ORDER, Collection, writer_of
 
 
 def pages(spark, *documents):
@@ -92,7 +92,8 @@ def test_encode_round_trip(spark):
 
 def test_kafka_options():
     options = messages.kafka_options("t", "host:1")
-    assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "1000"
+    assert options["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in options
+    assert messages.kafka_options("t", "host:1", 1000)["maxOffsetsPerTrigger"] == "1000"
     assert options["failOnDataLoss"] == "false" and options["subscribe"] == "t"
 
 
@@ -113,67 +114,111 @@ def store(spark, folder):
 
 
 def test_empty_collection(store):
-    assert store.current().count() == 0 and store.fold() == -1 and store.dead_letters().count() == 0
+    assert store.current().count() == 0 and store.compact() == 0 and store.dead_letters().count() == 0
 
 
-@pytest.mark.parametrize("fold_after_first", [False, True])
-def test_newest_version_wins_and_nulls_overwrite(spark, store, fold_after_first):
+@pytest.mark.parametrize("compacted", [False, True])
+def test_newest_version_wins_and_nulls_overwrite(spark, store, compacted):
     store.upsert(batch(spark, ("x", None, 1, 1, 1), ("x", None, 2, 2, 2), ("y", "p", 1, 1, 3)), 0)
-    if fold_after_first:
-        assert store.fold() == 0
+    if compacted:
+        assert store.compact() >= 1
     store.upsert(batch(spark, ("x", None, None, 7, 9), ("z", "p", 5, 5, 8)), 1)
     assert content(store) == sorted([("x", None, None, 7), ("y", "p", 1, 1), ("z", "p", 5, 5)], key=str)
 
 
-def test_replays_and_late_versions_change_nothing(spark, store):
+def test_replays_change_nothing(spark, store):
     first, second = batch(spark, ("x", "p", 1, 1, 10)), batch(spark, ("x", "p", 2, 2, 20), ("y", "p", 3, 3, 21))
     store.upsert(first, 0)
     store.upsert(second, 1)
     store.upsert(second, 1)
-    store.fold()
+    store.compact()
     want = [("x", "p", 2, 2), ("y", "p", 3, 3)]
     assert content(store) == want
     store.upsert(first, 0)
     store.upsert(second, 1)
-    store.upsert(batch(spark, ("x", "p", 0, 0, 5)), 2)
     assert content(store) == want
-    store.fold()
-    store.vacuum()
+    store.compact()
+    assert content(store) == want and store.compact() == 0
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_new_writer_counts_from_zero_and_loses_nothing(spark, store, compacted):
+    store.upsert(batch(spark, ("x", "p", 1, 1, 5000), ("y", "p", 1, 1, 5001)), 0, writer=1)
+    store.upsert(batch(spark, ("z", "p", 1, 1, 5002)), 1, writer=1)
+    if compacted:
+        store.compact()
+    store.upsert(batch(spark, ("x", "p", 2, 2, 3), ("new", "p", 2, 2, 4)), 0, writer=2)
+    want = sorted([("new", "p", 2, 2), ("x", "p", 2, 2), ("y", "p", 1, 1), ("z", "p", 1, 1)])
     assert content(store) == want
-    assert store._numbers("base", "v") == [2] and store._numbers("batches", "b") == []
+    store.compact()
+    assert content(store) == want
+
+
+def test_writers_are_told_by_their_checkpoint(spark, folder):
+    one = writer_of(spark, f"{folder}/a")
+    assert writer_of(spark, f"{folder}/a") == one < writer_of(spark, f"{folder}/b")
 
 
-@pytest.mark.parametrize("fold", [False, True])
-def test_columns_not_supplied_survive(spark, store, fold):
+@pytest.mark.parametrize("compacted", [False, True])
+def test_first_version_can_be_kept(spark, folder, compacted):
+    store = Collection(spark, f"{folder}/f", SCHEMA, ["id", "part"], first=True)
+    store.upsert(batch(spark, ("x", "p", 1, 1, 7), ("x", "p", 2, 2, 8)), 0)
+    if compacted:
+        store.compact()
+    store.upsert(batch(spark, ("x", "p", 3, 3, 1), ("late", "p", 4, 4, 0)), 1)
+    assert content(store) == [("late", "p", 4, 4), ("x", "p", 1, 1)]
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_columns_not_supplied_survive(spark, store, compacted):
     store.upsert(batch(spark, ("x", "p", 1, 1, 1)), 0)
-    if fold:
-        store.fold()
+    if compacted:
+        store.compact()
     narrow = batch(spark, ("x", "p", 9, 0, 2), ("n", "p", 4, 0, 3)).drop("b")
     store.upsert(narrow, 1)
     store.upsert(narrow, 1)
     assert content(store) == [("n", "p", 4, None), ("x", "p", 9, 1)]
 
 
-def test_unfinished_batches_are_not_read(spark, store, folder):
-    store.upsert(batch(spark, ("x", "p", 1, 1, 1)), 0)
-    store.upsert(batch(spark, ("x", "p", 2, 2, 2)), 1)
-    import os
-    os.remove(f"{folder}/c/batches/b1/_SUCCESS")
-    assert content(store) == [("x", "p", 1, 1)]
-
+def test_compaction_rewrites_touched_buckets_only(spark, store, folder):
+    import glob
 
-def test_folded_base_is_not_shuffled_by_a_read(spark, store):
+    rows = spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit("p").alias("part"), F.lit(1).alias("a"),
+                                   F.lit(1).alias("b"), F.col("id").alias(ORDER))
+    store.upsert(rows, 0)
+    assert store.compact() == store.buckets
+    before = set(glob.glob(f"{folder}/c/base/*/*.parquet"))
+    store.upsert(batch(spark, ("5", "p", 2, 2, 999)), 1)
+    assert store.compact() == 1
+    assert len(before & set(glob.glob(f"{folder}/c/base/*/*.parquet"))) == len(before) - 1
+    assert store.current().count() == 200 and ("5", "p", 2, 2) in content(store)
+
+
+def test_a_compaction_cut_off_is_finished(spark, store, folder):
+    store.upsert(batch(spark, ("x", "p", 1, 1, 1), ("y", "p", 1, 1, 2)), 0)
+    store.compact()
+    store.upsert(batch(spark, ("x", "p", 2, 2, 3)), 1)
+    # the state after staging: the driver is lost before the base is replaced
+    replace, store._replace = store._replace, lambda: None
+    store.compact()
+    store._replace = replace
+    store.upsert(batch(spark, ("z", "p", 1, 1, 4)), 2)
+    store.compact()
+    assert content(store) == [("x", "p", 2, 2), ("y", "p", 1, 1), ("z", "p", 1, 1)]
+
+
+def test_compacted_base_is_not_shuffled_by_a_read(spark, store):
     big = spark.range(200_000).select(F.col("id").cast("string").alias("id"), F.lit("p").alias("part"),
                                       F.lit(1).alias("a"), F.lit(1).alias("b"), F.col("id").alias(ORDER))
     store.upsert(big, 0)
-    store.fold()
+    store.compact()
     store.upsert(batch(spark, ("5", "p", 2, 2, 10 ** 9), ("new", "p", 3, 3, 10 ** 9)), 1)
     plan = store.current()._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin LeftOuter" not in plan and "BroadcastHashJoin" in plan
     assert store.current().count() == 200_001
 
 
-def test_base_is_laid_out_by_time(spark, folder):
+def test_base_is_sorted_by_time_within_a_bucket(spark, folder):
     import glob
 
     import pyarrow.parquet as pq
@@ -183,14 +228,25 @@ def test_base_is_laid_out_by_time(spark, folder):
         F.col("id").cast("string").alias("id"), F.timestamp_seconds(F.pmod(F.col("id") * 7919, F.lit(5000))).alias("ts"),
         F.col("id").alias(ORDER))
     store.upsert(rows, 0)
-    store.fold()
-    for file in glob.glob(f"{folder}/t/base/v0/*.parquet"):
+    store.compact()
+    for file in glob.glob(f"{folder}/t/base/*/*.parquet"):
         assert pq.ParquetFile(file).metadata.row_group(0).column(1).statistics.has_min_max
         times = [r.ts for r in spark.read.parquet(file).collect()]
         assert times == sorted(times)
     assert store.current().count() == 5000
 
 
+def test_a_bad_item_takes_no_other_with_it(spark):
+    pages = spark.createDataFrame([
+        ('{"features":[{"id":"a","properties":{"mag":4.5,"place":"x"}}, 7, null, {"id":"b","properties":{"mag":"big","place":"y"}}, "t"]}',),
+        ('{"features":[{"id":"c"',), ("",), (None,), ('{"other":1}',), ('{"features":[]}',)], "payload STRING")
+    rows = {r.event_id: (r.magnitude, r.place) for r in payloads.parse_earthquakes(pages).collect()}
+    assert rows == {"a": (4.5, "x"), "b": (None, "y")}
+    lost = payloads.page_dead_letters(pages, schemas.EARTHQUAKE_PAYLOAD, "id").collect()
+    assert sorted(r.reason for r in lost) == ["bad field"] + ["unreadable item"] * 3 + ["unreadable page"] * 4
+    assert [r.message_key for r in lost if r.reason == "bad field"] == ["b"]
+
+
 def test_statistics_round_trip(spark, folder):
     df = spark.createDataFrame([("0.0,5.0", 1, 0.25), ("5.0,5.0", 2, None)], "cell STRING, n INT, rate DOUBLE")
     assert stats.read_json(spark, f"{folder}/s", df.schema) is None
