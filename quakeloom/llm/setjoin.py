@@ -45,17 +45,24 @@ PIVOT_KEYS = 4
 FREQUENT, FREQUENT_FROM = 1 << 17, 32
 #: A family member differs from its pivot in at most this share of its shingles.
 KIN = 0.1
+#: Numbers that one task counts at once (8 MB).
+PART_NUMBERS = 1_000_000
 
 
-def shingle_sets(names: np.ndarray, at: np.ndarray, n: int = SHINGLE) -> list[np.ndarray]:
-    """Each row's distinct shingles, ascending."""
+def shingle_sets(names: np.ndarray, at: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' distinct shingles, ascending within a row, one row after another, and the rows' offsets."""
     prefix = prefix_hash(names)
     size = np.diff(at)
     count = np.where(size >= n, size - n + 1, (size > 0).astype(np.int64))
     first = np.repeat(at[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     every = span_hash(prefix, first, first + np.minimum(np.repeat(size, count), n))
-    cut = np.r_[0, np.cumsum(count)]
-    return [np.unique(every[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    cut = np.r_[0, np.cumsum(count)].tolist()
+    for a, b in zip(cut[:-1], cut[1:]):
+        every[a:b].sort()
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    new[[c for c in cut[:-1] if c < len(every)]] = True
+    return every[new], np.r_[0, np.cumsum(new)][cut]
 
 
 def _sets(batches, n: int):
@@ -63,14 +70,20 @@ def _sets(batches, n: int):
         raw, at = text_bytes(batch.column(batch.schema.get_field_index("text")))
         for first, last in blocks(at):
             names, _, _, words = word_hashes(raw[at[first]:at[last]], at[first:last + 1] - at[first], lower=True)
-            yield batch, first, last, shingle_sets(names, words, n)
+            yield batch, first, last, *shingle_sets(names, words, n)
+
+
+def _class_ids(every: np.ndarray, cut: np.ndarray) -> list[bytes]:
+    """128-bit fingerprints of the rows' sets; empty for an empty set."""
+    sums = [np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)] for x in (every, mix(every))]
+    both = np.stack([x[cut[1:]] - x[cut[:-1]] for x in sums], 1)
+    return [both[i].tobytes() if full else b"" for i, full in enumerate(np.diff(cut) > 0)]
 
 
 def frequent(rows: DataFrame, n: int) -> np.ndarray:
     """Shingles that recur within batches, the most frequent ones of the lowest quarter of the order."""
     def count(batches):
-        for _, _, _, sets in _sets(batches, n):
-            every = np.concatenate(sets)
+        for _, _, _, every, _ in _sets(batches, n):
             token, times = np.unique(every[every < np.uint64(1 << 62)], return_counts=True)
             many = times > 2
             yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(times[many])], ["token", "n"])
@@ -106,38 +119,94 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
     often = spark.sparkContext.broadcast(frequent(rows, n))
 
     def build(batches):
-        for batch, first, last, sets in _sets(batches, n):
-            c, keys, prefix = [], [], []
-            for s in sets:
-                a = mix(s ^ np.uint64(0xA0761D6478BD642F))
-                c.append(np.array([mix(s).sum(dtype=np.uint64), a.sum(dtype=np.uint64)], np.uint64).tobytes() if len(s) else b"")
-                keys.append([int(mix(np.array([k + 1], np.uint64) + (mix(s ^ np.uint64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))).min()))[0].view(np.int64))
-                             for k in range(PIVOT_KEYS)] if len(s) else [])
-                prefix.append(prefix_of(s, often.value, percent).view(np.int64) if len(s) else [])
+        for batch, first, last, every, cut in _sets(batches, n):
+            size, rows_ = np.diff(cut), np.flatnonzero(np.diff(cut))
+            least = np.zeros((last - first, PIVOT_KEYS), np.uint64)
+            for k in range(PIVOT_KEYS if len(every) else 0):  # an odd factor orders fingerprints anew
+                least[rows_, k] = np.minimum.reduceat(every * np.uint64(0x9E3779B97F4A7C15 ^ (k << 33)), cut[rows_])
+            keys = mix(least + np.arange(1, PIVOT_KEYS + 1, dtype=np.uint64)[None, :]).view(np.int64)
+            prefix = [prefix_of(every[a:b], often.value, percent).view(np.int64) if b > a else [] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
             rest = [batch.column(batch.schema.get_field_index(x)).slice(first, last - first) for x in ("k1", "k2", "doc_id")]
             yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array([len(s) for s in sets], pa.int32()), pa.array(c, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                [*rest, pa.array(size.astype(np.int32)), pa.array(_class_ids(every, cut), pa.binary()),
+                 pa.array([k if full else [] for k, full in zip(keys, size > 0)], pa.list_(pa.int64())),
                  pa.array(prefix, pa.list_(pa.int64()))], ["k1", "k2", "doc_id", "n", "c", "keys", "prefix"])
 
     return rows.mapInArrow(build, "k1 long, k2 long, doc_id long, n int, c binary, keys array<long>, prefix array<long>")
 
 
+def one_each(table: DataFrame) -> DataFrame:
+    """The described rows with a shingle, one of each set: rows without an equal pass without a shuffle where the screen applies."""
+    rows = table.filter("n > 0")
+    groups = rows.groupBy("c").agg(F.count("*").alias("m"), F.min(F.struct("k1", "k2")).alias("k")).filter("m > 1").select("c", "k")
+    groups = materialise(groups, "equal-sets")
+    mark = lambda c: F.conv(F.hex(F.substring(c, 1, 8)), 16, -10).cast("long")
+    twice, lone = screen(rows, mark(F.col("c")), groups.select(mark(F.col("c")).alias("h")).distinct())
+    met = twice.join(groups, "c", "left").filter(F.col("k").isNull() | ((F.col("k.k1") == F.col("k1")) & (F.col("k.k2") == F.col("k2"))))
+    # whole rows that repeat agree in their keys too
+    alone, again = met.filter("k IS NULL").select(*rows.columns), met.filter("k IS NOT NULL").dropDuplicates(["c"]).select(*rows.columns)
+    kept = alone.unionByName(again)
+    return kept if lone is None else kept.unionByName(lone)
+
+
+def repeated(lists: DataFrame, column: str) -> DataFrame:
+    """token: the numbers that occur more than once in the lists.
+
+    Tasks pack their distinct numbers by a part of them, so a row of the shuffle is a block of numbers
+    rather than a number, and a frequent one comes once a block; each part is counted by itself.
+    """
+    total = lists.agg(F.sum(F.size(column))).first()[0] or 0
+    parts = 1 + total // PART_NUMBERS
+
+    def pack(batches):
+        for batch in batches:
+            held = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            token, times = np.unique(held, return_counts=True)
+            part = (token % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cut = np.searchsorted(part[order], np.arange(parts + 1))
+            used = np.flatnonzero(np.diff(cut))
+            # what a block holds twice is written twice
+            blocks_ = [np.repeat(token[order[cut[p]:cut[p + 1]]], np.minimum(times[order[cut[p]:cut[p + 1]]], 2)).tobytes() for p in used]
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(blocks_, pa.binary())], ["part", "tokens"])
+
+    def count(group: pa.Table) -> pa.Table:
+        every = np.sort(np.concatenate([np.frombuffer(t, np.int64) for t in group.column("tokens").to_pylist()]))
+        again = every[1:][every[1:] == every[:-1]]
+        return pa.table({"token": np.unique(again)})
+
+    return lists.select(column).mapInArrow(pack, "part int, tokens binary").groupBy("part").applyInArrow(count, "token long")
+
+
 def overlaps(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """pairs (a, b, ...) with ``o``, the size of the intersection of the two sets."""
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    reps = materialise(classes.join(wanted, "c", "left_semi").select("k1", "k2"), "compared")
-    near, _ = screen(rows, F.col("k2"), reps.select("k2").distinct())
-    near = near.join(reps, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("text")
+    """pairs (a, na, b, nb) with ``o``, the size of the intersection of the two sets.
 
-    def build(batches):
-        for _, _, _, sets in _sets(batches, n):
-            c = [np.array([mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)], np.uint64).tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["c", "s"])
+    The one set of each pair travels to the other, once a pair; of the documents only those of a pair travel.
+    """
+    keyed = classes.select("c", "k1", "k2")
+    left = pairs.join(keyed.withColumnRenamed("c", "a"), "a").groupBy("k1", "k2").agg(
+        F.first("a").alias("c"), F.collect_list(F.struct("b", "na", "nb")).alias("to"))
+    right = keyed.join(pairs.select(F.col("b").alias("c")).distinct(), "c").select("k1", "k2", "c")
+
+    def sets_of(wanted: DataFrame, label: str) -> DataFrame:
+        wanted = materialise(wanted, label)
+        near, _ = screen(rows.select("k1", "k2", "text"), F.col("k2"), wanted.select("k2").distinct())
+        more = [c for c in wanted.columns if c not in ("k1", "k2")]
+
+        def build(batches):
+            for batch, first, last, every, cut in _sets(batches, n):
+                sets = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(every.view(np.int64)))
+                rest = [batch.column(batch.schema.get_field_index(x)).slice(first, last - first) for x in more]
+                yield pa.RecordBatch.from_arrays([*rest, sets], [*more, "s"])
+
+        met = near.join(wanted, ["k1", "k2"]).select(*more, "text")
+        schema = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in more)
+        return met.mapInArrow(build, f"{schema}, s array<bigint>")
 
-    sets = materialise(near.mapInArrow(build, "c binary, s array<long>"), "sets")
-    met = (pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
-           .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b"))
-    return materialise(met.select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).alias("o")), "overlaps")
+    sent = sets_of(left, "left").select(F.col("c").alias("a"), F.col("s").alias("sa"), F.explode("to").alias("t")).select("a", "sa", "t.*")
+    met = sent.join(sets_of(right, "right").select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
+    found = met.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
+    return materialise(found.dropDuplicates(["a", "b"]), "overlaps")
 
 
 def enough(o: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -154,7 +223,10 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
     keys = classes.select("c", "n", F.explode("keys").alias("key"))
     pivots = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("c", "n")).alias("p")).filter("m > 1")
     pairs = keys.join(pivots, "key").select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("p.c").alias("b"), F.col("p.n").alias("nb"))
-    pairs = materialise(pairs.filter((F.col("a") != F.col("b")) & alike(F.col("na"), F.col("nb"), percent)).distinct(), "pivot-pairs")
+    # near copies share most keys; of several pivots the one with the most in common is compared
+    pairs = (pairs.filter((F.col("a") != F.col("b")) & alike(F.col("na"), F.col("nb"), percent)).groupBy("a", "na", "b", "nb")
+             .agg(F.count("*").alias("m")).filter("m > 1").groupBy("a", "na").agg(F.max(F.struct("m", "b", "nb")).alias("p")))
+    pairs = materialise(pairs.select("a", "na", "p.b", "p.nb"), "pivot-pairs")
     met = overlaps(rows, classes, pairs, n)
     links = met.filter(enough(F.col("o"), F.col("na"), F.col("nb"), percent))
     close = links.filter((F.col("na") + F.col("nb") - 2 * F.col("o")) <= KIN * F.col("na"))
@@ -169,7 +241,7 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
 def candidates(classes: DataFrame, family: DataFrame, percent: int) -> DataFrame:
     """Pairs of different roots whose families share a list block: a, na, b, nb."""
     postings = classes.select("c", F.posexplode("prefix").alias("i", "token"))
-    shared = materialise(postings.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1").select("token"), "shared-shingles")
+    shared = materialise(repeated(classes, "prefix"), "shared-shingles")
     some, _ = screen(postings, F.col("token"), shared)
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     listed = some.join(shared, "token", "left_semi").join(family, "c").select("token", "root", "n", "i", block.alias("block"))
@@ -233,9 +305,7 @@ def labelled(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     """The rows (k1, k2, doc_id, n, c) and, of every class with a shingle, c and the label of its component."""
     rows = row_key(texts(docs))
     table = materialise(described(rows, n, percent), "described")
-    # rows of a class agree in all but their keys
-    classes = materialise(table.filter("n > 0").groupBy("c").agg(
-        F.min(F.struct("k1", "k2")).alias("k"), *(F.first(x).alias(x) for x in ("n", "keys", "prefix"))).select("c", "k.k1", "k.k2", "n", "keys", "prefix"), "classes")
+    classes = materialise(one_each(table).drop("doc_id"), "classes")
     labels = spread(class_links(rows, classes, n, percent))
     every = classes.select("c").join(labels, "c", "left").select("c", F.coalesce("label", "c").alias("label"))
     return table.select("k1", "k2", "doc_id", "n", "c"), materialise(every, "components")
