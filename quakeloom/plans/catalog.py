@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quakeloom.functions import grid
@@ -51,6 +51,11 @@ def _quakes(spark, sf):
     return adapters.quakes(spark, sf)
 
 
+def _ranked(found: DataFrame, *order: Column) -> DataFrame:
+    """A list that a limit bounds, with each row's place in it."""
+    return found.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
 def _scored(spark, sf):
     return with_risk(adapters.quakes(spark, sf))
 
@@ -197,24 +202,25 @@ def alert_feed(spark, sf):
 
 @query
 def high_risk_table(spark, sf):
-    return reports.high_risk_table(_scored(spark, sf)).withColumn("ts", _moment_text("ts"))
+    found = _ranked(reports.high_risk_table(_scored(spark, sf)), F.desc("risk_score"), F.asc("event_id"))
+    return found.withColumn("ts", _moment_text("ts"))
 
 
 @query
 def recent_quakes(spark, sf):
-    found = reports.recent_quakes(_quakes(spark, sf), 500, 2.5)
-    return found.select("event_id", "magnitude", "place", _moment_text("ts"))
+    found = _ranked(reports.recent_quakes(_quakes(spark, sf), 500, 2.5), F.desc("ts"), F.asc("event_id"))
+    return found.select("rank", "event_id", "magnitude", "place", _moment_text("ts"))
 
 
 @query
 def recent_events(spark, sf):
-    found = reports.recent_events(_events(spark, sf), 200, ["wildfire", "storm"])
-    return found.select("event_id", "type", "title", _moment_text("last_ts"))
+    found = _ranked(reports.recent_events(_events(spark, sf), 200, ["wildfire", "storm"]), F.desc("last_ts"), F.asc("event_id"))
+    return found.select("rank", "event_id", "type", "title", _moment_text("last_ts"))
 
 
 @query
 def tsunami_prob_top(spark, sf):
-    return reports.tsunami_probabilities(_scored(spark, sf))
+    return _ranked(reports.tsunami_probabilities(_scored(spark, sf)), F.desc("tsunami_prob"), F.asc("event_id"))
 
 
 @query
@@ -225,7 +231,8 @@ def declarations_by_state(spark, sf):
 
 @query
 def top_states(spark, sf):
-    return reports.declarations_by_state(adapters.declarations(spark, sf), 20).select("state", "count")
+    found = reports.declarations_by_state(adapters.declarations(spark, sf), 20)
+    return _ranked(found.select("state", "count"), F.desc("count"), F.asc_nulls_last("state"))
 
 
 @query
@@ -283,6 +290,19 @@ def flat_export(spark, sf):
     return rows.existing(_scored(spark, sf), wanted).withColumn("ts", _moment_text("ts"))
 
 
+@query
+def event_export(spark, sf):
+    """Raw export of the natural events."""
+    wanted = ["event_id", "type", "title", "status", "longitude", "latitude", "last_ts"]
+    return rows.existing(_events(spark, sf), wanted).withColumn("last_ts", _moment_text("last_ts"))
+
+
+@query
+def state_export(spark, sf):
+    """Raw export of the state summary: the list of types as JSON."""
+    return reports.declarations_by_state(adapters.declarations(spark, sf)).select("state", "count", F.to_json("types").alias("types"))
+
+
 # Seasons
 
 def _calendar(spark, sf):

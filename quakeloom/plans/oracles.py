@@ -201,17 +201,18 @@ _add("alert_feed", """SELECT * FROM (SELECT 1 AS source_rank, CASE WHEN magnitud
     UNION ALL SELECT * FROM (SELECT 2 AS source_rank, 'yellow' AS severity, upper(type[1]) || substr(type, 2) AS badge,
     CAST(NULL AS DOUBLE) AS risk, substr(title, 1, 36) AS title, strftime(last_ts, '%Y-%m-%dT%H:%M') AS at
     FROM eonet ORDER BY last_ts DESC, event_id LIMIT 10)""")
-_add("high_risk_table", f"""SELECT event_id, {_text('ts')} AS ts, place, magnitude, depth_km, alert, tsunami, risk_score, risk_tier,
+_add("high_risk_table", f"""SELECT CAST(row_number() OVER (ORDER BY risk_score DESC, event_id) AS INT) AS rank, event_id, {_text('ts')} AS ts, place, magnitude, depth_km, alert, tsunami, risk_score, risk_tier,
     tsunami_prob FROM scored s WHERE magnitude >= 5.5e0 ORDER BY risk_score DESC, event_id LIMIT 25""")
-_add("recent_quakes", f"SELECT event_id, magnitude, place, {_text('q.ts')} AS ts FROM quakes q WHERE magnitude >= 2.5e0 "
+_add("recent_quakes", f"SELECT CAST(row_number() OVER (ORDER BY q.ts DESC, event_id) AS INT) AS rank, event_id, magnitude, place, {_text('q.ts')} AS ts FROM quakes q WHERE magnitude >= 2.5e0 "
      "ORDER BY q.ts DESC, event_id LIMIT 500")
-_add("recent_events", f"SELECT event_id, type, title, {_text('e.last_ts')} AS last_ts FROM eonet e "
+_add("recent_events", f"SELECT CAST(row_number() OVER (ORDER BY e.last_ts DESC, event_id) AS INT) AS rank, event_id, type, title, {_text('e.last_ts')} AS last_ts FROM eonet e "
      "WHERE type IN ('wildfire', 'storm') ORDER BY e.last_ts DESC, event_id LIMIT 200")
-_add("tsunami_prob_top", "SELECT event_id, place, magnitude, depth_km, tsunami_prob, risk_score, risk_tier FROM scored "
+_add("tsunami_prob_top", "SELECT CAST(row_number() OVER (ORDER BY tsunami_prob DESC, event_id) AS INT) AS rank, event_id, place, magnitude, depth_km, tsunami_prob, risk_score, risk_tier FROM scored "
      "WHERE tsunami_prob >= 0.10e0 ORDER BY tsunami_prob DESC, event_id LIMIT 15")
 _add("declarations_by_state", "SELECT state, count(*) AS count, array_to_string(list_sort(list(DISTINCT incident_type)), '|') "
      "AS types FROM fema GROUP BY state")
-_add("top_states", "SELECT state, count(*) AS count FROM fema GROUP BY state ORDER BY count DESC, state NULLS LAST LIMIT 20")
+_add("top_states", "SELECT state, count(*) AS count, CAST(row_number() OVER (ORDER BY count(*) DESC, state NULLS LAST) AS INT) AS rank "
+     "FROM fema GROUP BY state ORDER BY count DESC, state NULLS LAST LIMIT 20")
 _add("daily_trend", f"SELECT CAST(date AS VARCHAR) AS date, count, {_mean('avg_mag', 6)} AS avg_mag FROM trend")
 _add("events_by_month_type", "SELECT coalesce(strftime(last_ts, '%Y-%m'), 'NaT') AS month, type, count(*) AS count FROM eonet "
      "WHERE type IS NOT NULL GROUP BY 1, 2")
@@ -235,6 +236,10 @@ _add("risk_scatter", "SELECT event_id, magnitude, risk_score, risk_tier FROM sco
 _add("flat_export", f"""SELECT event_id, magnitude, place, {_text('s.ts')} AS ts, longitude, latitude, depth_km, tsunami, alert,
     risk_score, risk_tier, anomaly_flag, tsunami_prob FROM scored s""")
 
+_add("event_export", f"SELECT event_id, type, title, longitude, latitude, {_text('e.last_ts')} AS last_ts FROM eonet e")
+_add("state_export", "SELECT state, count(*) AS count, '[' || coalesce(array_to_string(list_sort(list(DISTINCT '\"' || incident_type || '\"')), ','), '') "
+     "|| ']' AS types FROM fema GROUP BY state")
+
 # Seasons
 _avg3 = _mean("sum(magnitude) / count(*)", 3)
 _add("seasonal_pattern", f"""SELECT 'month' AS level, CAST(NULL AS INT) AS year, CAST(month(ts) AS INT) AS month,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -27,27 +29,33 @@ def train_all(quakes: DataFrame, root: str, start: str, as_of: str) -> None:
     nothing but fitted models and k/cost pairs reaches the driver.
     """
     window = training_window(quakes, start)
+    now = F.lit(datetime.now(timezone.utc).isoformat(timespec="seconds"))
+
+    def save(rows_: DataFrame, path: str) -> None:
+        """Every record says when it was trained, so that a stale one shows."""
+        stats.write_json(rows_.withColumn("trained_at", now), path)
+
     model, predictions = risk_forest.train(window, f"{root}/risk_forest")
-    stats.write_json(risk_forest.metrics(predictions), f"{root}/risk_forest_metrics")
-    stats.write_json(risk_forest.importances(quakes.sparkSession, model), f"{root}/risk_forest_importances")
+    save(risk_forest.metrics(predictions), f"{root}/risk_forest_metrics")
+    save(risk_forest.importances(quakes.sparkSession, model), f"{root}/risk_forest_importances")
 
     cells, thresholds = baseline.fit_baseline(window)
-    stats.write_json(thresholds, f"{root}/anomaly_thresholds")
-    stats.write_json(cells.withColumn("cell", stats.cell_key()), f"{root}/anomaly_cells")
+    save(thresholds, f"{root}/anomaly_thresholds")
+    save(cells.withColumn("cell", stats.cell_key()), f"{root}/anomaly_cells")
 
     fitted = regions.fit(window)
     regions.save(fitted, f"{root}/region_clusters")
-    stats.write_json(fitted.sweep.withColumn("chosen", F.col("k") == fitted.k), f"{root}/region_sweep")
+    save(fitted.sweep.withColumn("chosen", F.col("k") == fitted.k), f"{root}/region_sweep")
     profiles = regions.cluster_profiles(fitted.assignments())
     means = ["avg_eq_count", "cluster_avg_mag", "cluster_avg_depth"]
-    stats.write_json(
+    save(
         profiles.withColumns({c: exact_half_even(settled(c), 3) for c in means}), f"{root}/region_profiles")
 
     counts = seasonal.calendar_counts(window, as_of)
     counts.write.mode("overwrite").parquet(f"{root}/calendar_counts")
     counts = quakes.sparkSession.read.parquet(f"{root}/calendar_counts")
-    stats.write_json(seasonal.patterns(counts), f"{root}/seasonal_patterns")
-    stats.write_json(seasonal.rates(counts), f"{root}/seasonal_rates")
+    save(seasonal.patterns(counts), f"{root}/seasonal_patterns")
+    save(seasonal.rates(counts), f"{root}/seasonal_rates")
 
 
 RATES = "daily_event_rate DOUBLE, recent_daily_rate DOUBLE, recent_avg_magnitude DOUBLE, total_events BIGINT, total_days INT"

@@ -106,6 +106,8 @@ def test_training_job_writes_every_result(spark, folder, event_rows):
     stats = training.load_thresholds(spark, folder).first()
     assert stats.total_cells == training.load_cells(spark, folder).count()
     assert spark.read.json(f"{folder}/risk_forest_importances").count() == 11
+    for saved in ("risk_forest_metrics", "anomaly_thresholds", "anomaly_cells", "region_profiles", "seasonal_rates"):
+        assert spark.read.json(f"{folder}/{saved}").filter("try_to_timestamp(trained_at) IS NULL").count() == 0
     assert spark.read.json(f"{folder}/region_sweep").filter("chosen").count() == 1
     assert spark.read.json(f"{folder}/seasonal_patterns").filter("level = 'day_of_week'").count() == 7
     found = anomaly.detect(quakes.drop("anomaly_flag"), event_rows(), training.load_thresholds(spark, folder))
