@@ -10,6 +10,9 @@ from quakeloom.session import prepare
 
 from . import bpe, chat, exact_dedup, hilbert, langid, mixing, quality, secrets, setjoin, substrings
 from .common import table
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,4 +74,3 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_secrets, op2_quality, op3_exact_dedup, op4_hilbert, op5_mixing, op6_langid, op7_chat, op8_bpe, op9_substrings, op10_jaccard)}
-ORACLES: dict[str, str] = {}

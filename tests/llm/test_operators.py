@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from compare import differences, oracle_connection
 from quakeloom.llm import bpe, chat, common, exact_dedup, hilbert, langid, mixing, quality, queries, secrets, setjoin, substrings
 
 SF = "/root/testdata/sf0.001"
@@ -227,6 +228,15 @@ def test_frequent_shingles_change_no_result(documents, monkeypatch):
     same(setjoin.components(documents, 4, 85), want, ["doc_id", "n_shingles", "component_id"])
 
 
+# ---------------------------------------------------------------- SQL
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    big = "/root/testdata/sf0.01"
+    found = differences(queries.QUERIES[name](spark, big), oracle_connection(big), queries.ORACLES[name])
+    assert found is None, found
+
+
 # ---------------------------------------------------------------- learned operators
 
 def test_quality(spark, documents):
