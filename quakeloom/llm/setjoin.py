@@ -17,8 +17,8 @@ which that bound stays below the threshold are done too; only what lies between
 its members compared.
 
 *Block skipping.* Lists are split into blocks of like set sizes, and a set is joined
-with the blocks of its own size and the next only; within them positions in the
-prefixes bound the overlap that is still possible.
+with the blocks of its own size and the next only; the positions of shared shingles
+and their number bound the overlap that is still possible.
 
 Components spread by the least label with pointer jumping over written tables.
 
@@ -93,8 +93,8 @@ def frequent(rows: DataFrame, n: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in top.collect()], np.int64).view(np.uint64))
 
 
-def prefix_of(shingles: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
-    """The set's first shingles in the order: the frequent ones last, else by fingerprint."""
+def prefix_of(shingles: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, float]:
+    """The set's first shingles in the order, the frequent ones last, else by fingerprint; and where in the order they end."""
     n = len(shingles)
     length = n + 1 - -(-percent * n // 100)
     for most in (2 * length, n):
@@ -102,9 +102,10 @@ def prefix_of(shingles: np.ndarray, often: np.ndarray, percent: int) -> np.ndarr
         rare = head[~_in(often, head)]
         if len(rare) >= length or most >= n:
             break
-    if len(rare) < length:
+    few = len(rare) < length
+    if few:
         rare = np.concatenate([rare, shingles[_in(often, shingles)]])
-    return rare[:length]
+    return rare[:length], float(rare[length - 1]) / 2.0**64 + few
 
 
 def _in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -114,7 +115,7 @@ def _in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """k1, k2, doc_id, n, c (fingerprint of the set), keys (min-hashes) and prefix of each row."""
+    """k1, k2, doc_id, n, c (fingerprint of the set), keys (min-hashes), prefix and stop (its end in the order) of each row."""
     spark = rows.sparkSession
     often = spark.sparkContext.broadcast(frequent(rows, n))
 
@@ -125,14 +126,15 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
             for k in range(PIVOT_KEYS if len(every) else 0):  # an odd factor orders fingerprints anew
                 least[rows_, k] = np.minimum.reduceat(every * np.uint64(0x9E3779B97F4A7C15 ^ (k << 33)), cut[rows_])
             keys = mix(least + np.arange(1, PIVOT_KEYS + 1, dtype=np.uint64)[None, :]).view(np.int64)
-            prefix = [prefix_of(every[a:b], often.value, percent).view(np.int64) if b > a else [] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            prefix = [prefix_of(every[a:b], often.value, percent) if b > a else (every[:0], 0.0) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
             rest = [batch.column(batch.schema.get_field_index(x)).slice(first, last - first) for x in ("k1", "k2", "doc_id")]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(size.astype(np.int32)), pa.array(_class_ids(every, cut), pa.binary()),
                  pa.array([k if full else [] for k, full in zip(keys, size > 0)], pa.list_(pa.int64())),
-                 pa.array(prefix, pa.list_(pa.int64()))], ["k1", "k2", "doc_id", "n", "c", "keys", "prefix"])
+                 pa.array([p.view(np.int64) for p, _ in prefix], pa.list_(pa.int64())), pa.array([e for _, e in prefix], pa.float64())],
+                ["k1", "k2", "doc_id", "n", "c", "keys", "prefix", "stop"])
 
-    return rows.mapInArrow(build, "k1 long, k2 long, doc_id long, n int, c binary, keys array<long>, prefix array<long>")
+    return rows.mapInArrow(build, "k1 long, k2 long, doc_id long, n int, c binary, keys array<long>, prefix array<long>, stop double")
 
 
 def one_each(table: DataFrame) -> DataFrame:
@@ -219,7 +221,7 @@ def alike(na: Column, nb: Column, percent: int) -> Column:
 
 
 def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links of classes to pivots, and the families: c, n, root, extra (shingles of c that its root lacks)."""
+    """Links of classes to pivots, and the families: c, n, stop, root, extra (shingles of c that its root lacks)."""
     keys = classes.select("c", "n", F.explode("keys").alias("key"))
     pivots = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("c", "n")).alias("p")).filter("m > 1")
     pairs = keys.join(pivots, "key").select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("p.c").alias("b"), F.col("p.n").alias("nb"))
@@ -228,42 +230,63 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
              .agg(F.count("*").alias("m")).filter("m > 1").groupBy("a", "na").agg(F.max(F.struct("m", "b", "nb")).alias("p")))
     pairs = materialise(pairs.select("a", "na", "p.b", "p.nb"), "pivot-pairs")
     met = overlaps(rows, classes, pairs, n)
-    links = met.filter(enough(F.col("o"), F.col("na"), F.col("nb"), percent))
+    links = materialise(met.filter(enough(F.col("o"), F.col("na"), F.col("nb"), percent)), "pivot-links")
     close = links.filter((F.col("na") + F.col("nb") - 2 * F.col("o")) <= KIN * F.col("na"))
     best = close.groupBy(F.col("a").alias("c")).agg(F.max(F.struct(F.col("o"), F.col("b").alias("root"))).alias("x"))
     # a pivot that is a member itself founds no family
     best = best.select("c", "x.root", "x.o").join(best.select(F.col("c").alias("root")), "root", "left_anti")
-    family = classes.select("c", "n").join(best, "c", "left").select(
-        "c", "n", F.coalesce("root", "c").alias("root"), F.coalesce(F.col("n") - F.col("o"), F.lit(0)).alias("extra"))
+    family = classes.select("c", "n", "stop").join(best, "c", "left").select(
+        "c", "n", "stop", F.coalesce("root", "c").alias("root"), F.coalesce(F.col("n") - F.col("o"), F.lit(0)).alias("extra"))
     return links.select("a", "b"), materialise(family, "families")
 
 
-def candidates(classes: DataFrame, family: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different roots whose families share a list block: a, na, b, nb."""
+def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """c and the pivot it is linked to, or the pivot's own: classes with one such are connected already."""
+    up = links.select(F.col("a").alias("from"), F.col("b").alias("up"))
+    one = classes.select("c").join(up, F.col("c") == F.col("from"), "left").select("c", F.coalesce("up", "c").alias("via"))
+    two = one.join(up, F.col("via") == F.col("from"), "left")
+    return materialise(two.select("c", F.coalesce("up", "via").alias("met")), "joined")
+
+
+def candidates(classes: DataFrame, family: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different roots, not connected already, whose families can hold a link: a, na, b, nb.
+
+    The prefix that ends first in the order has all its common shingles in the other prefix, so those
+    found in the lists, and what follows that prefix, bound the overlap; so does what follows the
+    first common shingle in either set.
+    """
     postings = classes.select("c", F.posexplode("prefix").alias("i", "token"))
     shared = materialise(repeated(classes, "prefix"), "shared-shingles")
     some, _ = screen(postings, F.col("token"), shared)
-    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    block = F.floor(F.log(F.col("n").cast("double")) / (F.log(F.lit(100.0 / percent)) * 1.0001)).cast("int")
     listed = some.join(shared, "token", "left_semi").join(family, "c").select("token", "root", "n", "i", block.alias("block"))
     # one entry for a family in a block of a list: its sizes and its earliest position
     listed = materialise(listed.groupBy("token", "block", "root").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("i")).alias("rest")), "lists")
     left = listed.select(*(F.col(x).alias(f"l_{x}") for x in listed.columns), F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
-    met = left.join(listed, (F.col("l_token") == F.col("token")) & (F.col("l_block") + F.col("step") == F.col("block"))
+    shares = left.join(listed, (F.col("l_token") == F.col("token")) & (F.col("l_block") + F.col("step") == F.col("block"))
                     & (F.col("l_root") != F.col("root"))
                     & ((F.col("step") == 1) | (F.col("l_root") < F.col("root")))
-                    & (100 * F.col("l_most") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("l_least"))
-                    # what follows the shared shingle must suffice for the least overlap of these sizes
-                    & ((100 + percent) * F.least("l_rest", "rest") >= percent * (F.col("l_least") + F.col("least"))))
-    pairs = met.select(F.least("l_root", "root").alias("a"), F.greatest("l_root", "root").alias("b")).distinct()
-    size = family.select(F.col("c").alias("x"), "n")
-    return materialise(pairs.join(size.withColumnsRenamed({"x": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"x": "b", "n": "nb"}), "b"), "root-pairs")
+                    & (100 * F.col("l_most") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("l_least")))
+    pairs = shares.groupBy(F.least("l_root", "root").alias("a"), F.greatest("l_root", "root").alias("b")).agg(
+        F.count("*").alias("common"), F.max(F.least("l_rest", "rest")).alias("rest"))
+    spans = family.groupBy("root").agg(*(f(x).alias(f"{x}_{f.__name__}") for x in ("n", "stop") for f in (F.min, F.max)),
+                                       F.max(F.when(F.col("c") == F.col("root"), F.col("n"))).alias("n"))
+    spans = materialise(spans.join(met.withColumnRenamed("c", "root"), "root"), "spans")
+    side = lambda x: spans.withColumnsRenamed({"root": x, "n": f"n{x}", "met": f"met_{x}", **{f"{c}_{f}": f"{c}_{f}_{x}" for c in ("n", "stop") for f in ("min", "max")}})
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    follows = lambda x: F.ceil(percent * F.col(f"n_max_{x}") / 100) - 1
+    after = (F.when(F.col("stop_max_a") < F.col("stop_min_b"), follows("a")).when(F.col("stop_max_b") < F.col("stop_min_a"), follows("b"))
+             .otherwise(F.greatest(follows("a"), follows("b"))))
+    need = percent * (F.col("n_min_a") + F.col("n_min_b"))
+    can = ((100 + percent) * (F.col("common") + after) >= need) & ((100 + percent) * F.col("rest") >= need)
+    return materialise(both.filter(can & (F.col("met_a") != F.col("met_b"))).select("a", "na", "b", "nb"), "root-pairs")
 
 
 def class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between classes from which every other link's ends can be reached."""
     own, family = kin(rows, classes, n, percent)
-    met = overlaps(rows, classes, candidates(classes, family, percent), n)
+    met = overlaps(rows, classes, candidates(classes, family, joined(classes, own), percent), n)
     linked = enough(F.col("o"), F.col("na"), F.col("nb"), percent)
     across = met.filter(linked).select("a", "b")
     # members can share more than their roots do, by what they have beyond them
