@@ -7,14 +7,15 @@ among each one's first ``n - ceil(t n) + 1``. The order is by fingerprint, but s
 that many documents share come last, so few prefixes hold them; which ones those are
 is a matter of speed alone.
 
-*Set relations.* Classes with a min-hash in common are compared to one pivot of them.
-A class close to its pivot joins the pivot's family, and only the pivot's answers are
-computed: lists hold families, so a group of thousands of near copies is one entry of
-a list. A member's answers follow from its pivot's incrementally: its overlap with a
-set exceeds the pivot's by no more than what it has beyond the pivot. Pairs of
-families whose pivots link are done (their members are linked to them); pairs for
-which that bound stays below the threshold are done too; only what lies between has
-its members compared.
+*Set relations.* Classes with min-hashes in common are compared to a central one of
+them, the pivot, and join its family if they are like it at all. Only the pivot's
+answers are computed from whole sets; a member's follow incrementally, from what it
+lacks of its pivot and what it has beyond it. Members linked to their pivot are in
+its component. Of a family's other pairs, one with a member too far from the pivot
+must share shingles that the pivot lacks, so only members that share such are
+compared: these lists hold what single copies changed, however many copies there are.
+For pairs across families the overlap of the pivots bounds the members'; only pairs
+that the bound leaves open are compared.
 
 *Block skipping.* Lists are split into blocks of like set sizes, and a set is joined
 with the blocks of its own size and the next only; the positions of shared shingles
@@ -33,6 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import blocks, materialise, mix, prefix_hash, row_key, screen, span_hash, text_bytes, texts, word_hashes
@@ -40,11 +42,13 @@ from .common import blocks, materialise, mix, prefix_hash, row_key, screen, span
 #: Words of a shingle, and the least similarity in hundredths.
 SHINGLE, PERCENT = 5, 80
 #: Min-hashes by which classes find a pivot.
-PIVOT_KEYS = 4
+PIVOT_KEYS = 8
 #: At most so many shingles are known as frequent (1 MB); beyond, the order is by fingerprint alone.
 FREQUENT, FREQUENT_FROM = 1 << 17, 32
-#: A family member differs from its pivot in at most this share of its shingles.
-KIN = 0.1
+#: A family member has this Jaccard similarity to its pivot at least (in hundredths).
+KIN = 30
+#: Families from this size on move to their most typical member, told from so many of them.
+LARGE, TOLD = 16, 64
 #: Numbers that one task counts at once (8 MB).
 PART_NUMBERS = 1_000_000
 
@@ -180,8 +184,8 @@ def repeated(lists: DataFrame, column: str) -> DataFrame:
     return lists.select(column).mapInArrow(pack, "part int, tokens binary").groupBy("part").applyInArrow(count, "token long")
 
 
-def overlaps(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """pairs (a, na, b, nb) with ``o``, the size of the intersection of the two sets.
+def overlaps(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, beyond: bool = False) -> DataFrame:
+    """pairs (a, na, b, nb) with ``o``, the size of the intersection of the two sets, and for kin ``added`` and ``gone``, a without b and b without a.
 
     The one set of each pair travels to the other, once a pair; of the documents only those of a pair travel.
     """
@@ -207,7 +211,11 @@ def overlaps(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> D
 
     sent = sets_of(left, "left").select(F.col("c").alias("a"), F.col("s").alias("sa"), F.explode("to").alias("t")).select("a", "sa", "t.*")
     met = sent.join(sets_of(right, "right").select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
-    found = met.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
+    found = met.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"),
+                       *([F.array_except("sa", "sb").alias("added"), F.array_except("sb", "sa").alias("gone")] if beyond else []))
+    if beyond:
+        like = enough(F.col("o"), F.col("na"), F.col("nb"), KIN)
+        found = found.withColumns({x: F.when(like, F.col(x)) for x in ("added", "gone")})
     return materialise(found.dropDuplicates(["a", "b"]), "overlaps")
 
 
@@ -220,29 +228,102 @@ def alike(na: Column, nb: Column, percent: int) -> Column:
     return (F.lit(100) * F.least(na, nb)) >= (F.lit(percent) * F.greatest(na, nb))
 
 
-def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links of classes to pivots, and the families: c, n, stop, root, extra (shingles of c that its root lacks)."""
+def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links of classes to pivots; the families; and what members have beyond their roots (c, root, added).
+
+    A family row has c, n, stop, root, away (shingles of the root that c lacks), extra (of c that the root
+    lacks) and near (linked to the root).
+    """
     keys = classes.select("c", "n", F.explode("keys").alias("key"))
-    pivots = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("c", "n")).alias("p")).filter("m > 1")
-    pairs = keys.join(pivots, "key").select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("p.c").alias("b"), F.col("p.n").alias("nb"))
-    # near copies share most keys; of several pivots the one with the most in common is compared
-    pairs = (pairs.filter((F.col("a") != F.col("b")) & alike(F.col("na"), F.col("nb"), percent)).groupBy("a", "na", "b", "nb")
-             .agg(F.count("*").alias("m")).filter("m > 1").groupBy("a", "na").agg(F.max(F.struct("m", "b", "nb")).alias("p")))
-    pairs = materialise(pairs.select("a", "na", "p.b", "p.nb"), "pivot-pairs")
-    met = overlaps(rows, classes, pairs, n)
-    links = materialise(met.filter(enough(F.col("o"), F.col("na"), F.col("nb"), percent)), "pivot-links")
-    close = links.filter((F.col("na") + F.col("nb") - 2 * F.col("o")) <= KIN * F.col("na"))
-    best = close.groupBy(F.col("a").alias("c")).agg(F.max(F.struct(F.col("o"), F.col("b").alias("root"))).alias("x"))
+    groups = keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    shared = materialise(keys.join(groups, "key"), "shared-keys")
+    # a class whose keys many others have is central: an unedited copy rather than an edited one
+    ranked = shared.join(shared.groupBy("c").agg(F.sum("m").alias("score")), "c")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("score", "c", "n")).alias("p"))
+    met = (ranked.join(pivots, "key").filter((F.col("c") != F.col("p.c")) & alike(F.col("n"), F.col("p.n"), 50))
+           .groupBy(F.col("c").alias("a"), F.col("n").alias("na"), "p").agg(F.count("*").alias("m")).filter("m > 1"))
+    # each class is compared to the most central pivot and to the one it has most in common with
+    two = met.groupBy("a", "na").agg(F.array_distinct(F.array(F.max(F.struct("p", "m"))["p"], F.max(F.struct("m", "p"))["p"])).alias("ps"))
+    pairs = materialise(two.select("a", "na", F.explode("ps").alias("p")).select("a", "na", F.col("p.c").alias("b"), F.col("p.n").alias("nb"), "p.score"), "pivot-pairs")
+    known = overlaps(rows, classes, pairs.drop("score"), n, beyond=True).join(pairs.select("a", "b", "score"), ["a", "b"])
+    known = materialise(known, "pivot-overlaps")
+    near = enough(F.col("o"), F.col("na"), F.col("nb"), percent)
+    links = known.filter(near).select("a", "b")
+    best = known.filter(F.col("added").isNotNull()).groupBy(F.col("a").alias("c")).agg(
+        F.max(F.struct("score", F.col("b").alias("root"))).alias("x")).select("c", "x.root")
     # a pivot that is a member itself founds no family
-    best = best.select("c", "x.root", "x.o").join(best.select(F.col("c").alias("root")), "root", "left_anti")
-    family = classes.select("c", "n", "stop").join(best, "c", "left").select(
-        "c", "n", "stop", F.coalesce("root", "c").alias("root"), F.coalesce(F.col("n") - F.col("o"), F.lit(0)).alias("extra"))
-    return links.select("a", "b"), materialise(family, "families")
+    best = materialise(best.join(best.select(F.col("c").alias("root")), "root", "left_anti"), "kin")
+    kin_rows = known.select(F.col("a").alias("c"), F.col("na").alias("n"), F.col("b").alias("root"), F.col("nb").alias("nr"), "added", "gone").join(best, ["c", "root"], "left_semi")
+    members = materialise(moved(materialise(kin_rows, "members")), "moved")
+    o = F.col("n") - F.size("added")
+    near = enough(o, F.col("n"), F.col("nr"), percent)
+    links = links.unionByName(members.filter(near & (F.col("c") != F.col("root"))).select(F.col("c").alias("a"), F.col("root").alias("b"))).distinct()
+    kept = members.filter(enough(o, F.col("n"), F.col("nr"), KIN) & (F.col("c") != F.col("root"))).select(
+        F.col("c").alias("k"), "root", F.size("gone").alias("away"), F.size("added").alias("extra"), near.alias("near"), "added")
+    kept = materialise(kept, "kept")
+    family = classes.select("c", "n", "stop").join(kept.drop("added"), F.col("c") == F.col("k"), "left").select(
+        "c", "n", "stop", F.coalesce("root", "c").alias("root"), F.coalesce("away", F.lit(0)).alias("away"),
+        F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("near", F.lit(True)).alias("near"))
+    return materialise(links, "pivot-links"), materialise(family, "families"), kept.select(F.col("k").alias("c"), "root", "added")
+
+
+def moved(members: DataFrame) -> DataFrame:
+    """Members (c, n, root, nr, added, gone), and the roots themselves, of large families seen from their most typical member.
+
+    Which one that is shows in the differences from the root that most of some members have. What the
+    others differ by from it follows from what both differ by from the old root.
+    """
+    none = F.array().cast("array<bigint>")
+    roots = members.groupBy(F.col("root").alias("c"), F.col("nr").alias("n")).agg(F.count("*").alias("m"))
+    own = roots.filter(F.col("m") >= LARGE).select("c", "n", F.col("c").alias("root"), F.col("n").alias("nr"), none.alias("added"), none.alias("gone"))
+    every = members.unionByName(own)
+    some = members.join(own.select("root"), "root", "left_semi").withColumn("i", F.row_number().over(W.partitionBy("root").orderBy("c"))).filter(F.col("i") <= TOLD)
+    differs = materialise(some.select("root", "c", F.explode(F.concat("added", "gone")).alias("token")), "differences")
+    told = differs.groupBy("root").agg(F.count_distinct("c").alias("m"))
+    weight = differs.groupBy("root", "token").agg(F.count("*").alias("k")).join(told, "root").select("root", "token", (2 * F.col("k") - F.col("m")).alias("w"))
+    typical = differs.join(weight, ["root", "token"]).groupBy("root", "c").agg(F.sum("w").alias("w")).filter("w > 0")
+    chosen = typical.groupBy("root").agg(F.max(F.struct("w", "c")).alias("x")).select("root", F.col("x.c").alias("c"))
+    hub = materialise(members.join(chosen, ["root", "c"]).select("root", F.col("c").alias("hub"), F.col("n").alias("nh"), F.col("added").alias("plus"), F.col("gone").alias("minus")), "hubs")
+    far = every.join(hub, "root", "left")
+    seen = lambda a, b, c, d: F.concat(F.array_except(a, b), F.array_except(c, d))
+    to = F.col("hub").isNotNull()
+    return far.select("c", "n", F.coalesce("hub", "root").alias("root"), F.coalesce("nh", "nr").alias("nr"),
+                      F.when(to, seen("added", "plus", "minus", "gone")).otherwise(F.col("added")).alias("added"),
+                      F.when(to, seen("plus", "added", "gone", "minus")).otherwise(F.col("gone")).alias("gone"))
+
+
+def within(classes: DataFrame, family: DataFrame, beyond: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one family, one of them far at least, that their overlap with the root leaves open.
+
+    Both overlap the root in some of its shingles; what a link needs beyond the lesser overlap they must
+    share among what the root lacks. It needs nothing more only if one of them is smaller than the root by
+    enough, so such pairs meet by their sizes.
+    """
+    tokens = materialise(repeated(beyond, "added"), "shared-additions")
+    some, _ = screen(beyond.select("c", "root", F.explode("added").alias("token")), F.col("token"), tokens)
+    members = materialise(family.filter(F.col("c") != F.col("root")).select("c", "root", "n", (F.col("n") - F.col("extra")).alias("o"), "near"), "kin-sizes")
+    listed = materialise(some.join(tokens, "token", "left_semi").join(members, ["c", "root"]), "additions")
+    named = lambda df, *more: df.select(*(F.col(x).alias(f"l_{x}") for x in ("root", "c", "n", "o", "near", *more)))
+    both = (F.col("l_root") == F.col("root")) & ~(F.col("l_near") & F.col("near")) & alike(F.col("l_n"), F.col("n"), percent)
+    met = named(listed, "token").join(listed, both & (F.col("l_token") == F.col("token")) & (F.col("l_c") < F.col("c")))
+    pairs = met.groupBy("l_c", "l_n", "l_o", "c", "n", "o").agg(F.count("*").alias("common"))
+    need = lambda most: (100 + percent) * most >= percent * (F.col("l_n") + F.col("n"))
+    sharing = pairs.filter(need(F.col("common") + F.least("l_o", "o")))
+    # of the far ones, those that lie in the root mostly, with each size that the other may have
+    last = F.floor((100 + percent) * F.col("o") / percent).cast("int") - F.col("n")
+    first = F.ceil(percent * F.col("n") / 100).cast("int")
+    far = members.filter(~F.col("near") & (last >= first)).withColumn("size", F.explode(F.sequence(first, last)))
+    inside = named(far, "size").join(members, both & (F.col("l_size") == F.col("n")) & (F.col("l_c") != F.col("c")) & need(F.least("l_o", "o")))
+    found = sharing.select("l_c", "l_n", "c", "n").unionByName(inside.select("l_c", "l_n", "c", "n"))
+    swap = F.col("l_c") > F.col("c")
+    order = lambda x: [F.when(swap, F.col(x)).otherwise(F.col(f"l_{x}")), F.when(swap, F.col(f"l_{x}")).otherwise(F.col(x))]
+    (a, b), (na, nb) = order("c"), order("n")
+    return found.select(a.alias("a"), na.alias("na"), b.alias("b"), nb.alias("nb"))
 
 
 def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
     """c and the pivot it is linked to, or the pivot's own: classes with one such are connected already."""
-    up = links.select(F.col("a").alias("from"), F.col("b").alias("up"))
+    up = links.groupBy(F.col("a").alias("from")).agg(F.min("b").alias("up"))
     one = classes.select("c").join(up, F.col("c") == F.col("from"), "left").select("c", F.coalesce("up", "c").alias("via"))
     two = one.join(up, F.col("via") == F.col("from"), "left")
     return materialise(two.select("c", F.coalesce("up", "via").alias("met")), "joined")
@@ -270,40 +351,54 @@ def candidates(classes: DataFrame, family: DataFrame, met: DataFrame, percent: i
                     & (100 * F.col("l_most") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("l_least")))
     pairs = shares.groupBy(F.least("l_root", "root").alias("a"), F.greatest("l_root", "root").alias("b")).agg(
         F.count("*").alias("common"), F.max(F.least("l_rest", "rest")).alias("rest"))
-    spans = family.groupBy("root").agg(*(f(x).alias(f"{x}_{f.__name__}") for x in ("n", "stop") for f in (F.min, F.max)),
+    spans = family.groupBy("root").agg(F.min("near").alias("near"), *(f(x).alias(f"{x}_{f.__name__}") for x in ("n", "stop") for f in (F.min, F.max)),
                                        F.max(F.when(F.col("c") == F.col("root"), F.col("n"))).alias("n"))
     spans = materialise(spans.join(met.withColumnRenamed("c", "root"), "root"), "spans")
-    side = lambda x: spans.withColumnsRenamed({"root": x, "n": f"n{x}", "met": f"met_{x}", **{f"{c}_{f}": f"{c}_{f}_{x}" for c in ("n", "stop") for f in ("min", "max")}})
+    side = lambda x: spans.withColumnsRenamed({"root": x, "n": f"n{x}", "met": f"met_{x}", "near": f"near_{x}", **{f"{c}_{f}": f"{c}_{f}_{x}" for c in ("n", "stop") for f in ("min", "max")}})
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     follows = lambda x: F.ceil(percent * F.col(f"n_max_{x}") / 100) - 1
     after = (F.when(F.col("stop_max_a") < F.col("stop_min_b"), follows("a")).when(F.col("stop_max_b") < F.col("stop_min_a"), follows("b"))
              .otherwise(F.greatest(follows("a"), follows("b"))))
     need = percent * (F.col("n_min_a") + F.col("n_min_b"))
     can = ((100 + percent) * (F.col("common") + after) >= need) & ((100 + percent) * F.col("rest") >= need)
-    return materialise(both.filter(can & (F.col("met_a") != F.col("met_b"))).select("a", "na", "b", "nb"), "root-pairs")
+    apart = (F.col("met_a") != F.col("met_b")) | ~F.col("near_a") | ~F.col("near_b")
+    return materialise(both.filter(can & apart).select("a", "na", "b", "nb"), "root-pairs")
+
+
+def across(met: DataFrame, family: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of two families whose roots' overlap leaves a link open, other than the roots themselves."""
+    stats = family.groupBy("root").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("extra").alias("extra"), F.max("away").alias("away"),
+        F.count("*").alias("members"), F.min("near").alias("near"))
+    stats = materialise(stats, "family-sizes")
+    side = lambda x: stats.withColumnsRenamed({"root": x, **{c: f"{x}_{c}" for c in ("least", "most", "extra", "away", "members", "near")}})
+    member = lambda x: family.select(F.col("root").alias(f"root_{x}"), *(F.col(c).alias(f"{x}{c}") for c in ("c", "n", "away", "extra", "near")))
+    c = F.col
+    linked = enough(c("o"), c("na"), c("nb"), percent)
+    need = lambda most, na, nb: (100 + percent) * most >= percent * (na + nb)
+    open_ = met.join(side("a"), "a").join(side("b"), "b").filter(
+        (c("a_members") + c("b_members") > 2) & (~linked | ~c("a_near") | ~c("b_near")))
+    # of a root's overlap with a set, a member keeps no more than it has of the root, and adds no more than it has beyond
+    some = F.least(c("o") + c("b_extra"), c("na") - c("yaway")) + F.least(c("yextra"), c("b_most") - c("o") + c("b_away"))
+    left = open_.join(member("y"), (c("a") == c("root_y")) & need(some, c("yn"), c("b_least"))
+                      & ((c("b_members") > 1) | (c("yc") != c("a"))))
+    high = F.least(c("o"), c("nb") - c("zaway")) + F.least(c("zextra"), c("na") - c("o"))
+    most = F.least(high, c("na") - c("yaway")) + F.least(c("yextra"), c("zn") - c("o") + c("zaway"))
+    again = F.least(c("o"), c("na") - c("yaway")) + F.least(c("yextra"), c("nb") - c("o"))
+    other = F.least(again, c("nb") - c("zaway")) + F.least(c("zextra"), c("yn") - c("o") + c("yaway"))
+    both = left.join(member("z"), (c("b") == c("root_z")) & need(F.least(most, other), c("yn"), c("zn")) & alike(c("yn"), c("zn"), percent)
+                     & ((c("yc") != c("a")) | (c("zc") != c("b"))) & (~linked | ~c("ynear") | ~c("znear")))
+    return both.select(c("yc").alias("a"), c("yn").alias("na"), c("zc").alias("b"), c("zn").alias("nb"))
 
 
 def class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between classes from which every other link's ends can be reached."""
-    own, family = kin(rows, classes, n, percent)
-    met = overlaps(rows, classes, candidates(classes, family, joined(classes, own), percent), n)
+    own, family, beyond = kin(rows, classes, n, percent)
     linked = enough(F.col("o"), F.col("na"), F.col("nb"), percent)
-    across = met.filter(linked).select("a", "b")
-    # members can share more than their roots do, by what they have beyond them
-    beyond = family.groupBy("root").agg(F.max("extra").alias("extra"), F.min("n").alias("least"))
-    side = lambda x: beyond.withColumnsRenamed({"root": x, "extra": f"e{x}", "least": f"l{x}"})
-    most = F.col("o") + F.col("ea") + F.col("eb")
-    unsure = met.filter(~linked).join(side("a"), "a").join(side("b"), "b").filter(
-        ((F.col("ea") > 0) | (F.col("eb") > 0) | (F.col("la") < F.col("na")) | (F.col("lb") < F.col("nb")))
-        & ((100 + percent) * most >= percent * (F.col("la") + F.col("lb"))))
-    members = lambda x: family.select(F.col("root").alias(x), F.col("c").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("extra").alias(f"x{x}"))
-    finer = (unsure.select("a", "b", "o").join(members("a"), "a").join(members("b"), "b")
-             .filter(alike(F.col("na"), F.col("nb"), percent)
-                     & ((100 + percent) * (F.col("o") + F.col("xa") + F.col("xb")) >= percent * (F.col("na") + F.col("nb")))
-                     & ((F.col("ca") != F.col("a")) | (F.col("cb") != F.col("b"))))
-             .select(F.col("ca").alias("a"), "na", F.col("cb").alias("b"), "nb"))
-    finer = materialise(finer, "member-pairs")
-    found = own.unionByName(across)
+    met = overlaps(rows, classes, candidates(classes, family, joined(classes, own), percent), n)
+    finer = across(met, family, percent).unionByName(within(classes, family, beyond, percent))
+    finer = materialise(finer.distinct(), "member-pairs")
+    found = own.unionByName(met.filter(linked).select("a", "b"))
     if not finer.isEmpty():
         found = found.unionByName(overlaps(rows, classes, finer, n).filter(linked).select("a", "b"))
     return materialise(found, "links")

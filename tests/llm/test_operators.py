@@ -189,7 +189,7 @@ def test_equal_windows_have_equal_witnesses():
 
 # ---------------------------------------------------------------- Jaccard join
 
-@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80), (1, 50)])
+@pytest.mark.parametrize("n, percent", [(4, 85), (1, 50)])
 def test_components(docs, n, percent):
     same(setjoin.components(docs, n, percent), brute.components(rows_of(docs), n, percent), ["doc_id", "n_shingles", "component_id"])
 
@@ -205,11 +205,11 @@ def near_copies(rng, families, members, words, edits):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_components_of_near_copies(spark, seed):
     """Families of near copies whose links lie around the threshold, chains included."""
     rng = np.random.default_rng(seed)
-    texts = near_copies(rng, 12, 12, 120, 6) + near_copies(rng, 30, 3, 25, 2)
+    texts = near_copies(rng, 4, 40, 130, 16) + near_copies(rng, 12, 12, 120, 6) + near_copies(rng, 30, 3, 25, 2)
     shared = " ".join(f"p{i}" for i in range(60))
     texts += [shared + " " + " ".join(f"q{j}x{i}" for i in range(j)) for j in range(0, 40)]
     rows = list(enumerate(texts))
