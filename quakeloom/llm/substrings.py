@@ -232,7 +232,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     mixed = shared.filter("NOT alike").join(spans, ["key", "span"])
     full = shared.filter("alike").select("k1", "k2", "lo", "hi").unionByName(mixed.filter("n > 1").select("k1", "k2", "lo", "hi"))
     # rims: runs whose span is unique, and one run of each other span of their keys to compare with
-    rims = spans.filter("n = 1").select("key").distinct()
+    # written, so that both sides of the join below are plain exchanges, of which a hot key's can be split
+    rims = materialise(spans.filter("n = 1").select("key").distinct(), "rim-keys")
     one = (F.col("one.k1") == F.col("k1")) & (F.col("one.k2") == F.col("k2")) & (F.col("one.lo") == F.col("lo"))
     open_ = mixed.filter(one).join(rims, "key", "left_semi").dropDuplicates(["k1", "k2", "lo"])
     by_row = materialise(open_.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "key", "off")).alias("runs")), "rims")
