@@ -46,7 +46,7 @@ PIVOT_KEYS = 8
 #: At most so many shingles are known as frequent (1 MB); beyond, the order is by fingerprint alone.
 FREQUENT, FREQUENT_FROM = 1 << 17, 32
 #: A family member has this Jaccard similarity to its pivot at least (in hundredths).
-KIN = 30
+KIN = 50
 #: Families from this size on move to their most typical member, told from so many of them.
 LARGE, TOLD = 16, 64
 #: Numbers that one task counts at once (8 MB).
