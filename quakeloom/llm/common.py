@@ -250,3 +250,51 @@ def _packed(name: str):
             keys = batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_pydict({"keys": pa.array([keys.astype(np.int64).tobytes()], pa.binary())})
     return pack
+
+
+# ---------------------------------------------------------------- exact word numbers
+
+#: Bytes of text whose words are numbered at once; a longer text is cut between words.
+SLICE_BYTES = 1 << 20
+
+
+def slices(raw: np.ndarray, at: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Byte ranges of about ``most``, cut at a row's end or in front of a separator, never inside a word."""
+    first, n = int(at[0]), int(at[-1])
+    while first < n:
+        last = min(n, first + most)
+        if last < n:
+            row = int(at[np.searchsorted(at, last, "right") - 1])
+            if row > first:
+                last = row
+            else:
+                while last < n and not len(found := np.flatnonzero(SEPARATOR[raw[last:last + 65_536]])):
+                    last += 65_536
+                last = min(n, last + int(found[0]) if last < n else n, int(at[np.searchsorted(at, first, "right")]))
+        yield first, last
+        first = last
+
+
+def word_numbers(raw: np.ndarray, at: np.ndarray, most: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """For rows of bytes: each word's number, the words' offsets by row, and the distinct words that the numbers stand for.
+
+    Equal numbers mean equal bytes: the words are looked up, not hashed to a name.
+    """
+    parts, offsets = [], np.zeros(len(at), np.int64)
+    for first, last in slices(raw, at, most):
+        part = raw[first:last]
+        inside = ~SEPARATOR[part]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        edge = at[(at >= first) & (at < last)] - first
+        begins[edge] |= inside[edge]
+        start = np.flatnonzero(begins)
+        cut = np.append(np.cumsum(inside)[start] - 1, np.count_nonzero(inside)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(start), pa.py_buffer(cut), pa.py_buffer(part[inside]))
+        parts.append(words.dictionary_encode())
+        offsets += np.searchsorted(start + first, at)
+    if not parts:
+        return np.zeros(0, np.int32), offsets, pa.array([], pa.string())
+    whole = pa.chunked_array(parts).unify_dictionaries().combine_chunks()
+    whole = whole.chunk(0) if isinstance(whole, pa.ChunkedArray) else whole
+    return whole.indices.to_numpy(zero_copy_only=False), offsets, whole.dictionary

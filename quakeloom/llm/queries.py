@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quakeloom.session import prepare
 
-from . import bpe, chat, exact_dedup, hilbert, langid, mixing, quality, secrets, setjoin, substrings
+from . import bpe, chat, exact_dedup, hilbert, langid, mixing, packing, periodic, quality, secrets, setjoin, spelling, substrings
 from .common import table
 from .oracles import ORACLES
 
@@ -72,5 +72,24 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.digest(setjoin.components(table(prepare(spark), sf_dir, "documents"), n=4, percent=85))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their near words and the form that each stands for."""
+    return spelling.group(table(prepare(spark), sf_dir, "documents"), slip=97)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of them planted."""
+    return periodic.digest(periodic.find(table(prepare(spark), sf_dir, "documents"), periodic.planted))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2,048 tokens."""
+    import public_tokenizers
+
+    cut = packing.pieces(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(packing.digest(cut))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_secrets, op2_quality, op3_exact_dedup, op4_hilbert, op5_mixing, op6_langid, op7_chat, op8_bpe, op9_substrings, op10_jaccard)}
+    op1_secrets, op2_quality, op3_exact_dedup, op4_hilbert, op5_mixing, op6_langid, op7_chat, op8_bpe, op9_substrings, op10_jaccard,
+    op11_spelling, op12_periodic, op13_packing)}

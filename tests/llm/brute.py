@@ -5,7 +5,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -128,3 +132,67 @@ def components(rows, n=4, percent=85):
         if doc_id is not None:
             least[root(i)] = min(doc_id, least.get(root(i), doc_id))
     return sorted(((doc_id, len(s), least.get(root(i))) for i, ((doc_id, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def spelling(rows, slip=97, length=5, times=3, ratio=2):
+    """rows (doc_id, text) -> sorted (word, form, root, n, n_near, form_n), every two words compared."""
+    count = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            count[run[:h % len(run)] + run[h % len(run) + 1:] if h % slip == 0 else run] += 1
+    words = {w: n for w, n in count.items() if len(w) >= length and n >= times}
+    cut = defaultdict(set)  # a single edit leaves the words equal once each loses at most one code point
+    for w in words:
+        for i in range(len(w)):
+            cut[w[:i] + w[i + 1:]].add((w, i))
+        cut[w].add((w, None))
+    near = defaultdict(set)
+    for same in cut.values():
+        for a, i in same:
+            for b, j in same:
+                if a != b and (i is None or j is None or i == j):
+                    near[a].add(b)
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= ratio * words[w] else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words.get(form[w])))
+    return sorted(out)
+
+
+def runs(words, least=6, times=4):
+    """All (start, length, period) of a list of words, each period tried at every place."""
+    found, number = {}, {}
+    w = np.array([number.setdefault(x, len(number)) for x in words], np.int64)
+    for q in range(1, len(w) // times + 1):
+        edge = np.flatnonzero(np.diff(np.r_[0, w[q:] == w[:-q], 0]))
+        for i, j in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if j - i + q >= max(least, times * q):
+                found.setdefault((i, j - i + q), q)
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def periodic(rows):
+    """rows (doc_id, text) -> sorted (doc_id, n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256)."""
+    out = []
+    for doc_id, text in rows:
+        w = WORD.findall(text or "")
+        n, h = len(w), zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+        found = runs(w)
+        gone = {i for s, m, q in found for i in range(s + q, s + m)}
+        best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+        out.append((doc_id, len(found), *best, None if best[0] is None else 1000 * best[1] // best[2],
+                    sha("".join(f"{s},{m},{q}\n" for s, m, q in found)), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return sorted(out, key=str)
