@@ -13,6 +13,9 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     # the legacy 96-bit format carries no statistics, so scans could not skip by time
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # batches for Python workers are bounded by their size, not by rows of unknown length
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     # keyed stream state lives on disk, so it may outgrow executor memory
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
