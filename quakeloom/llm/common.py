@@ -8,8 +8,8 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +18,7 @@ from quakeloom.session import materialise, scratch_path
 __all__ = ["materialise", "scratch_path"]
 
 #: Bytes of text handled at once by the bulk word functions.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -82,6 +82,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _powers(base: int, n: int, modulus: int) -> np.ndarray:
+    """The first powers of a base, by doubling."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), modulus)) % np.uint64(modulus)])
+    return out
+
+
+class Spans:
+    """Fingerprints of spans of named words: two polynomials modulo primes below 2**31, 62 bits in all.
+
+    A modulus of 2**64 would do without the divisions, but words that alternate in the order of Thue and
+    Morse have equal values there whatever the base. ``seed`` draws independent polynomials.
+    """
+
+    PRIMES = (2_147_483_647, 2_147_483_629)
+    _known: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, names: np.ndarray, seed: int = 0):
+        self.parts = []
+        for k, prime in enumerate(self.PRIMES):
+            base = 1_000_003 + 7_919 * (2 * seed + k)
+            up, down = self._known.get((seed, k), (np.ones(1, np.uint64),) * 2)
+            if len(up) <= len(names):
+                size = 1 << len(names).bit_length()
+                up, down = _powers(base, size, prime), _powers(pow(base, -1, prime), size, prime)
+                if size <= 1 << 20:  # of longer texts they are made anew
+                    self._known[seed, k] = up, down
+            value = mix(names ^ np.uint64((2 * seed + k + 1) * WORD_BASE & (2**64 - 1))) % np.uint64(prime)
+            prefix = np.zeros(len(names) + 1, np.uint64)  # sums of numbers below 2**31 stay below 2**63
+            np.cumsum(value * up[:len(names)] % np.uint64(prime), out=prefix[1:])
+            self.parts.append((np.uint64(prime), prefix, down))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        (p, one, down), (q, two, low) = self.parts
+        high = (one[end] - one[start]) % p * down[start] % p
+        return mix((high << np.uint64(32) | (two[end] - two[start]) % q * low[start] % q) ^ mix((end - start).astype(np.uint64)))
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2**64, grown on demand."""
 
@@ -97,19 +136,19 @@ class Powers:
         return self.up, self.down
 
 
-_BYTES, _WORDS = Powers(BYTE_BASE), Powers(WORD_BASE)
+_WORDS = Powers(WORD_BASE)
 
 
-def prefix_hash(values: np.ndarray, powers: Powers = _WORDS) -> np.ndarray:
-    """Running polynomial sums, from which :func:`span_hash` gets the hash of any span."""
-    up, _ = powers.upto(len(values) + 1)
+def prefix_hash(values: np.ndarray) -> np.ndarray:
+    """Running polynomial sums, from which :func:`span_hash` gets the hash of a short span (see :class:`Spans` for long ones)."""
+    up, _ = _WORDS.upto(len(values) + 1)
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:len(values)], dtype=np.uint64, out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers = _WORDS) -> np.ndarray:
-    _, down = powers.upto(len(prefix))
+def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    _, down = _WORDS.upto(len(prefix))
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
@@ -132,7 +171,10 @@ def blocks(at: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]
 
 
 def word_hashes(raw: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For rows of bytes: each word's 64-bit hash, start and end byte, and the words' offsets by row."""
+    """For rows of bytes: each word's 64-bit name, start and end byte, and the words' offsets by row.
+
+    Words are looked up first; a distinct word's name is the xxh3 hash of its bytes.
+    """
     if lower:
         raw = LOWER[raw]
     n = len(raw)
@@ -142,12 +184,13 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[n
     inside = ~SEPARATOR[raw]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
-    before = np.r_[False, inside[:-1]] & ~edge[:n]
-    start = np.flatnonzero(inside & ~before)
-    after = np.r_[inside[1:], False] & ~edge[1:]
-    end = np.flatnonzero(inside & ~after) + 1
-    prefix = prefix_hash(raw.astype(np.uint64) + np.uint64(1), _BYTES)
-    return span_hash(prefix, start, end, _BYTES), start, end, np.searchsorted(start, at)
+    start = np.flatnonzero(inside & (edge[:n] | ~np.r_[False, inside[:-1]]))
+    end = np.flatnonzero(inside & (edge[1:] | ~np.r_[inside[1:], False])) + 1
+    numbers, offsets, words = word_numbers(raw, at)
+    # a view of the words' bytes: some may be cut from text that isn't whole characters
+    data = words.cast(pa.binary()).to_pylist()
+    names = np.fromiter(map(xxhash.xxh3_64_intdigest, data), np.uint64, len(data))
+    return names[numbers], start, end, offsets
 
 
 # ---------------------------------------------------------------- static screens
@@ -236,9 +279,10 @@ def screen(df: DataFrame, column: Column, keys: DataFrame, most: int = SCREEN_KE
     sent = spark.sparkContext.broadcast(fuse_filter(np.unique(found)))
 
     def test(values):
-        return pd.Series(fuse_contains(sent.value, values.to_numpy(np.int64, na_value=0)))
+        return pa.array(fuse_contains(sent.value, values.fill_null(0).to_numpy(zero_copy_only=False)))
 
-    may = F.pandas_udf(test, "boolean", F.PandasUDFType.SCALAR)
+    test.__annotations__ = {"values": pa.Array, "return": pa.Array}
+    may = F.arrow_udf(test, "boolean")  # no pandas in the workers
     may = may.asNondeterministic()  # evaluated once, not again in each filter
     marked = df.withColumn("_may", may(column))
     return marked.filter("_may").drop("_may"), marked.filter("NOT _may").drop("_may")

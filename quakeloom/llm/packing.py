@@ -38,7 +38,7 @@ CAPACITY, END = 2048, 0
 #: Nodes of the search, steps of one enumeration and fillings that a node tries.
 NODES, STEPS, WIDTH = 20_000, 100, 4
 #: Pieces of one length that one task ranks.
-SLICE_ROWS = 200_000
+SLICE_ROWS = 2_000
 #: Characters of text split at once, chunks that a task remembers, characters of a chunk worth remembering.
 SLICE, KNOWN, SHORT = 1 << 18, 300_000, 48
 
@@ -357,10 +357,13 @@ def complete(count: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES
 
 # ---------------------------------------------------------------- dealing the places
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """Rows with ``rank``, their number (from 0) among the rows of their length, counted in slices of a hash."""
-    slices = 1 + rows.count() // SLICE_ROWS
-    dealt = rows.withColumn("_slice", F.pmod(F.xxhash64(*rows.columns), F.lit(slices)).cast("int"))
+def ranked(rows: DataFrame, count: DataFrame) -> DataFrame:
+    """Rows with ``rank``, their number (from 0) among the rows of their length, counted in slices of a hash.
+
+    ``count`` has length and n; a length gets slices for its number of rows.
+    """
+    slices = count.select("length", (1 + F.floor(F.col("n") / SLICE_ROWS)).alias("_slices"))
+    dealt = rows.join(slices, "length").withColumn("_slice", F.pmod(F.xxhash64(*rows.columns), F.col("_slices"))).drop("_slices")
     before = W.partitionBy("length").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     sums = dealt.groupBy("length", "_slice").agg(F.count("*").alias("n")).withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     own = F.row_number().over(W.partitionBy("length", "_slice").orderBy(*(c for c in rows.columns if c != "length")))
@@ -373,7 +376,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataF
     ship(rows.sparkSession)
     rows = materialise(rows, "pieces")
     # at most ``capacity`` rows, whatever the table's size
-    count = {r[0]: r[1] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    lengths = materialise(rows.groupBy("length").agg(F.count("*").alias("n")), "lengths")
+    count = {r["length"]: r["n"] for r in lengths.collect()}
     base: dict[int, int] = {}
     total = 0
     for size in sorted(count):
@@ -404,7 +408,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataF
                 [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return ranked(rows).mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return ranked(rows, lengths).mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame, ids: str = "ids") -> DataFrame:

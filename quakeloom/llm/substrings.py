@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (blocks, materialise, mix, prefix_hash, row_key, screen, span_hash, text_bytes, texts, word_hashes)
+from .common import Spans, blocks, materialise, mix, row_key, screen, text_bytes, texts, word_hashes
 
 WINDOW = 35
 ROUNDS = 4
@@ -179,17 +179,19 @@ def runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             for first, _, names, _, _, at, _ in _per_block(batch):
                 row, lo, hi, low, high = witnesses(names, at, window)
-                prefix = prefix_hash(names)
-                key = span_hash(prefix, low, high)
+                one, two = Spans(names), Spans(names, 1)
+                key = one(low, high)
                 # where the extent lies in the run is a part of what must be equal
-                span = mix(span_hash(prefix, lo, hi + window) ^ mix((low - lo).astype(np.uint64)))
+                place = mix((low - lo).astype(np.uint64))
+                span, again = mix(one(lo, hi + window) ^ place), mix(two(lo, hi + window) ^ place)
                 k1, k2 = _take(batch, ["k1", "k2"], row + first)
                 base = at[row]
                 yield pa.RecordBatch.from_arrays(
                     [k1, k2, pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)), pa.array(key.view(np.int64)),
-                     pa.array(span.view(np.int64)), pa.array((low - lo).astype(np.int32))], ["k1", "k2", "lo", "hi", "key", "span", "off"])
+                     pa.array(span.view(np.int64)), pa.array(again.view(np.int64)), pa.array((low - lo).astype(np.int32))],
+                    ["k1", "k2", "lo", "hi", "key", "span", "span2", "off"])
 
-    return docs.mapInArrow(build, "k1 long, k2 long, lo int, hi int, key long, span long, off int")
+    return docs.mapInArrow(build, "k1 long, k2 long, lo int, hi int, key long, span long, span2 long, off int")
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
@@ -207,14 +209,14 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
                 which = np.repeat(np.arange(len(lo)), number)
                 step = np.arange(len(which)) - np.repeat(np.cumsum(number) - number, number)
                 at_word = at[row[which]] + lo[which] + step
-                prefix = prefix_hash(names)
-                print_ = span_hash(prefix, at_word, at_word + window)
+                prints = [pa.array(Spans(names, seed)(at_word, at_word + window).view(np.int64)) for seed in (0, 1)]
                 k1, k2 = _take(batch, ["k1", "k2"], row[which] + first)
                 yield pa.RecordBatch.from_arrays(
                     [k1, k2, pa.array((lo[which] + step).astype(np.int32)), pa.array(key[which].astype(np.int64)),
-                     pa.array((off[which] - step).astype(np.int32)), pa.array(print_.view(np.int64))], ["k1", "k2", "at", "key", "off", "print"])
+                     pa.array((off[which] - step).astype(np.int32)), *prints],
+                    ["k1", "k2", "at", "key", "off", "print", "print2"])
 
-    return docs.mapInArrow(build, "k1 long, k2 long, at int, key long, off int, print long")
+    return docs.mapInArrow(build, "k1 long, k2 long, at int, key long, off int, print long, print2 long")
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -222,14 +224,14 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = row_key(texts(docs))
     all_runs = materialise(runs(docs, window), "runs")
     # a key that occurs once has no equal elsewhere; of the others those whose spans are all the same are settled
-    keys = materialise(all_runs.groupBy("key").agg(F.count("*").alias("n"), F.min("span").alias("a"), F.max("span").alias("b"))
-                       .filter("n > 1").select("key", (F.col("a") == F.col("b")).alias("alike")), "repeated-keys")
+    keys = materialise(all_runs.groupBy("key").agg(F.count("*").alias("n"), *(f(x).alias(f"{x}_{f.__name__}") for x in ("span", "span2") for f in (F.min, F.max)))
+                       .filter("n > 1").selectExpr("key", "span_min = span_max AND span2_min = span2_max AS alike"), "repeated-keys")
     shared, _ = screen(all_runs, F.col("key"), keys.select("key"))
     shared = materialise(shared.join(keys, "key"), "shared-runs")
-    spans = shared.filter("NOT alike").groupBy("key", "span").agg(
+    spans = shared.filter("NOT alike").groupBy("key", "span", "span2").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo")).alias("one"))
     spans = materialise(spans, "spans")
-    mixed = shared.filter("NOT alike").join(spans, ["key", "span"])
+    mixed = shared.filter("NOT alike").join(spans, ["key", "span", "span2"])
     full = shared.filter("alike").select("k1", "k2", "lo", "hi").unionByName(mixed.filter("n > 1").select("k1", "k2", "lo", "hi"))
     # rims: runs whose span is unique, and one run of each other span of their keys to compare with
     # written, so that both sides of the join below are plain exchanges, of which a hot key's can be split
@@ -241,8 +243,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # rows that repeat whole have one key; one of them stands for all
     once = wanted.join(by_row, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("runs").alias("runs"))
     single = materialise(_windows(once, window), "windows")
-    again = single.groupBy("key", "off", "print").agg(F.count("*").alias("n")).filter("n > 1")
-    found = single.join(again, ["key", "off", "print"]).select("k1", "k2", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    again = single.groupBy("key", "off", "print", "print2").agg(F.count("*").alias("n")).filter("n > 1")
+    found = single.join(again, ["key", "off", "print", "print2"]).select("k1", "k2", F.col("at").alias("lo"), F.col("at").alias("hi"))
     return full.unionByName(found).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
 
 

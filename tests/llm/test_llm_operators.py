@@ -336,3 +336,38 @@ def test_hilbert_curve_visits_neighbours():
     assert sorted(key) == list(range(512))
     steps = np.abs(np.diff(grid[np.argsort(key)], axis=0)).sum(1)
     assert (steps == 1).all()
+
+
+# ---------------------------------------------------------------- words whose polynomial hashes are equal modulo 2**64
+
+def thue_morse(a, b, doublings, space=""):
+    for _ in range(doublings):
+        a, b = a + space + b, b + space + a
+    return a, b
+
+
+def test_words_of_equal_polynomials_are_told_apart(spark):
+    one, two = thue_morse("a", "b", 11)
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    same(setjoin.components(docs, 4, 85), [(1, 1, 1), (2, 1, 2)], ["doc_id", "n_shingles", "component_id"])
+    rows = [(i, " ".join([*(f"x{k}" for k in range(20)), word, *(f"y{k}" for k in range(20))])) for i, word in ((1, one), (2, two))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["n_removed"] for r in substrings.dedup(docs).collect()] == [0, 0]
+
+
+def test_spans_of_equal_polynomials_are_told_apart(spark):
+    one, two = thue_morse("a", "b", 12, " ")
+    names = [common.word_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for t in (one, two)]
+    for seed in (0, 1):
+        (x,), (y,) = (common.Spans(n, seed)(np.array([0]), np.array([len(n)])) for n in names)
+        assert x != y
+    rows = [(1, one), (2, two), (3, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(substrings.digest(substrings.dedup(docs)), brute.repeats(rows), ["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+
+def test_spans_depend_on_words_alone():
+    draw = np.random.default_rng(1).integers(0, 2**63, 50).astype(np.uint64)
+    whole, part = common.Spans(np.r_[draw, draw[::-1], draw]), common.Spans(draw[7:])
+    start = np.arange(7, 40)
+    assert (whole(start, start + 9) == part(start - 7, start + 2)).all() and (whole(start, start + 9) == whole(start + 100, start + 109)).all()
