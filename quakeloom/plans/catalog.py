@@ -23,6 +23,7 @@ from quakeloom.session import materialise, prepare, scratch_path
 from quakeloom.sources import adapters, messages, payloads, samples, stats
 from quakeloom.sources.tables import ORDER, Collection
 from quakeloom.streaming import ingest, live
+from quakeloom.streaming.corrected import CorrectedCells
 
 AS_OF = "2024-01-31"
 TRAINING_START = "1996-01-01"
@@ -584,6 +585,30 @@ def stream_daily_cells(spark, sf):
     return store.current().withColumn("day", F.col("day").cast("string"))
 
 
+def _revised(quakes: DataFrame, version: int) -> DataFrame:
+    """All events with a higher magnitude; half of them moved; a third as they are."""
+    n = F.col("event_id").cast("long")
+    if version == 0:
+        return quakes.withColumn("magnitude", F.col("magnitude") + 1)
+    if version == 1:
+        return quakes.filter(n % 2 == 0).withColumns({"magnitude": F.col("magnitude") + 3, "latitude": F.col("latitude") / 2})
+    return quakes.filter(n % 3 == 0)
+
+
+@query
+def stream_corrected_cells(spark, sf):
+    """Every event one to three times, with other magnitudes and places: only its newest version counts."""
+    root = scratch_path(spark, "corrected")
+    view = CorrectedCells(spark, root)
+    for version in range(3):
+        records = samples.quake_records(_revised(_quakes(spark, sf), version))
+        messages.land(records.withColumn("offset", F.col("offset") + version * 1_000_000_000), f"{root}/topic")
+        stream = messages.decode(messages.topic_stream(spark, f"{root}/topic"), EARTHQUAKE, keep=["offset"])
+        versions = messages.accepted(stream).withColumns({"ts": F.try_to_timestamp("time"), ORDER: F.col("offset")})
+        view.follow(versions, f"{root}/checkpoint", compact_every=2).awaitTermination()
+    return view.current().withColumn("day", F.col("day").cast("string"))
+
+
 @query
 def stream_newest_versions(spark, sf):
     """Newest version per key, kept by the collection rather than as stream state."""

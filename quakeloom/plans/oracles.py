@@ -330,6 +330,11 @@ _add("stream_dead_letters", "SELECT reason, message_key FROM letters")
 _add("stream_dedup", "SELECT event_id, magnitude FROM quakes")
 _add("stream_daily_cells", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, grid_lat, grid_lon, count(magnitude) AS event_count, "
      "max(magnitude) AS max_mag FROM located WHERE magnitude IS NOT NULL GROUP BY 1, 2, 3")
+_third, _half = "CAST(event_id AS BIGINT) % 3 = 0", "CAST(event_id AS BIGINT) % 2 = 0"
+_add("stream_corrected_cells", f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_live('latitude')} AS grid_lat, {_live('longitude')} AS grid_lon,
+    count(*) AS event_count, max(magnitude) AS max_mag FROM (SELECT ts, longitude, CASE WHEN {_third} THEN latitude WHEN {_half} THEN latitude / 2
+    ELSE latitude END AS latitude, magnitude + CASE WHEN {_third} THEN 0 WHEN {_half} THEN 3 ELSE 1 END AS magnitude FROM quakes)
+    WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND magnitude IS NOT NULL GROUP BY 1, 2, 3""")
 
 # Learning
 _add("training_window", f"SELECT event_id, magnitude, {_text('h.ts')} AS ts FROM hist h")

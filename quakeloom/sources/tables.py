@@ -148,7 +148,8 @@ class Collection:
             rows = rows.unionByName(base.filter(F.col(BUCKET).isin(touched)))
         merged = self._latest(rows)
         # the keys split a moment that very many documents share
-        merged = merged.repartition(BUCKET).sortWithinPartitions(BUCKET, *[c for c in (self.cluster_by,) if c], *self.keys)
+        order = [BUCKET, *[c for c in (self.cluster_by,) if c], *self.keys]
+        merged = merged.repartitionByRange(*order).sortWithinPartitions(*order)
         merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/staging")
         self._replace()
         for writer, batch in batches:
@@ -163,7 +164,8 @@ class Collection:
 
     def append_dead_letters(self, rows: DataFrame, batch_id: int, writer: int = 0) -> None:
         numbered = rows.withColumns({WRITER: F.lit(writer).cast("long"), BATCH: F.lit(batch_id).cast("long")})
-        self._write(numbered.coalesce(1), "dead", WRITER, BATCH)
+        # what is broken is little, but finding it reads the whole batch: that stays spread, only the finds are gathered
+        self._write(numbered.repartition(2, F.xxhash64("value")), "dead", WRITER, BATCH)
 
     def dead_letters(self) -> DataFrame:
         schema = "reason STRING, message_key STRING, value STRING"

@@ -1,5 +1,7 @@
 """Streams over landed topics: restart, replay, all feeds at once, state."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from quakeloom.schemas import DECLARATION, EARTHQUAKE
 from quakeloom.sources import adapters, messages, samples
 from quakeloom.sources.tables import ORDER, Collection
 from quakeloom.streaming import ingest, live
+from quakeloom.streaming.corrected import CorrectedCells
 
 SF = "/root/testdata/sf0.001"
 
@@ -139,3 +142,41 @@ def test_closed_days_take_no_late_events(spark, folder):
         cells = live.daily_cells(decoded.withColumn("ts", F.try_to_timestamp("time")), delay="2 days")
         live.keep_updated(cells, store, f"{folder}/cp").awaitTermination()
     assert {str(r.day): r.event_count for r in store.current().collect()} == {"2024-01-01": 1, "2024-01-20": 2}
+
+
+def test_corrected_cells_follow_every_revision(spark, folder):
+    schema = "event_id STRING, latitude DOUBLE, longitude DOUBLE, magnitude DOUBLE, ts TIMESTAMP, _order BIGINT"
+    day = datetime(2024, 1, 1, 10)
+    batches = [
+        [("a", 1.0, 1.0, 5.0, day, 1), ("b", 1.0, 1.0, 4.0, day, 2), ("c", 1.0, 1.0, None, day, 3), ("a", 1.0, 1.0, 6.0, day, 0)],
+        [("a", 1.0, 1.0, 3.0, day, 4), ("c", 30.0, 1.0, 2.0, day, 5)],   # the largest shrinks; an unknown one becomes known
+        [("b", 30.0, 1.0, 1.0, day, 6)],                                  # one moves away
+        [("a", None, 1.0, 3.0, day, 7), ("c", 30.0, 1.0, 9.0, day, 8)],   # a cell empties; a maximum grows
+    ]
+    want = [{(0.0, 0.0): (2, 5.0)}, {(0.0, 0.0): (2, 4.0), (30.0, 0.0): (1, 2.0)}, {(0.0, 0.0): (1, 3.0), (30.0, 0.0): (2, 2.0)}, {(30.0, 0.0): (2, 9.0)}]
+    view = CorrectedCells(spark, folder)
+    for n, (rows, cells) in enumerate(zip(batches, want)):
+        for again in range(1 + n % 2):  # a batch that runs again changes nothing
+            view.apply(spark.createDataFrame(rows, schema), n)
+            assert {(r.grid_lat, r.grid_lon): (r.event_count, r.max_mag) for r in view.current().collect()} == cells
+        if n == 1:
+            view.compact()
+
+
+def test_a_batch_cut_off_between_its_writes_is_made_good(spark, folder, monkeypatch):
+    schema = "event_id STRING, latitude DOUBLE, longitude DOUBLE, magnitude DOUBLE, ts TIMESTAMP, _order BIGINT"
+    first = spark.createDataFrame([("a", 1.0, 1.0, 5.0, datetime(2024, 1, 1), 1)], schema)
+    second = spark.createDataFrame([("a", 30.0, 1.0, 2.0, datetime(2024, 1, 1), 2)], schema)
+    view = CorrectedCells(spark, folder)
+    view.apply(first, 0)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(view.events, "upsert", fail)
+        with pytest.raises(RuntimeError):
+            view.apply(second, 1)
+    assert view._holds(0, 1)
+    view.apply(second, 1)
+    assert [(r.grid_lat, r.event_count, r.max_mag) for r in view.current().collect()] == [(30.0, 1, 2.0)]
