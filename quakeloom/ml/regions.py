@@ -1,4 +1,9 @@
-"""KMeans profiles of 10-degree regions with elbow selection."""
+"""KMeans profiles of 10-degree regions with elbow selection.
+
+:func:`fit` makes a saved MLlib pipeline, one fit for each k. :func:`sweep` takes Lloyd
+steps for all k together: one scan and one aggregate by (k, cluster) a step, with the centres
+as a table of a row a k, so its result can be followed by value and applied without a model object.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +15,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quakeloom.functions.grid import CELL
+from quakeloom.functions.numeric import settled
 from quakeloom.operators.baseline import region_features
 from quakeloom.session import materialise
 
@@ -70,6 +77,63 @@ def fit(quakes: DataFrame, ks: range = range(3, 9), seed: int = 42) -> RegionMod
     return RegionModel(PipelineModel(prep.stages + [fitted[k]]), k, sweep, regions)
 
 
+@dataclass
+class Sweep:
+    """``points`` (the regions with ``z`` and their ``number``), ``centres`` (k, centres: an array of positions) and ``costs`` (k, wssse)."""
+
+    points: DataFrame
+    centres: DataFrame
+    costs: DataFrame
+
+    def chosen(self) -> DataFrame:
+        """The regions with cluster_id and squared distance under the elbow's k."""
+        best = elbow(self.costs).agg(F.max("best_k")).scalar()
+        return nearest(self.points, self.centres).filter(F.col("k") == best)
+
+
+def scaled(regions: DataFrame) -> DataFrame:
+    """Regions with ``z``, their standardised features (0 where all are alike), and ``number`` by events, then place."""
+    sums = [f(n).alias(f"{n}_{label}") for n in FEATURES for label, f in (("mean", F.avg), ("std", F.stddev_samp))]
+    parts = [settled(F.coalesce(F.try_divide(F.col(n) - F.col(f"{n}_mean"), F.col(f"{n}_std")), F.lit(0.0))) for n in FEATURES]
+    # a grid of 10 degrees has 703 cells at most, so one task can number them
+    numbered = regions.withColumn("number", F.row_number().over(Window.orderBy("eq_count", *CELL)) - 1)
+    return numbered.crossJoin(F.broadcast(regions.agg(*sums))).withColumn("z", F.array(*parts)).select(*regions.columns, "number", "z")
+
+
+def nearest(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """A row for each point and k: the nearest centre (ties: the first) and the squared distance to it."""
+    far = lambda c: F.aggregate(F.zip_with("z", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    best = F.array_min(F.transform("centres", lambda c, i: F.struct(far(c).alias("distance"), i.alias("cluster_id"))))
+    # one row for each k that is tried
+    return points.crossJoin(F.broadcast(centres)).withColumn("best", best).select(
+        "k", *points.columns, F.col("best.cluster_id").alias("cluster_id"), F.col("best.distance").alias("distance"))
+
+
+def sweep(regions: DataFrame, ks: range = range(3, 9), steps: int = 40) -> Sweep:
+    """Lloyd steps for all ``ks`` at once, from regions that lie evenly in the order of their events, until no centre moves.
+
+    A cluster that loses its regions keeps its centre.
+    """
+    spark = regions.sparkSession
+    points = materialise(scaled(regions), "scaled-regions")
+    n = points.count()
+    starts = {k: [(2 * i + 1) * n // (2 * k) for i in range(k)] if n else [] for k in ks}
+    held = {r["number"]: r["z"] for r in points.filter(F.col("number").isin(sorted({x for s in starts.values() for x in s}))).select("number", "z").collect()}
+    centres = {k: [held[x] for x in s] for k, s in starts.items()}
+    frame = lambda: spark.createDataFrame(list(centres.items()), "k INT, centres ARRAY<ARRAY<DOUBLE>>")
+    for _ in range(steps if n else 0):
+        means = [settled(F.avg(F.get("z", F.lit(i)))) for i in range(len(FEATURES))]
+        found = nearest(points, frame()).groupBy("k", "cluster_id").agg(F.array(*means).alias("z")).collect()  # a row for each centre
+        moved = {k: list(c) for k, c in centres.items()}
+        for r in found:
+            moved[r["k"]][r["cluster_id"]] = r["z"]
+        if moved == centres:
+            break
+        centres = moved
+    costs = nearest(points, frame()).groupBy("k").agg(settled(F.sum("distance")).alias("wssse"))
+    return Sweep(points, frame(), materialise(costs, "sweep-costs"))
+
+
 def cluster_profiles(assigned: DataFrame) -> DataFrame:
     """Size, means and label of every cluster."""
     profile = assigned.groupBy("cluster_id").agg(

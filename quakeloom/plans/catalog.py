@@ -673,37 +673,28 @@ def alert_index(spark, sf):
     return risk_forest.alert_indexer().fit(x).transform(x).select("event_id", "alert", "alert_idx")
 
 
-def _archive_regions(spark, sf):
-    return regions.fit(rows.since(adapters.archive(spark, sf), "ts", TRAINING_START))
+def _sweep(spark, sf):
+    return regions.sweep(baseline.region_features(rows.since(adapters.archive(spark, sf), "ts", TRAINING_START)))
 
 
 @query
 def elbow(spark, sf):
-    """The elbow rule over costs that the table fixes."""
-    sizes = adapters.archive(spark, sf).groupBy((F.month("ts") % 6 + 3).alias("k")).agg(F.count("*").alias("n"))
-    costs = sizes.select("k", (F.col("n") * F.lit(1.0) / F.col("k")).alias("wssse"))
-    return regions.elbow(costs).select("k", _six("wssse"), _six("drop"), "best_k", "chosen")
+    """The elbow rule over the costs of the sweep."""
+    return regions.elbow(_sweep(spark, sf).costs).select("k", _six("wssse"), _six("drop"), "best_k", "chosen")
 
 
 @query
 def cluster_profiles(spark, sf):
-    """Profiles and labels over cluster numbers that the grid fixes."""
-    cells = baseline.region_features(rows.since(adapters.archive(spark, sf), "ts", TRAINING_START))
-    assigned = cells.withColumn("cluster_id", F.pmod(F.col("grid_lat") / 10 + F.col("grid_lon") / 10, F.lit(5)).cast("int"))
-    p = regions.cluster_profiles(assigned)
+    """Profiles and labels of the clusters that the sweep finds under the elbow's k."""
+    p = regions.cluster_profiles(_sweep(spark, sf).chosen())
     return p.select("cluster_id", "region_count", _six("avg_eq_count"), _six("cluster_avg_mag"), "cluster_max_mag", _six("cluster_avg_depth"), "label")
 
 
 @query
 def region_model(spark, sf):
-    """Checked properties of the fitted regional clusters."""
-    fitted = _archive_regions(spark, sf)
-    least = fitted.sweep.agg(F.min("wssse")).scalar()
-    tried = fitted.sweep.agg(F.count("*")).scalar()
-    return fitted.assignments().agg(
-        F.count("*").alias("regions"), F.min("cluster_id").alias("low"), F.max("cluster_id").alias("high")).select(
-        "regions", tried.alias("tried"), ((F.col("low") >= 0) & (F.col("high") < fitted.k)).alias("numbered"),
-        (least >= 0).alias("costs"), F.lit(3 <= fitted.k <= 8).alias("k_in_range"))
+    """Every region's cluster and squared distance to its centre, for each k of the sweep."""
+    found = _sweep(spark, sf)
+    return regions.nearest(found.points, found.centres).select("k", *grid.CELL, "cluster_id", _six("distance"))
 
 
 def _forest(spark, sf):

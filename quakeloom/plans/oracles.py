@@ -59,6 +59,9 @@ SHALLOW, MIDDLE, DEEP = "Shallow (<70 km)", "Intermediate (70-300 km)", "Deep (>
 DEPTH = (f"CASE WHEN depth_km > 0 AND depth_km <= 70 THEN '{SHALLOW}' WHEN depth_km > 70 AND depth_km <= 300 "
          f"THEN '{MIDDLE}' WHEN depth_km > 300 AND depth_km <= 9999 THEN '{DEEP}' END")
 
+_FEATURES = ["eq_count", "avg_mag", "max_mag", "avg_depth", "mag_variability", "grid_lat", "grid_lon"]
+_DISTANCE = "(" + " + ".join(f"(s.z{i} - x.c{i}) * (s.z{i} - x.c{i})" for i in range(7)) + ")"
+
 _PARTS = {
     "quakes": adapters.QUAKES,
     "eonet": adapters.NATURAL_EVENTS,
@@ -115,10 +118,23 @@ _PARTS = {
     "trend": f"SELECT CAST(ts AS DATE) AS date, count(*) AS count, avg(magnitude) AS avg_mag FROM quakes "
              f"WHERE ts >= TIMESTAMP '{c.TREND_SINCE}' GROUP BY 1",
     "hist": f"SELECT * FROM arch WHERE ts >= TIMESTAMP '{c.TRAINING_START}'",
-    "costs": "SELECT *, lag(wssse) OVER (ORDER BY k) - wssse AS d FROM (SELECT CAST(month(ts) % 6 + 3 AS INT) AS k, "
-             "count(*) * 1e0 / (month(ts) % 6 + 3) AS wssse FROM arch GROUP BY month(ts) % 6)",
     "grid10": f"SELECT {_batch('latitude', 10)} AS grid_lat, {_batch('longitude', 10)} AS grid_lon, count(*) AS eq_count, "
-              "avg(magnitude) AS avg_mag, max(magnitude) AS max_mag, avg(coalesce(depth_km, 33e0)) AS avg_depth FROM hist GROUP BY 1, 2",
+              "avg(magnitude) AS avg_mag, max(magnitude) AS max_mag, avg(coalesce(depth_km, 33e0)) AS avg_depth, "
+              "coalesce(stddev_samp(magnitude), 0e0) AS mag_variability FROM hist GROUP BY 1, 2",
+    # k-means for k = 3 to 8 by recursion: 40 steps, of which those after the last move change nothing
+    "spots": "SELECT *, row_number() OVER (ORDER BY eq_count, grid_lat, grid_lon) - 1 AS number, " + ", ".join(
+        f"round(coalesce(({n} - avg({n}) OVER ()) / nullif(stddev_samp({n}) OVER (), 0), 0e0), 9) AS z{i}" for i, n in enumerate(_FEATURES)) + " FROM grid10",
+    "lloyd": f"""SELECT 0 AS step, CAST(k AS INT) AS k, CAST(i AS INT) AS cluster_id, {', '.join(f'z{i} AS c{i}' for i in range(7))}
+        FROM (SELECT unnest([3, 4, 5, 6, 7, 8]) AS k) JOIN (SELECT unnest(range(8)) AS i) ON i < k
+        JOIN spots ON number = ((2 * i + 1) * (SELECT count(*) FROM spots)) // (2 * k)
+        UNION ALL SELECT l.step + 1, l.k, l.cluster_id, {', '.join(f'coalesce(m.z{i}, l.c{i})' for i in range(7))} FROM lloyd l LEFT JOIN
+        (SELECT k, cluster_id, {', '.join(f'round(avg(z{i}), 9) AS z{i}' for i in range(7))} FROM (SELECT x.k, x.cluster_id, s.*, row_number() OVER
+        (PARTITION BY x.k, s.number ORDER BY {_DISTANCE}, x.cluster_id) AS place FROM lloyd x CROSS JOIN spots s) WHERE place = 1 GROUP BY k, cluster_id) m
+        ON m.k = l.k AND m.cluster_id = l.cluster_id WHERE l.step < 40""",
+    "placed": f"""SELECT * FROM (SELECT x.k, x.cluster_id, s.*, {_DISTANCE} AS distance, row_number() OVER (PARTITION BY x.k, s.number
+        ORDER BY {_DISTANCE}, x.cluster_id) AS place FROM lloyd x CROSS JOIN spots s WHERE x.step = 40) WHERE place = 1""",
+    "costs": "SELECT *, lag(wssse) OVER (ORDER BY k) - wssse AS d FROM (SELECT k, round(sum(distance), 9) AS wssse FROM placed GROUP BY k)",
+    "bestk": "SELECT * FROM placed WHERE k = coalesce((SELECT arg_max(k, (d, -k)) FROM costs WHERE d > 0), 5)",
     "newest": "SELECT *, row_number() OVER (PARTITION BY event_id, county ORDER BY seq DESC) AS rn FROM fema",
     "msg": "SELECT *, CAST(event_id AS BIGINT) % 50 = 3 AS broken, CAST(event_id AS BIGINT) % 50 <> 3 AND "
            "CAST(event_id AS BIGINT) % 70 = 5 AND magnitude IS NOT NULL AS bad, CAST(event_id AS BIGINT) % 50 <> 3 AND "
@@ -153,7 +169,7 @@ def _add(name: str, sql: str) -> None:
 
     visit(sql, ())
     ctes = ", ".join(f"{p} AS ({_PARTS[p].strip()})" for p in ordered)
-    ORACLES[name] = f"WITH {ctes} {sql}" if ctes else sql
+    ORACLES[name] = f"WITH {'RECURSIVE ' * ('lloyd' in ordered)}{ctes} {sql}" if ctes else sql
 
 
 # Scoring
@@ -354,8 +370,7 @@ _add("rf_label", f"""SELECT event_id, sig_norm, {TIER.format('sig_norm')} AS ris
 _add("dataset_counts", """SELECT CASE WHEN magnitude < 4 THEN 'low' WHEN magnitude < 5 THEN 'mid' ELSE 'high' END AS band,
     CASE WHEN v < 0.8e0 THEN 'train' ELSE 'test' END AS part, count(*) AS count FROM sampled WHERE significance IS NOT NULL
     GROUP BY 1, 2""")
-_names = ["eq_count", "avg_mag", "max_mag", "avg_depth", "mag_variability", "grid_lat", "grid_lon"]
-_z = ", ".join(f"{_mean(f'({n} - avg({n}) OVER ()) / stddev_samp({n}) OVER ()', 6)} AS z_{n}" for n in _names)
+_z = ", ".join(f"{_mean(f'({n} - avg({n}) OVER ()) / stddev_samp({n}) OVER ()', 6)} AS z_{n}" for n in _FEATURES)
 _add("region_scaled", f"""SELECT grid_lat, grid_lon, {_z} FROM (SELECT {_batch('latitude', 10)} AS grid_lat,
     {_batch('longitude', 10)} AS grid_lon, count(*) AS eq_count, avg(magnitude) AS avg_mag, max(magnitude) AS max_mag,
     avg(coalesce(depth_km, 33e0)) AS avg_depth, coalesce(stddev_samp(magnitude), 0e0) AS mag_variability
@@ -377,11 +392,10 @@ _add("elbow", f"""SELECT k, {_mean('wssse', 6)} AS wssse, {_mean('d', 6)} AS dro
 _add("cluster_profiles", f"""SELECT *, CASE WHEN cluster_max_mag >= 7 AND avg_eq_count > 50 THEN 'Critical Seismic Zone'
     WHEN cluster_avg_mag >= 4.5e0 THEN 'High Seismic Activity' WHEN avg_eq_count >= 20 THEN 'Frequent Moderate Activity'
     WHEN cluster_avg_depth > 200 THEN 'Deep Seismic Zone' ELSE 'Low Activity' END AS label FROM (SELECT
-    CAST((((grid_lat + grid_lon) / 10e0) % 5 + 5) % 5 AS INT) AS cluster_id, count(*) AS region_count,
+    cluster_id, count(*) AS region_count,
     {_mean('avg(eq_count)', 6)} AS avg_eq_count, {_mean('avg(avg_mag)', 6)} AS cluster_avg_mag, max(max_mag) AS cluster_max_mag,
-    {_mean('avg(avg_depth)', 6)} AS cluster_avg_depth FROM grid10 GROUP BY 1)""")
-_add("region_model", """SELECT count(*) AS regions, CAST(6 AS BIGINT) AS tried, true AS numbered, true AS costs, true AS k_in_range
-    FROM grid10""")
+    {_mean('avg(avg_depth)', 6)} AS cluster_avg_depth FROM bestk GROUP BY 1)""")
+_add("region_model", f"SELECT k, grid_lat, grid_lon, cluster_id, {_mean('distance', 6)} AS distance FROM placed")
 _add("rf_metrics", f"""SELECT count(*) AS rows, {_mean('sqrt(avg(e * e))', 6)} AS rmse,
     {_mean('1e0 - sum(e * e) / (var_pop(sig_norm) * count(*))', 6)} AS r2 FROM (SELECT sig_norm, sig_norm - magnitude * 10 AS e
     FROM (SELECT magnitude, CAST(round(CAST(CAST(least(greatest(significance / 10e0, 0e0), 100e0) AS VARCHAR) AS DECIMAL(38, 20)), 2)

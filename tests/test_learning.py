@@ -1,12 +1,13 @@
 """Forest and cluster pipelines: properties that hold for any fit."""
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from quakeloom.ml import regions, risk_forest
-from quakeloom.operators import anomaly
+from quakeloom.operators import anomaly, baseline
 from quakeloom.plans import training
 from quakeloom.sources import adapters
 
@@ -80,6 +81,29 @@ def test_clusters(spark, folder):
     assert again.groupBy("cluster_id").count().count() == profiles.count()
 
 
+def test_sweep_settles_at_nearest_means(spark):
+    found = regions.sweep(baseline.region_features(adapters.archive(spark, SF)))
+    rows = regions.nearest(found.points, found.centres).collect()
+    centres = {r["k"]: np.array(r["centres"]) for r in found.centres.collect()}
+    assert sorted(centres) == [*range(3, 9)] and all(len(c) == k for k, c in centres.items())
+    costs = {r["k"]: r["wssse"] for r in found.costs.collect()}
+    for k, c in centres.items():
+        z = np.array([r["z"] for r in rows if r["k"] == k])
+        own = np.array([r["cluster_id"] for r in rows if r["k"] == k])
+        far = ((z[:, None, :] - c[None]) ** 2).sum(2)
+        assert (far.argmin(1) == own).all() and abs(far.min(1).sum() - costs[k]) < 1e-6
+        for i in set(own.tolist()):  # no step moves a centre any more
+            assert np.allclose(z[own == i].mean(0), c[i], atol=1e-8)
+    assert found.chosen().count() == found.points.count()
+
+
+def test_sweep_of_few_regions(spark):
+    cells = baseline.region_features(adapters.archive(spark, SF))
+    assert regions.sweep(cells.limit(0)).chosen().count() == 0
+    two = regions.sweep(cells.orderBy("grid_lat", "grid_lon").limit(2))
+    assert two.costs.agg(F.max("wssse")).first()[0] == 0.0
+
+
 def test_elbow_takes_the_first_largest_drop(spark):
     pick = lambda costs: regions.elbow(spark.createDataFrame(costs, "k INT, wssse DOUBLE")).first().best_k
     assert pick([(3, 100.0), (4, 80.0), (5, 60.0), (6, 50.0)]) == 4
