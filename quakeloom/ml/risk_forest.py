@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quakeloom.functions.numeric import is_known, known
 from quakeloom.functions.scoring import risk_tier
 from quakeloom.operators.sampling import split, stratified
+from quakeloom.session import materialise
 
 # fixed values: the model's inputs, by name and in order
 FEATURES = ["magnitude", "depth_km", "tsunami", "alert_idx", "is_shallow", "is_intermediate", "log_depth",
@@ -104,6 +105,74 @@ def score(quakes: DataFrame, path: str) -> DataFrame:
                          risk_tier("prediction").alias("predicted_tier"))
 
 
+# The forest as tables: what it learned can be read, joined and checked without the model object.
+
+def write_tables(spark: SparkSession, model_path: str, path: str) -> None:
+    """From a saved model, write ``nodes`` (a row for each node of each tree) and ``alerts`` (the index of each level) under ``path``.
+
+    An inner node sends a row left when its feature is at most ``threshold``, or, with ``categories``, is one of them.
+    """
+    stage = lambda n: f"{model_path}/stages/{n}_*/data"
+    n = F.col("nodeData")
+    inner, listed = n["leftChild"] >= 0, n["split"]["numCategories"] >= 0
+    spark.read.parquet(stage(2)).select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), F.when(inner, n["split"]["featureIndex"]).alias("feature"),
+        F.when(inner & ~listed, n["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(inner & listed, n["split"]["leftCategoriesOrThreshold"]).alias("categories"),
+        F.when(inner, n["leftChild"]).alias("left"), F.when(inner, n["rightChild"]).alias("right"),
+        n["prediction"].alias("value"), n["gain"].alias("gain"), n["impurityStats"][0].alias("weight"),
+    ).write.mode("overwrite").parquet(f"{path}/nodes")
+    levels = spark.read.parquet(stage(0)).select(F.posexplode(F.col("labelsArray")[0]).alias("i", "alert"))
+    levels.select("alert", F.col("i").cast("double").alias("alert_idx")).write.mode("overwrite").parquet(f"{path}/alerts")
+
+
+def score_by_nodes(quakes: DataFrame, path: str) -> DataFrame:
+    """event_id, predicted_score and predicted_tier from the written tables, level by level.
+
+    A row for each event and tree goes down the tree by joins with the node table, whose size the
+    number and depth of the trees bound; an event's rows stay in its task, so only sums are shuffled.
+    Rows alike in id and features are one.
+    """
+    spark = quakes.sparkSession
+    nodes, alerts = spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/alerts")
+    trees, depth, unknown = nodes.agg(F.max("tree") + 1).first()[0], _levels(nodes), alerts.count()
+    x = features(quakes).join(alerts, "alert", "left").withColumn("alert_idx", F.coalesce("alert_idx", F.lit(float(unknown))))
+    at = x.select("event_id", F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("x"),
+                  F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    inner = nodes.filter("feature IS NOT NULL").select("tree", "node", "feature", "threshold", "categories", "left", "right")
+    mine = F.get("x", F.col("feature"))
+    goes_left = F.when(F.col("categories").isNotNull(), F.array_contains("categories", mine)).otherwise(mine <= F.col("threshold"))
+    for _ in range(depth):
+        at = at.join(inner, ["tree", "node"], "left").select(
+            "event_id", "x", "tree", F.when(F.col("feature").isNull(), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
+    leaves = nodes.select("tree", "node", "value")
+    scored = at.join(leaves, ["tree", "node"]).groupBy("event_id", "x").agg(F.avg("value").alias("predicted_score"))
+    return scored.select("event_id", "predicted_score", risk_tier("predicted_score").alias("predicted_tier"))
+
+
+def _levels(nodes: DataFrame) -> int:
+    """The number of steps from the roots to the deepest leaf: one aggregate a level over the small table."""
+    level = nodes.filter("node = 0").select("tree", "node")
+    depth = 0
+    while True:
+        below = nodes.join(level, ["tree", "node"]).filter("feature IS NOT NULL").select("tree", F.explode(F.array("left", "right")).alias("node"))
+        if below.isEmpty():
+            return depth
+        level, depth = materialise(below, "level"), depth + 1
+
+
+def importances_by_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """Feature names and importances from the nodes' gains: shares within a tree, averaged, largest first."""
+    gains = spark.read.parquet(f"{path}/nodes").filter("feature IS NOT NULL").groupBy("tree", "feature").agg(
+        F.sum(F.col("gain") * F.col("weight")).alias("gain"))
+    shares = gains.withColumn("share", F.try_divide("gain", F.sum("gain").over(Window.partitionBy("tree"))))
+    summed = shares.groupBy("feature").agg(F.sum("share").alias("share"))
+    names = spark.createDataFrame(list(enumerate(FEATURES)), "i INT, name STRING")
+    every = names.join(summed, names["i"] == summed["feature"], "left").select(F.col("name").alias("feature"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    total = summed.agg(F.sum("share")).scalar()
+    return every.select("feature", F.coalesce(F.try_divide(F.col("share"), total), F.lit(0.0)).alias("importance")).orderBy(F.desc("importance"), "feature")
+
+
 def train(quakes: DataFrame, path: str) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part, save the model, return it with the test predictions."""
     frame = training_frame(quakes).persist()

@@ -697,9 +697,18 @@ def region_model(spark, sf):
     return regions.nearest(found.points, found.centres).select("k", *grid.CELL, "cluster_id", _six("distance"))
 
 
-def _forest(spark, sf):
-    path = f"{scratch_path(spark, 'forest')}/model"
-    return path, *risk_forest.train(_quakes(spark, sf), path)
+_forests: dict[tuple[str, str], str] = {}
+
+
+def _forest(spark, sf) -> str:
+    """The tables of a forest trained on ``sf``, once a session."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _forests:
+        path = scratch_path(spark, "forest")
+        risk_forest.train(_quakes(spark, sf), f"{path}/model")
+        risk_forest.write_tables(spark, f"{path}/model", path)
+        _forests[known] = path
+    return _forests[known]
 
 
 @query
@@ -712,21 +721,14 @@ def rf_metrics(spark, sf):
 
 @query
 def rf_importance(spark, sf):
-    """Checked properties of the fitted forest: importances and fit on its test part."""
-    _, model, predictions = _forest(spark, sf)
-    found = risk_forest.importances(spark, model)
-    total, least, count = (found.agg(f("importance")).scalar() for f in (F.sum, F.min, F.count))
-    return risk_forest.metrics(predictions).select(
-        count.alias("features"), F.round(total, 6).alias("total"), (least >= 0).alias("none_negative"),
-        (F.col("r2") > 0.85).alias("r2_floor"), (F.col("rmse") < 10).alias("rmse_ceiling"), "rows")
+    """Feature importances from the gains in the forest's node table."""
+    return risk_forest.importances_by_nodes(spark, _forest(spark, sf)).select("feature", _six("importance"))
 
 
 @query
 def rf_scored(spark, sf):
-    """Every event with a magnitude is scored, within the label's range, with the tier of its score."""
-    scored = risk_forest.score(_quakes(spark, sf), _forest(spark, sf)[0])
-    return scored.select("event_id", F.col("predicted_score").between(0, 100).alias("in_range"),
-                         (F.col("predicted_tier") == risk_tier("predicted_score")).alias("tier_fits"))
+    """Scores and tiers of all events, by the forest's node table."""
+    return risk_forest.score_by_nodes(_quakes(spark, sf), _forest(spark, sf)).select("event_id", _six("predicted_score"), "predicted_tier")
 
 
 @query

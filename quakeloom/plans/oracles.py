@@ -386,7 +386,7 @@ _add("region_features", f"""SELECT {_batch('latitude', 10)} AS grid_lat, {_batch
 _add("stats_roundtrip", "SELECT CAST(grid_lat AS VARCHAR) || ',' || CAST(grid_lon AS VARCHAR) AS cell, historical_count, "
      "daily_rate, avg_mag, max_mag, std_mag FROM baselines")
 
-# Fitted models: their rules on inputs fixed by the tables, and checked properties of the fits
+# Models: k-means by recursion, the metrics' rule on predictions that the table fixes. A fitted forest has no SQL: tests walk its tables
 _add("elbow", f"""SELECT k, {_mean('wssse', 6)} AS wssse, {_mean('d', 6)} AS drop, CAST(coalesce((SELECT arg_max(k, (d, -k)) FROM costs
     WHERE d > 0), 5) AS INT) AS best_k, k = coalesce((SELECT arg_max(k, (d, -k)) FROM costs WHERE d > 0), 5) AS chosen FROM costs""")
 _add("cluster_profiles", f"""SELECT *, CASE WHEN cluster_max_mag >= 7 AND avg_eq_count > 50 THEN 'Critical Seismic Zone'
@@ -400,6 +400,3 @@ _add("rf_metrics", f"""SELECT count(*) AS rows, {_mean('sqrt(avg(e * e))', 6)} A
     {_mean('1e0 - sum(e * e) / (var_pop(sig_norm) * count(*))', 6)} AS r2 FROM (SELECT sig_norm, sig_norm - magnitude * 10 AS e
     FROM (SELECT magnitude, CAST(round(CAST(CAST(least(greatest(significance / 10e0, 0e0), 100e0) AS VARCHAR) AS DECIMAL(38, 20)), 2)
     AS DOUBLE) AS sig_norm FROM quakes WHERE magnitude IS NOT NULL AND significance IS NOT NULL))""")
-_add("rf_importance", """SELECT CAST(11 AS BIGINT) AS features, 1e0 AS total, true AS none_negative, true AS r2_floor,
-    true AS rmse_ceiling, count(*) AS rows FROM sampled WHERE significance IS NOT NULL AND NOT v < 0.8e0""")
-_add("rf_scored", "SELECT event_id, true AS in_range, true AS tier_fits FROM quakes WHERE magnitude IS NOT NULL")

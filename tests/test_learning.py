@@ -1,5 +1,6 @@
 """Forest and cluster pipelines: properties that hold for any fit."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -60,6 +61,45 @@ def test_labels(spark):
     assert [r[0] for r in df.select(risk_forest.label()).collect()] == [100.0, 100.0, 0.0, 12.35, 0.0]
 
 
+@pytest.fixture(scope="module")
+def tables(spark, trained, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("tables"))
+    risk_forest.write_tables(spark, trained[1], path)
+    return path
+
+
+def test_scores_from_the_node_table(spark, trained, tables):
+    quakes, path, _, _ = trained
+    want = {r.event_id: (r.predicted_score, r.predicted_tier) for r in risk_forest.score(quakes, path).collect()}
+    got = {r.event_id: (r.predicted_score, r.predicted_tier) for r in risk_forest.score_by_nodes(quakes, tables).collect()}
+    assert set(got) == set(want) and all(abs(got[k][0] - want[k][0]) < 1e-9 for k in want)
+    # the other engine goes down the written trees by itself
+    rows = PipelineModel.load(path).stages[0].transform(risk_forest.features(quakes)).select("event_id", *risk_forest.FEATURES).toArrow()
+    sql = duckdb.connect()
+    sql.register("rows", rows)
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in risk_forest.FEATURES)
+    walked = sql.execute(f"""WITH RECURSIVE n AS (SELECT * FROM read_parquet('{tables}/nodes/*.parquet')), e AS (SELECT event_id, [{values}] AS x FROM rows),
+        w AS (SELECT event_id, x, tree, 0 AS node FROM e, (SELECT DISTINCT tree FROM n) UNION ALL SELECT event_id, x, w.tree, CASE WHEN
+        CASE WHEN categories IS NULL THEN x[feature + 1] <= threshold ELSE list_contains(categories, x[feature + 1]) END THEN n.left ELSE n.right END
+        FROM w JOIN n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NOT NULL)
+        SELECT event_id, avg(value) FROM w JOIN n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NULL GROUP BY 1""").fetchall()
+    assert len(walked) == len(want) and all(abs(v - want[k][0]) < 1e-9 for k, v in walked)
+
+
+def test_importances_from_gains(spark, trained, tables):
+    want = {r.feature: r.importance for r in risk_forest.importances(spark, trained[2]).collect()}
+    got = risk_forest.importances_by_nodes(spark, tables).collect()
+    assert [r.importance for r in got] == sorted((r.importance for r in got), reverse=True)
+    assert {r.feature for r in got} == set(want) and all(abs(r.importance - want[r.feature]) < 1e-9 for r in got)
+
+
+def test_an_alert_level_the_forest_never_saw(spark, trained, tables, quake_rows):
+    new = quake_rows(dict(event_id="a", magnitude=6.0, alert="purple"), dict(event_id="b", magnitude=6.0))
+    want = {r.event_id: r.predicted_score for r in risk_forest.score(new, trained[1]).collect()}
+    got = {r.event_id: r.predicted_score for r in risk_forest.score_by_nodes(new, tables).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_feature_defaults(spark, quake_rows):
     r = risk_forest.features(quake_rows(
         dict(event_id="a", magnitude=2.0), dict(event_id="b", magnitude=2.0, depth_km=-4.0, alert=""),

@@ -16,7 +16,8 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    # a fitted forest: tests/test_learning.py walks its tables with the other engine
+    assert set(QUERIES) - set(ORACLES) == {"rf_importance", "rf_scored"} and set(ORACLES) <= set(QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.queries())
 
