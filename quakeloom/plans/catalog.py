@@ -32,6 +32,7 @@ SPIKE_FROM = "2024-01-29"
 SPIKE_DAYS = 2
 SEEN_UNTIL = "2024-01-16"
 OPEN_DAYS = 3
+DEDUP_DELAY = "5 days"
 DECLARED_AFTER = "1998-06-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -585,6 +586,23 @@ def stream_daily_cells(spark, sf):
     return store.current().withColumn("day", F.col("day").cast("string"))
 
 
+@query
+def stream_dedup_window(spark, sf):
+    """Every event again at the time of the last one, after a restart: those still remembered are dropped, the others pass."""
+    root = scratch_path(spark, "dedup-window")
+    quakes = _quakes(spark, sf).filter(F.col("ts").isNotNull())
+    last = quakes.agg(F.max("ts")).scalar()
+    for n, part in enumerate((quakes, quakes.withColumns({"magnitude": F.lit(99.0), "ts": last}))):
+        records = samples.quake_records(part).withColumn("offset", F.col("offset") + n * 1_000_000_000)
+        messages.land(records, f"{root}/topic")
+        stream = messages.decode(messages.topic_stream(spark, f"{root}/topic"), EARTHQUAKE, keep=["offset"])
+        rows_ = messages.accepted(stream).withColumn("ts", F.try_to_timestamp("time")).select("event_id", "magnitude", "ts")
+        first = live.without_repeats(rows_, ["event_id"], DEDUP_DELAY)
+        out = first.writeStream.format("parquet").option("path", f"{root}/first").option("checkpointLocation", f"{root}/checkpoint")
+        out.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/first").select("event_id", "magnitude")
+
+
 def _revised(quakes: DataFrame, version: int) -> DataFrame:
     """All events with a higher magnitude; half of them moved; a third as they are."""
     n = F.col("event_id").cast("long")

@@ -346,6 +346,8 @@ _add("stream_dead_letters", "SELECT reason, message_key FROM letters")
 _add("stream_dedup", "SELECT event_id, magnitude FROM quakes")
 _add("stream_daily_cells", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, grid_lat, grid_lon, count(magnitude) AS event_count, "
      "max(magnitude) AS max_mag FROM located WHERE magnitude IS NOT NULL GROUP BY 1, 2, 3")
+_add("stream_dedup_window", f"""SELECT event_id, magnitude FROM quakes WHERE ts IS NOT NULL UNION ALL SELECT event_id, 99e0 FROM quakes
+    WHERE ts < (SELECT max(ts) FROM quakes) - 2 * INTERVAL '{c.DEDUP_DELAY}'""")
 _third, _half = "CAST(event_id AS BIGINT) % 3 = 0", "CAST(event_id AS BIGINT) % 2 = 0"
 _add("stream_corrected_cells", f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_live('latitude')} AS grid_lat, {_live('longitude')} AS grid_lon,
     count(*) AS event_count, max(magnitude) AS max_mag FROM (SELECT ts, longitude, CASE WHEN {_third} THEN latitude WHEN {_half} THEN latitude / 2

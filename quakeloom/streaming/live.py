@@ -26,6 +26,17 @@ def daily_cells(quakes: DataFrame, size: float = 5.0, delay: str | None = None)
     ).select(F.to_date("day.start").alias("day"), *grid.CELL, "event_count", "max_mag")
 
 
+def without_repeats(rows: DataFrame, keys: list[str], delay: str, ts: str = "ts") -> DataFrame:
+    """First arrivals of the keys, remembered in bounded state: a key is forgotten once the
+    watermark (the latest time seen less ``delay``) passes its time by ``delay``.
+
+    A repeat within that span is dropped, one beyond it passes as new, and a row older
+    than the watermark is late and dropped. For repeats however late see :func:`keep_updated`
+    with a collection of first arrivals, whose memory is the collection itself.
+    """
+    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+
+
 def keep_updated(changes: DataFrame, collection: Collection, checkpoint: str, available_now: bool = True,
                  mode: str = "update") -> StreamingQuery:
     """Upsert what every trigger yields: the changed groups of an aggregate, or

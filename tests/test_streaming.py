@@ -180,3 +180,23 @@ def test_a_batch_cut_off_between_its_writes_is_made_good(spark, folder, monkeypa
     assert view._holds(0, 1)
     view.apply(second, 1)
     assert [(r.grid_lat, r.event_count, r.max_mag) for r in view.current().collect()] == [(30.0, 1, 2.0)]
+
+
+def test_repeats_within_the_delay_are_dropped_after_a_restart_too(spark, folder):
+    batches = [
+        [("a", 1), ("a", 1), ("b", 9)],           # a repeat in one batch
+        [("b", 10), ("c", 20)],                   # b within its delay, after a restart
+        [("b", 18), ("a", 18), ("d", 2)],         # b and a are forgotten; d is older than the watermark
+    ]
+    remembered = []
+    for n, rows in enumerate(batches):
+        frame = spark.createDataFrame([(k, datetime(2024, 1, d), n) for k, d in rows], "event_id STRING, ts TIMESTAMP, batch INT")
+        frame.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(frame.schema).parquet(f"{folder}/in")
+        out = live.without_repeats(stream, ["event_id"], "3 days").writeStream.format("parquet").option("path", f"{folder}/out")
+        q = out.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+        q.awaitTermination()
+        remembered.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    found = spark.read.schema("event_id STRING, ts TIMESTAMP, batch INT").parquet(f"{folder}/out").collect()
+    assert sorted((r.event_id, r.batch) for r in found) == [("a", 0), ("a", 2), ("b", 0), ("b", 2), ("c", 1)]
+    assert max(remembered) <= 4
