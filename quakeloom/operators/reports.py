@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeloom.functions.numeric import is_known, known, scaled_half_even, settled
@@ -12,6 +12,7 @@ from quakeloom.functions.scoring import depth_category, severity_band
 from quakeloom.functions.text import minute_text, shown, title_case
 from quakeloom.operators.baseline import located
 from quakeloom.operators.rows import at_least, existing, newest, of_types, top
+from quakeloom.session import materialise
 
 
 def recent_quakes(quakes: DataFrame, n: int | None = 500, floor: float = 0.0) -> DataFrame:
@@ -71,6 +72,63 @@ def histogram(df: DataFrame, column: str, width: float, upper: float | None = No
         "count").orderBy("bin")
 
 
+def _power(k: Column) -> Column:
+    """10 to the power of ``|k|``, read from text: exact, unlike a product of tens."""
+    return F.concat(F.lit("1e"), F.abs(k)).cast("double")
+
+
+def _place(value: Column, step: Column) -> Column:
+    """Number of the bin of width ``m * 10**k`` that the value falls into."""
+    m, k = step["m"], step["k"]
+    return F.floor(F.when(k >= 0, value / (m * _power(k))).otherwise(value * _power(k) / m))
+
+
+def _edge(number: Column, step: Column) -> Column:
+    m, k = step["m"], step["k"]
+    return F.when(k >= 0, number * (m * _power(k))).otherwise(number * m / _power(k))
+
+
+def nice_step(low: Column, high: Column, bins: int) -> Column:
+    """(k, m): the least width ``m * 10**k``, m one of 1, 2 and 5, whose multiples cut the range into at most ``bins``.
+
+    A range of one value has width 1.
+    """
+    rough = F.floor(F.log10((high - low) / F.lit(float(bins)))).cast("int")
+    powers = F.transform(F.array(*[F.lit(d) for d in range(-1, 3)]), lambda d: rough + d)
+    steps = F.flatten(F.transform(powers, lambda k: F.transform(
+        F.array(F.lit(1.0), F.lit(2.0), F.lit(5.0)), lambda m: F.struct(k.alias("k"), m.alias("m")))))
+    fits = F.filter(steps, lambda s: _place(high, s) - _place(low, s) < bins)
+    return F.when(high > low, F.array_min(fits)).otherwise(F.struct(F.lit(0).alias("k"), F.lit(1.0).alias("m")))
+
+
+def nice_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """Counts per bin between round edges, chosen from the data for at most ``bins`` (two or more); empty bins are left out.
+
+    One pass counts values that agree in their first four digits, with the range of each such group,
+    so what follows reads a small table: 18,000 groups for each power of ten at most. Groups that an
+    edge cuts in two are counted again from their rows; that happens only where the range is
+    narrow and far from zero. Missing and infinite values are left out; an empty table has no bins.
+    """
+    if bins < 2:
+        raise ValueError("a range around zero needs two bins")
+    value = known(F.col(column).cast("double"))
+    rows = df.select(value.alias("v")).filter(F.abs("v") < float("inf"))
+    power = F.floor(F.log10(F.abs("v"))).cast("int")
+    scale = F.pow(F.lit(10.0), F.lit(3.0) - power)
+    keyed = rows.withColumns({"power": F.coalesce(power, F.lit(-400)), "digits": F.coalesce(F.floor(F.col("v") * scale), F.lit(0))})
+    fine = materialise(keyed.groupBy("power", "digits").agg(
+        F.count("*").alias("count"), F.min("v").alias("low"), F.max("v").alias("high")), "fine-counts")
+    step = fine.agg(F.min("low").alias("low"), F.max("high").alias("high")).select(nice_step(F.col("low"), F.col("high"), bins).alias("step"))
+    placed = fine.withColumn("step", step.scalar()).withColumns({"bin": _place(F.col("low"), F.col("step")), "last": _place(F.col("high"), F.col("step"))})
+    cut = placed.filter("bin <> last").select("power", "digits")
+    counts = placed.filter("bin = last").select("bin", "count")
+    if not cut.isEmpty():
+        again = keyed.join(cut, ["power", "digits"], "left_semi").withColumn("step", step.scalar())
+        counts = counts.unionByName(again.select(_place(F.col("v"), F.col("step")).alias("bin"), F.lit(1).cast("long").alias("count")))
+    total = counts.groupBy("bin").agg(F.sum("count").alias("count")).withColumn("step", step.scalar())
+    return total.select("bin", _edge(F.col("bin"), F.col("step")).alias("lower"), _edge(F.col("bin") + 1, F.col("step")).alias("upper"), "count").orderBy("bin")
+
+
 def key_figures(quakes: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
     """One row of headline figures; empty tables give zeros."""
     magnitude = known("magnitude")

@@ -7,6 +7,7 @@ results can be compared by value with another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,9 +21,9 @@ from quakeloom.ml import regions, risk_forest
 from quakeloom.operators import anomaly, baseline, proximity, regional, reports, rows, sampling, seasonal
 from quakeloom.schemas import DECLARATION, EARTHQUAKE, EARTHQUAKE_PAYLOAD
 from quakeloom.session import materialise, prepare, scratch_path
-from quakeloom.sources import adapters, messages, payloads, samples, stats
+from quakeloom.sources import adapters, messages, payloads, samples, stats, windows
 from quakeloom.sources.tables import ORDER, Collection
-from quakeloom.streaming import ingest, live
+from quakeloom.streaming import ingest, live, spikes
 from quakeloom.streaming.corrected import CorrectedCells
 
 AS_OF = "2024-01-31"
@@ -33,6 +34,11 @@ SPIKE_DAYS = 2
 SEEN_UNTIL = "2024-01-16"
 OPEN_DAYS = 3
 DEDUP_DELAY = "5 days"
+STATE_DELAY = "10 days"
+ALERT_WINDOW, ALERT_SLIDE, ALERT_DELAY = "2 days", "12 hours", "1 day"
+WANTED_FROM = "2024-01-01"
+BACKFILLS = [("2024-01-12", "2024-01-15"), ("2024-01-05", "2024-01-08"), ("2024-01-07", "2024-01-13"), ("2024-01-05", "2024-01-25")]
+NICE_BINS = {"magnitude": 12, "depth_km": 20, "significance": 30, "risk_score": 7, "far_magnitude": 25}
 DECLARED_AFTER = "1998-06-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +274,19 @@ def risk_histogram(spark, sf):
     return reports.histogram(_scored(spark, sf), "risk_score", 2.5, 100.0)
 
 
+@query
+def nice_histograms(spark, sf):
+    """Histograms between round edges; the last column's range is narrow and far from zero."""
+    quakes = _scored(spark, sf).withColumn("far_magnitude", F.col("magnitude") / 100 + 1000000)
+    parts = [reports.nice_histogram(quakes, c, n).withColumn("name", F.lit(c)) for c, n in NICE_BINS.items()]
+    prices = spark.read.parquet(f"{sf}/lineitem.parquet")
+    parts.append(reports.nice_histogram(prices, "l_extendedprice", 15).withColumn("name", F.lit("price")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.withColumns({"lower": exact_half_even("lower", 6), "upper": exact_half_even("upper", 6)})
+
+
 @query
 def map_layer(spark, sf):
     quakes, events = _scored(spark, sf), _events(spark, sf)
@@ -369,6 +388,53 @@ def landed_pages(spark, sf):
     return found.select("event_id", "magnitude", "time")
 
 
+def _loaded(spark, sf) -> DataFrame:
+    """Windows of several lengths, one per some of the events, in no order."""
+    n = F.substring_index("event_id", "_", -1).cast("long")
+    start = F.date_trunc("hour", F.col("last_ts").cast("timestamp"))
+    picked = _events(spark, sf).filter((n % 17 == 3) & (F.col("type") != "volcano"))
+    return picked.select(F.col("type").alias("feed"), start.alias("start"), (start + F.make_dt_interval(hours=(n % 5 * 2).cast("int"))).alias("end"))
+
+
+def _wanted(spark, sf) -> DataFrame:
+    """All types over the same time, the type that was never loaded among them."""
+    feeds = _events(spark, sf).select(F.col("type").alias("feed")).distinct()
+    return feeds.withColumns({"since": F.lit(WANTED_FROM).cast("timestamp"), "until": F.lit(AS_OF).cast("timestamp")})
+
+
+def _window_text(found: DataFrame) -> DataFrame:
+    return found.withColumns({x: F.date_format(x, "yyyy-MM-dd HH:mm:ss") for x in ("start", "end")})
+
+
+@query
+def window_gaps(spark, sf):
+    """What a feed's loads have left out, in pieces of three days at most."""
+    return _window_text(windows.in_steps(windows.missing(_loaded(spark, sf), _wanted(spark, sf)), "3 days"))
+
+
+@query
+def window_overlaps(spark, sf):
+    """What was loaded more than once, and how often at most."""
+    return _window_text(windows.overlaps(_loaded(spark, sf)))
+
+
+@query
+def window_backfill(spark, sf):
+    """Loads out of order and overlapping, then one over all: every quake of the span is loaded once."""
+    root = scratch_path(spark, "backfill")
+    samples.quake_pages(_quakes(spark, sf)).write.text(f"{root}/pages")
+    parsed = payloads.parse_earthquakes(payloads.read_pages(spark, f"{root}/pages", one_per_line=True))
+    ledger = windows.WindowLedger(spark, f"{root}/ledger")
+
+    def load(start, end):
+        found = payloads.historical_quakes(parsed, str(start), str(end)).select("event_id", "magnitude", "time")
+        found.write.mode("overwrite").parquet(f"{root}/loaded/from={start:%Y%m%d%H%M%S}")
+
+    for since, until in BACKFILLS:
+        ledger.load("earthquakes", datetime.fromisoformat(since), datetime.fromisoformat(until), load, "10 days")
+    return spark.read.parquet(f"{root}/loaded").select("event_id", "magnitude", "time")
+
+
 @query
 def page_dead_letters(spark, sf):
     """What damaged pages lose: items that are no objects, a page cut off, a bad field."""
@@ -603,6 +669,27 @@ def stream_dedup_window(spark, sf):
     return spark.read.parquet(f"{root}/first").select("event_id", "magnitude")
 
 
+@query
+def stream_rate_alerts(spark, sf):
+    """Spikes of sliding windows: some events come late within the delay, others, far too late, are dropped."""
+    root = scratch_path(spark, "alerts")
+    quakes = _quakes(spark, sf).filter(F.col("ts").isNotNull())
+    cells, totals = baseline.fit_baseline(quakes)
+    cells, totals = materialise(cells, "rates"), materialise(totals, "limits")
+    n, day = F.col("event_id").cast("long"), F.col("ts").cast("timestamp")
+    early = (day < F.lit("2024-01-20").cast("timestamp")) & ~((n % 5 == 0) & (day >= F.lit("2024-01-19 12:00:00").cast("timestamp")))
+    stale = quakes.filter(n % 7 == 0).withColumn("ts", F.col("ts") - F.expr("INTERVAL '20' DAY"))
+    for batch, part in enumerate((quakes.filter(early), quakes.filter(~early), stale)):
+        records = samples.quake_records(part).withColumn("offset", F.col("offset") + batch * 1_000_000_000)
+        messages.land(records, f"{root}/topic")
+        stream = messages.accepted(messages.decode(messages.topic_stream(spark, f"{root}/topic"), EARTHQUAKE))
+        alerts = spikes.rate_alerts(
+            stream.withColumn("ts", F.try_to_timestamp("time")), cells, totals, ALERT_WINDOW, ALERT_SLIDE, ALERT_DELAY)
+        spikes.emit(alerts, f"{root}/alerts", f"{root}/checkpoint").awaitTermination()
+    found = spark.read.parquet(f"{root}/alerts")
+    return found.withColumns({x: F.date_format(x, "yyyy-MM-dd HH:mm:ss") for x in ("window_start", "window_end")})
+
+
 def _revised(quakes: DataFrame, version: int) -> DataFrame:
     """All events with a higher magnitude; half of them moved; a third as they are."""
     n = F.col("event_id").cast("long")
@@ -627,6 +714,45 @@ def stream_corrected_cells(spark, sf):
     return view.current().withColumn("day", F.col("day").cast("string"))
 
 
+@query
+def stream_newest_state(spark, sf):
+    """Newest version per key as streaming state: what it holds at the end, and which keys it has forgotten."""
+    root = scratch_path(spark, "newest-state")
+    for version in range(3):
+        part = _revised(_quakes(spark, sf), version).filter(F.col("ts").isNotNull())
+        records = samples.quake_records(part).withColumn("offset", F.col("offset") + version * 1_000_000_000)
+        messages.land(records, f"{root}/topic")
+        if version == 0:  # the first two versions come in one run, the third after a restart
+            continue
+        stream = messages.accepted(messages.decode(messages.topic_stream(spark, f"{root}/topic"), EARTHQUAKE, keep=["offset"]))
+        rows_ = stream.withColumn("ts", F.try_to_timestamp("time")).select("event_id", "magnitude", "ts", F.col("offset").alias(ORDER))
+        changes = live.newest_in_state(rows_, ["event_id"], ORDER, STATE_DELAY)
+        spikes.emit(changes, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
+    changes = spark.read.parquet(f"{root}/changes")
+    return changes.groupBy("event_id").agg(
+        F.max_by("magnitude", ORDER).alias("magnitude"), F.max("expired").alias("expired"))
+
+
+@query
+def stream_pages_topic(spark, sf):
+    """Archive and live pages into one topic, with a restart in between, and from there into the collection."""
+    root = scratch_path(spark, "pages-topic")
+    events = _events(spark, sf)
+    n = F.substring_index("event_id", "_", -1).cast("long")
+    late = events.filter(n % 3 == 0).withColumn("title", F.concat("title", F.lit(", seen live")))
+    feed = ingest.FEEDS["natural_events"]
+    store = ingest.open_collection(spark, feed, root)
+    for archive, now in ((events.filter(n % 2 == 0), late.filter(n % 2 == 0)), (events.filter(n % 2 == 1), late.filter(n % 2 == 1))):
+        samples.event_pages(archive).write.mode("append").text(f"{root}/archive")
+        samples.event_pages(now).write.mode("append").text(f"{root}/live")
+        pages = [payloads.pages_stream(spark, f"{root}/{x}", one_per_line=True) for x in ("archive", "live")]
+        ingest.publish_pages(pages, payloads.parse_natural_events, "event_id", f"{root}/topic", f"{root}/published").awaitTermination()
+        stream = messages.topic_stream(spark, f"{root}/topic")
+        ingest.start(feed, stream, store, f"{root}/checkpoint", available_now=True).awaitTermination()
+    copies = spark.read.parquet(f"{root}/topic").groupBy(F.col("key").alias("event_id")).agg(F.count("*").alias("copies"))
+    return store.current().join(copies, "event_id").select("event_id", "title", "status", "copies")
+
+
 @query
 def stream_newest_versions(spark, sf):
     """Newest version per key, kept by the collection rather than as stream state."""

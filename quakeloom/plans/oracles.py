@@ -234,6 +234,18 @@ _add("events_by_month_type", "SELECT coalesce(strftime(last_ts, '%Y-%m'), 'NaT')
      "WHERE type IS NOT NULL GROUP BY 1, 2")
 _add("depth_categories", f"SELECT {DEPTH} AS category, count(*) AS count FROM quakes WHERE {DEPTH} IS NOT NULL GROUP BY 1")
 _add("type_counts", "SELECT type, count(*) AS count FROM eonet GROUP BY 1")
+_nice = " UNION ALL ".join(f"SELECT '{x}' AS name, {n} AS bins, {v} AS v FROM {t} WHERE {v} IS NOT NULL" for x, n, v, t in [
+    *((x, n, "magnitude / 100 + 1000000" if x == "far_magnitude" else x, "scored") for x, n in c.NICE_BINS.items()),
+    ("price", 15, "CAST(l_extendedprice AS DOUBLE)", "lineitem")])
+_PARTS["charted"] = _nice
+_number = "CAST(floor(CASE WHEN k >= 0 THEN {0} / (m * p) ELSE {0} * p / m END) AS BIGINT)"
+_PARTS["steps"] = "SELECT k, m, CAST('1e' || abs(k) AS DOUBLE) AS p FROM (SELECT unnest(generate_series(-9, 9)) AS k), (SELECT unnest([1e0, 2e0, 5e0]) AS m)"
+_PARTS["chosen"] = f"""SELECT name, min({{'k': k, 'm': m, 'p': p}}) AS s FROM (SELECT name, bins, min(v) AS low, max(v) AS high FROM charted GROUP BY 1, 2), steps
+    WHERE {_number.format('high')} - {_number.format('low')} < bins GROUP BY 1"""
+_add("nice_histograms", f"""SELECT name, bin, count(*) AS count, {_exact('CASE WHEN k >= 0 THEN bin * (m * p) ELSE bin * m / p END', 6)} AS lower,
+    {_exact('CASE WHEN k >= 0 THEN (bin + 1) * (m * p) ELSE (bin + 1) * m / p END', 6)} AS upper
+    FROM (SELECT name, s.k AS k, s.m AS m, s.p AS p, {_number.replace('k >=', 's.k >=').replace('(m * p)', '(s.m * s.p)').replace('* p / m', '* s.p / s.m').format('v')} AS bin
+    FROM charted JOIN chosen USING (name)) GROUP BY name, bin, k, m, p""")
 _add("mag_histogram", "SELECT bin, bin * 0.5e0 AS lower, (bin + 1) * 0.5e0 AS upper, count FROM (SELECT CAST(floor(magnitude / "
      "0.5e0) AS BIGINT) AS bin, count(*) AS count FROM quakes WHERE magnitude IS NOT NULL GROUP BY 1)")
 _add("risk_histogram", "SELECT bin, bin * 2.5e0 AS lower, (bin + 1) * 2.5e0 AS upper, count FROM (SELECT CASE WHEN risk_score = "
@@ -305,6 +317,23 @@ _add("fema_parse", """SELECT event_id, state, county, incident_type, strftime(de
     seq % 2 <> 1 AS ia_program_declared, true AS pa_program_declared, false AS hm_program_declared FROM fema""")
 _add("landed_pages", f"SELECT event_id, magnitude, {_iso(_ms('ts'))} AS time FROM quakes WHERE magnitude >= 2.5e0 AND "
      "epoch_ms(epoch_us(ts) // 1000) >= TIMESTAMP '2024-01-05' AND epoch_ms(epoch_us(ts) // 1000) < TIMESTAMP '2024-01-20'")
+_add("window_backfill", f"SELECT event_id, magnitude, {_iso(_ms('ts'))} AS time FROM quakes WHERE magnitude >= 2.5e0 AND "
+     "epoch_ms(epoch_us(ts) // 1000) >= TIMESTAMP '2024-01-05' AND epoch_ms(epoch_us(ts) // 1000) < TIMESTAMP '2024-01-25'")
+# hour by hour: a window is a stretch of hours that some load holds
+_hours = f"""SELECT f.feed, h.hour, (SELECT count(*) FROM loads l WHERE l.feed = f.feed AND h.hour >= l.since AND h.hour < l.until) AS depth
+    FROM (SELECT DISTINCT type AS feed FROM eonet) f, (SELECT unnest(generate_series(
+    (SELECT least(min(since), TIMESTAMP '{c.WANTED_FROM}') FROM loads), (SELECT greatest(max(until), TIMESTAMP '{c.AS_OF}') FROM loads),
+    INTERVAL 1 HOUR)) AS hour) h"""
+_PARTS["loads"] = """SELECT type AS feed, date_trunc('hour', last_ts) AS since, date_trunc('hour', last_ts)
+    + INTERVAL 1 HOUR * (CAST(string_split(event_id, '_')[2] AS BIGINT) % 5 * 2) AS until FROM eonet
+    WHERE type <> 'volcano' AND CAST(string_split(event_id, '_')[2] AS BIGINT) % 17 = 3"""
+_PARTS["hours"] = _hours
+_stretch = """SELECT *, hour - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY feed ORDER BY hour) AS run FROM hours WHERE """
+_add("window_gaps", f"""SELECT feed, strftime(min(hour), '%Y-%m-%d %H:%M:%S') AS start,
+    strftime(max(hour) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS end FROM (SELECT *, (row_number() OVER (PARTITION BY feed, run ORDER BY hour) - 1) // 72 AS piece
+    FROM ({_stretch} depth = 0 AND hour >= TIMESTAMP '{c.WANTED_FROM}' AND hour < TIMESTAMP '{c.AS_OF}')) GROUP BY feed, run, piece""")
+_add("window_overlaps", f"""SELECT feed, strftime(min(hour), '%Y-%m-%d %H:%M:%S') AS start,
+    strftime(max(hour) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS end, max(depth) AS most FROM ({_stretch} depth > 1) GROUP BY feed, run""")
 _add("category_map", """SELECT type, count(*) AS count, CASE type WHEN 'wildfire' THEN 'Wildfire' WHEN 'storm' THEN 'Storm'
     WHEN 'ice' THEN 'Ice' WHEN 'dust_haze' THEN 'Dust_Haze' ELSE 'Tempextremes' END AS title FROM
     (SELECT ['wildfire', 'storm', 'ice', 'dust_haze', 'tempExtremes'][num % 5 + 1] AS type FROM parsed_events) GROUP BY type""")
@@ -348,12 +377,26 @@ _add("stream_daily_cells", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, gri
      "max(magnitude) AS max_mag FROM located WHERE magnitude IS NOT NULL GROUP BY 1, 2, 3")
 _add("stream_dedup_window", f"""SELECT event_id, magnitude FROM quakes WHERE ts IS NOT NULL UNION ALL SELECT event_id, 99e0 FROM quakes
     WHERE ts < (SELECT max(ts) FROM quakes) - 2 * INTERVAL '{c.DEDUP_DELAY}'""")
+_add("stream_rate_alerts", f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL {c.ALERT_WINDOW}, '%Y-%m-%d %H:%M:%S')
+    AS window_end, grid_lat, grid_lon, window_count, window_max_mag, {_exact('window_count / 2e0', 6)} AS window_rate, baseline_rate FROM (
+    SELECT c.*, coalesce(b.daily_rate, (SELECT global_daily_rate FROM limits)) AS baseline_rate FROM (SELECT w, grid_lat, grid_lon,
+    count(*) AS window_count, max(magnitude) AS window_max_mag FROM history, (SELECT unnest(generate_series(TIMESTAMP '2023-12-01',
+    TIMESTAMP '2024-03-01', INTERVAL {c.ALERT_SLIDE})) AS w) WHERE epoch_ms(epoch_us(ts) // 1000) >= w
+    AND epoch_ms(epoch_us(ts) // 1000) < w + INTERVAL {c.ALERT_WINDOW} GROUP BY 1, 2, 3) c LEFT JOIN baselines b USING (grid_lat, grid_lon))
+    WHERE window_count / 2e0 > 3e0 * baseline_rate AND w + INTERVAL {c.ALERT_WINDOW} <=
+    (SELECT max(epoch_ms(epoch_us(ts) // 1000)) - INTERVAL {c.ALERT_DELAY} FROM history)""")
 _third, _half = "CAST(event_id AS BIGINT) % 3 = 0", "CAST(event_id AS BIGINT) % 2 = 0"
 _add("stream_corrected_cells", f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_live('latitude')} AS grid_lat, {_live('longitude')} AS grid_lon,
     count(*) AS event_count, max(magnitude) AS max_mag FROM (SELECT ts, longitude, CASE WHEN {_third} THEN latitude WHEN {_half} THEN latitude / 2
     ELSE latitude END AS latitude, magnitude + CASE WHEN {_third} THEN 0 WHEN {_half} THEN 3 ELSE 1 END AS magnitude FROM quakes)
     WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND magnitude IS NOT NULL GROUP BY 1, 2, 3""")
 
+_add("stream_pages_topic", """SELECT event_id, title || CASE WHEN num % 3 = 0 THEN ', seen live' ELSE '' END AS title,
+    CASE WHEN num % 4 = 0 THEN 'closed' ELSE 'open' END AS status, CASE WHEN num % 3 = 0 THEN 2 ELSE 1 END AS copies FROM parsed_events""")
+_add("stream_newest_state", f"""SELECT event_id, CASE WHEN ts < late THEN CASE WHEN {_half} THEN magnitude + 3 ELSE magnitude + 1 END
+    WHEN {_third} THEN magnitude WHEN {_half} THEN magnitude + 3 ELSE magnitude + 1 END AS magnitude, ts <= late AS expired
+    FROM quakes, (SELECT max(epoch_ms(epoch_us(ts) // 1000)) - INTERVAL {c.STATE_DELAY} AS late FROM quakes) WHERE ts IS NOT NULL""")
+
 # Learning
 _add("training_window", f"SELECT event_id, magnitude, {_text('h.ts')} AS ts FROM hist h")
 _add("stratified_sample", "SELECT event_id, magnitude FROM sampled")

@@ -17,6 +17,14 @@ def read_pages(spark: SparkSession, path: str, one_per_line: bool = False) -> Da
     return spark.read.text(path, wholetext=not one_per_line).select(F.col("value").alias("payload"))
 
 
+def pages_stream(spark: SparkSession, path: str, one_per_line: bool = False, files_per_trigger: int | None = None) -> DataFrame:
+    """Landed pages as a stream of ``payload``: each file is taken once, whenever it lands."""
+    reader = spark.readStream.option("wholetext", not one_per_line)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.text(path).select(F.col("value").alias("payload"))
+
+
 def _parsed(pages: DataFrame, schema: str) -> DataFrame:
     """One row per item with its text and ``x``, or one per page that is no page.
 

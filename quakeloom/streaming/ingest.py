@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quakeloom import schemas
 from quakeloom.functions.scoring import geo_point, with_risk
-from quakeloom.sources.messages import accepted, dead_letters, decode
+from quakeloom.sources.messages import accepted, dead_letters, decode, encode
 from quakeloom.sources.tables import ORDER, Collection, writer_of
 
 POINT = "location STRUCT<type: STRING, coordinates: ARRAY<DOUBLE>>"
@@ -64,6 +64,30 @@ FEEDS = {
 }
 
 
+def publish_pages(sources: list[DataFrame], parse: Callable[[DataFrame], DataFrame], key: Column | str, topic: str,
+                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Items of streamed pages into one topic folder, each page once, restarts included.
+
+    ``sources`` are streams of pages (see :func:`payloads.pages_stream`), such as the archive and the live
+    pages of one feed; they share the topic and the checkpoint. A record's offset is the moment of its
+    micro-batch, which a batch run again keeps, so what lands later is newer; within a batch a later
+    source in the list is newer. Items without a key are left to the page dead letters.
+    """
+    moment = F.unix_micros(F.current_timestamp()) * len(sources)
+    parts = []
+    for rank, pages in enumerate(sources):
+        rows = parse(pages)
+        named = rows.filter(F.col("event_id").isNotNull() & (F.col("event_id") != ""))
+        messages = encode(named, key, [c for c in rows.columns if c != "ingested_at"])
+        parts.append(messages.select("key", "value", F.lit(rank).alias("partition"), (moment + rank).alias("offset"),
+                                     F.current_timestamp().alias("timestamp")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    out = every.writeStream.format("parquet").option("path", topic).option("checkpointLocation", checkpoint).outputMode("append")
+    return (out.trigger(availableNow=True) if available_now else out).start()
+
+
 def open_collection(spark: SparkSession, feed: Feed, root: str) -> Collection:
     return Collection(spark, f"{root}/{feed.collection}", feed.stored, feed.keys, feed.time_column)
 

@@ -37,6 +37,48 @@ def without_repeats(rows: DataFrame, keys: list[str], delay: str, ts: str = "ts"
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def newest_in_state(rows: DataFrame, keys: list[str], order: str, delay: str, ts: str = "ts") -> DataFrame:
+    """Changes of the newest version of each key, which streaming state holds until the key has been quiet for ``delay``.
+
+    A row a key whose newest version changed in a batch, with ``expired`` false; it has the columns of
+    ``rows``. When the watermark (the latest ``ts`` less ``delay``) passes the time of a key's newest
+    version, the key is forgotten: one last row with ``expired`` true. A version that comes later founds
+    the key anew. Of versions of equal ``order`` the first one held stays. Rows older than the
+    watermark are dropped: unlike stored versions (:func:`keep_updated`) state is bounded by what ``delay`` holds.
+    """
+    names = [c for c in rows.columns if c not in (*keys, ts)]
+    types = rows.schema
+    held = f"_ts long, {', '.join(f'`{c}` {types[c].dataType.simpleString()}' for c in names)}"
+    out = f"{', '.join(f'`{c}` {types[c].dataType.simpleString()}' for c in (*keys, *names))}, _ts long, expired boolean"
+
+    def follow(key, batches, state):
+        import pandas as pd
+
+        if state.hasTimedOut:
+            moment, *kept = state.get
+            state.remove()
+            yield pd.DataFrame([(*key, *kept, moment, True)], columns=[*keys, *names, "_ts", "expired"])
+            return
+        now = state.get if state.exists else None
+        place = 1 + names.index(order)
+        best = now
+        for batch in batches:
+            for row in batch[["_ts", *names]].itertuples(index=False, name=None):
+                row = tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in row)
+                if best is None or row[place] > best[place]:
+                    best = row
+        if best is None or best is now:
+            return
+        state.update(best)
+        # the timer must lie after the watermark of the batch
+        state.setTimeoutTimestamp(max(best[0] // 1000, state.getCurrentWatermarkMs()) + 1)
+        yield pd.DataFrame([(*key, *best[1:], best[0], False)], columns=[*keys, *names, "_ts", "expired"])
+
+    marked = rows.filter(F.col(ts).isNotNull() & F.col(order).isNotNull()).withWatermark(ts, delay).withColumn("_ts", F.unix_micros(F.col(ts).cast("timestamp")))
+    changes = marked.groupBy(*keys).applyInPandasWithState(follow, out, held, "append", "EventTimeTimeout")
+    return changes.withColumn(ts, F.timestamp_micros("_ts")).drop("_ts")
+
+
 def keep_updated(changes: DataFrame, collection: Collection, checkpoint: str, available_now: bool = True,
                  mode: str = "update") -> StreamingQuery:
     """Upsert what every trigger yields: the changed groups of an aggregate, or

@@ -199,3 +199,23 @@ def test_hot_key_and_hot_cell_give_whole_results(spark):
     assert newest.count() == hot.select("event_id").distinct().count()
     assert anomaly.live_cells(hot).agg(F.sum("event_count")).first()[0] == 20 * anomaly.live_cells(quakes).agg(F.sum("event_count")).first()[0]
     assert grid.CELL == ["grid_lat", "grid_lon"]
+
+
+@pytest.mark.parametrize("values, bins, edges", [
+    ([0.5, 1.5, 9.9], 10, [(0.0, 1.0, 1), (1.0, 2.0, 1), (9.0, 10.0, 1)]),
+    ([-3.0, 3.0, 3.0], 2, [(-5.0, 0.0, 1), (0.0, 5.0, 2)]),
+    ([1e6 + 0.001, 1e6 + 0.004, 1e6 + 0.0095], 10, [(1e6 + 0.001, 1e6 + 0.002, 1), (1e6 + 0.004, 1e6 + 0.005, 1), (1e6 + 0.009, 1e6 + 0.01, 1)]),
+    ([1.0, 20.0, 300.0, 4e9], 5, [(0.0, 1e9, 3), (4e9, 5e9, 1)]),
+    ([7.25, 7.25], 4, [(7.0, 8.0, 2)]),
+    ([None, float("nan"), float("inf")], 4, []),
+    ([], 4, []),
+])
+def test_nice_histogram(spark, values, bins, edges):
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    found = [(r.lower, r.upper, r["count"]) for r in reports.nice_histogram(df, "v", bins).collect()]
+    assert found == [pytest.approx(e, rel=1e-12) for e in edges]
+
+
+def test_nice_histogram_needs_two_bins(spark):
+    with pytest.raises(ValueError):
+        reports.nice_histogram(spark.range(3).selectExpr("id * 1e0 AS v"), "v", 1)
