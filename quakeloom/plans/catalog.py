@@ -35,6 +35,7 @@ SEEN_UNTIL = "2024-01-16"
 OPEN_DAYS = 3
 DEDUP_DELAY = "5 days"
 STATE_DELAY = "10 days"
+GROWING_FILL = 150
 ALERT_WINDOW, ALERT_SLIDE, ALERT_DELAY = "2 days", "12 hours", "1 day"
 WANTED_FROM = "2024-01-01"
 BACKFILLS = [("2024-01-12", "2024-01-15"), ("2024-01-05", "2024-01-08"), ("2024-01-07", "2024-01-13"), ("2024-01-05", "2024-01-25")]
@@ -544,6 +545,22 @@ def upsert_replay(spark, sf):
     return store.current()
 
 
+@query
+def upsert_growing(spark, sf):
+    """A collection that grows past several splits, with a replay on either side of each."""
+    store = Collection(spark, scratch_path(spark, "growing"), DECLARED, DECLARED_KEYS, buckets=3, fill=GROWING_FILL)
+    declared = adapters.declarations(spark, sf).withColumn(ORDER, F.col("seq"))
+    n = F.col("event_id").cast("long")
+    parts = [n < 20, (n >= 10) & (n < 150), n >= 100]  # some keys come in two parts
+    for batch, part in enumerate(parts):
+        rows_ = declared.filter(part).select(*DECLARED_KEYS, "state", "incident_type", ORDER)
+        store.upsert(rows_, batch)
+        store.compact()
+        store.upsert(rows_, batch)
+    first, now = store.layout()
+    return store.current().withColumn("grown", F.lit(now >= 2 * first))
+
+
 def _second_writer(spark, sf, label: str, shift: int, compact: bool) -> DataFrame:
     """The first half under one checkpoint, the second under a fresh one whose
     batches start from 0 again and whose offsets are lowered by ``shift``."""

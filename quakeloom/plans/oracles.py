@@ -361,6 +361,8 @@ for _name in ("upsert_latest", "upsert_new_checkpoint", "upsert_topic_reset"):
                 "FROM newest WHERE rn = 1")
 for _name in ("upsert_replay", "stream_newest_versions"):
     _add(_name, "SELECT event_id, county, state, incident_type FROM newest WHERE rn = 1")
+_add("upsert_growing", f"SELECT event_id, county, state, incident_type, (SELECT count(*) >= 6 * {c.GROWING_FILL} FROM newest WHERE rn = 1) AS grown "
+     "FROM newest WHERE rn = 1")
 _add("latest_declarations", "SELECT event_id, county, state, incident_type, seq FROM newest WHERE rn = 1")
 _add("unseen_anti_join", f"SELECT event_id, magnitude, 1 AS pass FROM quakes WHERE ts >= TIMESTAMP '{c.SEEN_UNTIL}'")
 _add("unique_key_check", "SELECT event_id, county, count(*) AS rows FROM fema GROUP BY 1, 2 HAVING count(*) > 1")

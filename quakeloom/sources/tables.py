@@ -9,6 +9,12 @@ new checkpoint and the offsets of a re-created topic cannot hide older ones.
 
 ``compact`` merges the changes into the buckets they touch and leaves the others
 alone. It is a job of its own, outside of the streams.
+
+Buckets grow by linear hashing: a bucket number is the hash modulo the number of
+buckets at the last doubling, or modulo twice that where the bucket is already split.
+One more bucket so takes its rows from one other, and growing by some rewrites
+only those that they split. Changes are addressed when they are merged, so a
+stream need not know how many buckets there are.
 """
 
 from __future__ import annotations
@@ -24,6 +30,15 @@ from quakeloom.session import delete, exists, prepare
 
 ORDER, WRITER, BATCH, BUCKET = "_order", "_writer", "_batch", "_bucket"
 VERSION = [WRITER, BATCH, ORDER]
+LAYOUT = "first INT, buckets INT"
+PLAN = f"{LAYOUT}, rewritten ARRAY<INT>"
+
+
+def doubled(first: int, buckets: int) -> int:
+    """The number of buckets at the last doubling of ``first``."""
+    while 2 * first <= buckets:
+        first *= 2
+    return first
 
 
 def mongo_collection(spark: SparkSession, uri: str, database: str, collection: str, schema: str) -> DataFrame:
@@ -45,17 +60,19 @@ class Collection:
     """``keys`` identify a document; ``_order`` (such as the message offset) orders the
     versions of one batch. ``first`` keeps the oldest version instead of the newest.
     Within a bucket the base is sorted by ``cluster_by``, a time column, so that
-    reads of a period skip row groups. ``buckets`` is fixed when a collection is
-    created; a bucket is what a compaction rewrites at least."""
+    reads of a period skip row groups. A collection starts with ``buckets``; a
+    compaction adds so many that a bucket holds ``fill`` documents on average. A
+    bucket is what a compaction rewrites at least."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], cluster_by: str | None = None,
-                 buckets: int = 8, first: bool = False):
+                 buckets: int = 8, first: bool = False, fill: int = 1_000_000):
         self.spark = prepare(spark)
         self.cluster_by = cluster_by
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets
         self.first = first
+        self.fill = fill
         self.schema = f"{schema}, {ORDER} BIGINT, {WRITER} BIGINT, {BATCH} BIGINT, {BUCKET} INT"
         self.columns = self._none().columns
 
@@ -69,6 +86,36 @@ class Collection:
         found = self.spark.read.schema(schema or self.schema).parquet(path)
         return found.select(self.columns) if schema is None else found
 
+    def layout(self) -> tuple[int, int]:
+        """Buckets at the start and now."""
+        if self._staged():
+            found = self._plan()
+            return found["first"], found["buckets"]
+        if not exists(self.spark, f"{self.path}/layout/_SUCCESS"):
+            return self.buckets, self.buckets
+        found = self.spark.read.schema(LAYOUT).parquet(f"{self.path}/layout").first()
+        return found["first"], found["buckets"]
+
+    def _address(self, first: int, buckets: int) -> Column:
+        level = doubled(first, buckets)
+        wide = F.pmod(F.xxhash64(*self.keys), F.lit(2 * level))
+        return F.when(wide < buckets, wide).otherwise(F.pmod(F.xxhash64(*self.keys), F.lit(level))).cast("int")
+
+    def _staged(self) -> bool:
+        return exists(self.spark, f"{self.path}/staging/_SUCCESS")
+
+    def _plan(self):
+        """What the staged buckets replace: the layout with them, and the numbers of all buckets rewritten."""
+        return self.spark.read.schema(PLAN).parquet(f"{self.path}/staging-plan").first()
+
+    def _base(self) -> DataFrame | None:
+        """The base; while staged buckets wait to replace some of it, with them in the place of those."""
+        base = self._read("base")
+        if not self._staged():
+            return base
+        staged = self._read("staging")
+        return staged if base is None else base.filter(~F.col(BUCKET).isin(self._plan()["rewritten"])).unionByName(staged)
+
     def _write(self, rows: DataFrame, name: str, *partitions: str) -> None:
         """Replace the partitions that ``rows`` have and leave the others."""
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(f"{self.path}/{name}")
@@ -106,7 +153,7 @@ class Collection:
     def _current(self, but: tuple[int, int] | None = None) -> DataFrame:
         """The changes are small next to the base: the planner can ship them to it
         by their file size, and the base is not shuffled then."""
-        base, recent = self._read("base"), self._read("changes")
+        base, recent = self._base(), self._read("changes")
         if recent is not None:
             if but is not None:
                 recent = recent.filter((F.col(WRITER) != but[0]) | (F.col(BATCH) != but[1]))
@@ -134,7 +181,8 @@ class Collection:
 
         The merged buckets are complete in ``staging`` before they replace those of the
         base. If the driver is lost in between, the next compaction replaces them
-        again; changes that were merged and not dropped are merged once more.
+        again, and reads meanwhile take the staged ones; changes that were merged and not
+        dropped are merged once more.
         """
         self._replace()
         changes = self._read("changes")
@@ -142,10 +190,18 @@ class Collection:
             return 0
         batches = [(r[0], r[1]) for r in changes.select(WRITER, BATCH).distinct().collect()]  # folders, not rows
         taken = changes.join(F.broadcast(self.spark.createDataFrame(batches, f"{WRITER} BIGINT, {BATCH} BIGINT")), [WRITER, BATCH])
-        touched = [r[0] for r in taken.select(BUCKET).distinct().collect()]
-        rows, base = taken.select(self.columns), self._read("base")
+        base, (first, before) = self._read("base"), self.layout()
+        held = taken.count() + (0 if base is None else base.count())  # file footers alone; a key may count twice
+        now = max(before, -(-held // self.fill))
+        level = doubled(first, before)
+        parents = {n if n < before else n % level for n in (b % (2 * level) for b in range(before, now))}
+        touched = {r[0] for r in taken.select(self._address(first, before)).distinct().collect()}
+        rows = taken.select(self.columns)
         if base is not None:
-            rows = rows.unionByName(base.filter(F.col(BUCKET).isin(touched)))
+            rows = rows.unionByName(base.filter(F.col(BUCKET).isin(sorted(touched | parents))))
+        rows = rows.withColumn(BUCKET, self._address(first, now))
+        rewritten = sorted(touched | parents | set(range(before, now)))
+        self.spark.createDataFrame([(first, now, rewritten)], PLAN).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/staging-plan")
         merged = self._latest(rows)
         # the keys split a moment that very many documents share
         order = [BUCKET, *[c for c in (self.cluster_by,) if c], *self.keys]
@@ -157,9 +213,15 @@ class Collection:
         return len(touched)
 
     def _replace(self) -> None:
-        if exists(self.spark, f"{self.path}/staging/_SUCCESS"):
-            staged = self._read("staging")
+        """Put staged buckets into the base. Cut off at any point, it is done again as a whole."""
+        if self._staged():
+            staged, plan = self._read("staging"), self._plan()
             self._write(staged.sortWithinPartitions(BUCKET, *[c for c in (self.cluster_by,) if c]), "base", BUCKET)
+            filled = {r[0] for r in staged.select(BUCKET).distinct().collect()}
+            for empty in set(plan["rewritten"]) - filled:  # all of its documents moved to a split's other half
+                delete(self.spark, f"{self.path}/base/{BUCKET}={empty}")
+            self.spark.createDataFrame([(plan["first"], plan["buckets"])], LAYOUT).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/layout")
+            delete(self.spark, f"{self.path}/staging/_SUCCESS")  # first, so that a folder half deleted counts for nothing
         delete(self.spark, f"{self.path}/staging")
 
     def append_dead_letters(self, rows: DataFrame, batch_id: int, writer: int = 0) -> None:

@@ -88,8 +88,8 @@ def publish_pages(sources: list[DataFrame], parse: Callable[[DataFrame], DataFra
     return (out.trigger(availableNow=True) if available_now else out).start()
 
 
-def open_collection(spark: SparkSession, feed: Feed, root: str) -> Collection:
-    return Collection(spark, f"{root}/{feed.collection}", feed.stored, feed.keys, feed.time_column)
+def open_collection(spark: SparkSession, feed: Feed, root: str, fill: int = 1_000_000) -> Collection:
+    return Collection(spark, f"{root}/{feed.collection}", feed.stored, feed.keys, feed.time_column, fill=fill)
 
 
 def start(feed: Feed, records: DataFrame, collection: Collection, checkpoint: str, available_now: bool = False,
