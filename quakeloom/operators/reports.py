@@ -118,14 +118,17 @@ def nice_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     keyed = rows.withColumns({"power": F.coalesce(power, F.lit(-400)), "digits": F.coalesce(F.floor(F.col("v") * scale), F.lit(0))})
     fine = materialise(keyed.groupBy("power", "digits").agg(
         F.count("*").alias("count"), F.min("v").alias("low"), F.max("v").alias("high")), "fine-counts")
-    step = fine.agg(F.min("low").alias("low"), F.max("high").alias("high")).select(nice_step(F.col("low"), F.col("high"), bins).alias("step"))
-    placed = fine.withColumn("step", step.scalar()).withColumns({"bin": _place(F.col("low"), F.col("step")), "last": _place(F.col("high"), F.col("step"))})
+    ends = fine.agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    # one row; as a subquery it would be copied into every use of the step
+    chosen = ends.select(nice_step(F.col("low"), F.col("high"), bins).alias("step")).first()["step"]
+    step = F.struct(F.lit(chosen["k"]).alias("k"), F.lit(chosen["m"]).alias("m"))
+    placed = fine.withColumn("step", step).withColumns({"bin": _place(F.col("low"), F.col("step")), "last": _place(F.col("high"), F.col("step"))})
     cut = placed.filter("bin <> last").select("power", "digits")
     counts = placed.filter("bin = last").select("bin", "count")
     if not cut.isEmpty():
-        again = keyed.join(cut, ["power", "digits"], "left_semi").withColumn("step", step.scalar())
+        again = keyed.join(cut, ["power", "digits"], "left_semi").withColumn("step", step)
         counts = counts.unionByName(again.select(_place(F.col("v"), F.col("step")).alias("bin"), F.lit(1).cast("long").alias("count")))
-    total = counts.groupBy("bin").agg(F.sum("count").alias("count")).withColumn("step", step.scalar())
+    total = counts.groupBy("bin").agg(F.sum("count").alias("count")).withColumn("step", step)
     return total.select("bin", _edge(F.col("bin"), F.col("step")).alias("lower"), _edge(F.col("bin") + 1, F.col("step")).alias("upper"), "count").orderBy("bin")
 
 
