@@ -45,6 +45,8 @@ SHINGLE, PERCENT = 5, 80
 PIVOT_KEYS = 8
 #: At most so many shingles are known as frequent (1 MB); beyond, the order is by fingerprint alone.
 FREQUENT, FREQUENT_FROM = 1 << 17, 32
+#: Shingles whose counts a task holds while it looks for frequent ones; beyond, it forgets the rarest.
+HELD = 1 << 19
 #: A family member has this Jaccard similarity to its pivot at least (in hundredths).
 KIN = 50
 #: Families from this size on move to their most typical member, told from so many of them.
@@ -85,12 +87,33 @@ def _class_ids(every: np.ndarray, cut: np.ndarray) -> list[bytes]:
 
 
 def frequent(rows: DataFrame, n: int) -> np.ndarray:
-    """Shingles that recur within batches, the most frequent ones of the lowest quarter of the order."""
+    """The most frequent of the shingles that recur within tasks.
+
+    A task first counts by the leading bits of the fingerprint, in an array of fixed size; only shingles
+    whose bits came up before are counted themselves.
+    """
     def count(batches):
+        seen = np.zeros(1 << 23, np.uint16)
+        token, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting, size, level = [], 0, 1
+
+        def merged():
+            every, where = np.unique(np.concatenate([token, *waiting]), return_inverse=True)
+            return every, np.bincount(where, np.concatenate([times, np.ones(size, np.int64)]), len(every)).astype(np.int64)
+
         for _, _, _, every, _ in _sets(batches, n):
-            token, times = np.unique(every[every < np.uint64(1 << 62)], return_counts=True)
-            many = times > 2
-            yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(times[many])], ["token", "n"])
+            slot = (every >> np.uint64(41)).astype(np.int64)
+            np.add.at(seen, slot, np.uint16(1))
+            waiting.append(every[seen[slot] > 2])
+            size += len(waiting[-1])
+            if size >= HELD:
+                token, times = merged()
+                waiting, size = [], 0
+                while len(token) > HELD:  # forget the rarest
+                    token, times, level = token[times > level], times[times > level], level + 1
+        token, times = merged()
+        many = times > 2
+        yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(times[many])], ["token", "n"])
 
     top = (rows.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
            .filter(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT))
@@ -302,7 +325,12 @@ def within(classes: DataFrame, family: DataFrame, beyond: DataFrame, percent: in
     tokens = materialise(repeated(beyond, "added"), "shared-additions")
     some, _ = screen(beyond.select("c", "root", F.explode("added").alias("token")), F.col("token"), tokens)
     members = materialise(family.filter(F.col("c") != F.col("root")).select("c", "root", "n", (F.col("n") - F.col("extra")).alias("o"), "near"), "kin-sizes")
-    listed = materialise(some.join(tokens, "token", "left_semi").join(members, ["c", "root"]), "additions")
+    listed = some.join(tokens, "token", "left_semi").join(members, ["c", "root"])
+    # with all its shared additions and the least partner, a member must reach the threshold at all
+    listed = listed.withColumn("m", F.count("*").over(W.partitionBy("c", "root")))
+    least = F.ceil(percent * F.col("n") / 100)
+    listed = listed.filter((100 + percent) * (F.col("m") + F.col("o")) >= percent * (F.col("n") + least)).drop("m")
+    listed = materialise(listed, "additions")
     named = lambda df, *more: df.select(*(F.col(x).alias(f"l_{x}") for x in ("root", "c", "n", "o", "near", *more)))
     both = (F.col("l_root") == F.col("root")) & ~(F.col("l_near") & F.col("near")) & alike(F.col("l_n"), F.col("n"), percent)
     met = named(listed, "token").join(listed, both & (F.col("l_token") == F.col("token")) & (F.col("l_c") < F.col("c")))
