@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType, TimestampType
 
 from quakeloom.functions import grid
 from quakeloom.functions.numeric import is_known
@@ -37,7 +39,7 @@ def without_repeats(rows: DataFrame, keys: list[str], delay: str, ts: str = "ts"
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def newest_in_state(rows: DataFrame, keys: list[str], order: str, delay: str, ts: str = "ts") -> DataFrame:
+def newest_in_state(rows: DataFrame, keys: list[str], order: str, delay: str, ts: str = "ts", groups: int = 2048) -> DataFrame:
     """Changes of the newest version of each key, which streaming state holds until the key has been quiet for ``delay``.
 
     A row a key whose newest version changed in a batch, with ``expired`` false; it has the columns of
@@ -45,37 +47,58 @@ def newest_in_state(rows: DataFrame, keys: list[str], order: str, delay: str, ts
     version, the key is forgotten: one last row with ``expired`` true. A version that comes later founds
     the key anew. Of versions of equal ``order`` the first one held stays. Rows older than the
     watermark are dropped: unlike stored versions (:func:`keep_updated`) state is bounded by what ``delay`` holds.
+
+    A group of state holds the keys of one of ``groups`` hash values as a table, so that Python is called once a
+    group and batch rather than once a key. Like the state's partitions their number is fixed by the checkpoint.
     """
     names = [c for c in rows.columns if c not in (*keys, ts)]
     types = rows.schema
-    held = f"_ts long, {', '.join(f'`{c}` {types[c].dataType.simpleString()}' for c in names)}"
-    out = f"{', '.join(f'`{c}` {types[c].dataType.simpleString()}' for c in (*keys, *names))}, _ts long, expired boolean"
-
-    def follow(key, batches, state):
+    columns = [*keys, *names, "_ts"]
+    plain = ", ".join(f"`{c}` {types[c].dataType.simpleString()}" for c in (*keys, *names))
+    # pandas sees times without their zone
+    bare = lambda t: TimestampNTZType() if isinstance(t, TimestampType) else t
+    stored = to_arrow_schema(StructType([*[StructField(c, bare(types[c].dataType)) for c in (*keys, *names)],
+                                         StructField("_ts", LongType()), StructField("_due", LongType())]))
+
+    def follow(_, batches, state):
         import pandas as pd
-
-        if state.hasTimedOut:
-            moment, *kept = state.get
-            state.remove()
-            yield pd.DataFrame([(*key, *kept, moment, True)], columns=[*keys, *names, "_ts", "expired"])
-            return
-        now = state.get if state.exists else None
-        place = 1 + names.index(order)
-        best = now
-        for batch in batches:
-            for row in batch[["_ts", *names]].itertuples(index=False, name=None):
-                row = tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in row)
-                if best is None or row[place] > best[place]:
-                    best = row
-        if best is None or best is now:
-            return
-        state.update(best)
-        # the timer must lie after the watermark of the batch
-        state.setTimeoutTimestamp(max(best[0] // 1000, state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame([(*key, *best[1:], best[0], False)], columns=[*keys, *names, "_ts", "expired"])
-
-    marked = rows.filter(F.col(ts).isNotNull() & F.col(order).isNotNull()).withWatermark(ts, delay).withColumn("_ts", F.unix_micros(F.col(ts).cast("timestamp")))
-    changes = marked.groupBy(*keys).applyInPandasWithState(follow, out, held, "append", "EventTimeTimeout")
+        import pyarrow as pa
+
+        now = state.getCurrentWatermarkMs()
+        held = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else stored.empty_table().to_pandas()
+        new = [b[columns] for b in batches if len(b)]
+        came = pd.concat(new, ignore_index=True) if new else held.iloc[:0][columns]
+        # the newest first, of equal ones the first held: -1 marks rows that came in this batch
+        every = pd.concat([x for x in (held, came.assign(_due=-1)) if len(x)] or [held], ignore_index=True)
+        newest = every.sort_values(order, ascending=False, kind="stable").drop_duplicates(keys)
+        changed = newest[newest["_due"] == -1]
+        # a timer must lie after the watermark of its batch
+        due = (changed["_ts"] // 1000).clip(lower=now) + 1
+        rest = newest[newest["_due"] != -1]
+        gone = rest["_due"] < now
+        if len(changed) or gone.any():
+            kept = pd.concat([x for x in (rest[~gone], changed.assign(_due=due)) if len(x)] or [rest.iloc[:0]], ignore_index=True)
+            table = pa.Table.from_pandas(kept, schema=stored, preserve_index=False)
+            if len(kept):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, stored) as out:
+                    out.write_table(table)
+                state.update((sink.getvalue().to_pybytes(),))
+            elif state.exists:
+                state.remove()
+            if len(changed):
+                yield changed[columns].assign(expired=False)
+            if gone.any():
+                yield rest[gone][columns].assign(expired=True)
+        else:
+            kept = rest
+        if len(kept):
+            state.setTimeoutTimestamp(max(int(kept["_due"].min()), now, 1))
+
+    marked = rows.filter(F.col(ts).isNotNull() & F.col(order).isNotNull()).withWatermark(ts, delay).withColumns({
+        "_ts": F.unix_micros(F.col(ts).cast("timestamp")), "_group": F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int")})
+    changes = marked.groupBy("_group").applyInPandasWithState(
+        follow, f"{plain}, _ts long, expired boolean", "held binary", "append", "EventTimeTimeout")
     return changes.withColumn(ts, F.timestamp_micros("_ts")).drop("_ts")
 
 

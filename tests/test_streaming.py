@@ -200,3 +200,27 @@ def test_repeats_within_the_delay_are_dropped_after_a_restart_too(spark, folder)
     found = spark.read.schema("event_id STRING, ts TIMESTAMP, batch INT").parquet(f"{folder}/out").collect()
     assert sorted((r.event_id, r.batch) for r in found) == [("a", 0), ("a", 2), ("b", 0), ("b", 2), ("c", 1)]
     assert max(remembered) <= 4
+
+
+def test_newest_in_state_by_groups_of_keys(spark, folder):
+    batches = [
+        [("a", None, 1, 1.0, 1), ("a", "x", 1, 2.0, 2), ("a", "x", 1, 3.0, 2), ("b", None, 9, None, 3)],
+        [("b", None, 10, 9.0, 1), ("c", "y", 30, 4.0, 4)],     # an older version of b changes neither it nor its timer
+        [("b", None, 31, 5.0, 5), ("d", None, 2, 6.0, 6)],     # b is founded anew; d is older than the watermark
+    ]
+    schema = "k STRING, l STRING, ts TIMESTAMP, seen TIMESTAMP, magnitude DOUBLE, n LONG"
+    for rows in batches:
+        day = lambda d: datetime(2024, 1, d)
+        frame = spark.createDataFrame([(k, l, day(d), day(d) if k == "a" else None, m, n) for k, l, d, m, n in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(frame.schema).parquet(f"{folder}/in")
+        changes = live.newest_in_state(stream, ["k", "l"], "n", "3 days", groups=2)
+        out = changes.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
+        q = out.trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    found = spark.read.schema(changes.schema).parquet(f"{folder}/out").collect()
+    assert sorted((r.k, r.l or "", r.magnitude or 0.0, r.n, r.ts.day, r.expired) for r in found) == [
+        ("a", "", 1.0, 1, 1, False), ("a", "", 1.0, 1, 1, True), ("a", "x", 2.0, 2, 1, False), ("a", "x", 2.0, 2, 1, True),
+        ("b", "", 0.0, 3, 9, False), ("b", "", 0.0, 3, 9, True), ("b", "", 5.0, 5, 31, False), ("c", "y", 4.0, 4, 30, False)]
+    assert all(r.seen == (datetime(2024, 1, 1) if r.k == "a" else None) for r in found)
