@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -13,7 +15,6 @@ from pyspark.sql import functions as F
 from quakeloom.functions.numeric import is_known, known
 from quakeloom.functions.scoring import risk_tier
 from quakeloom.operators.sampling import split, stratified
-from quakeloom.session import materialise
 
 # fixed values: the model's inputs, by name and in order
 FEATURES = ["magnitude", "depth_km", "tsunami", "alert_idx", "is_shallow", "is_intermediate", "log_depth",
@@ -129,36 +130,67 @@ def write_tables(spark: SparkSession, model_path: str, path: str) -> None:
 def score_by_nodes(quakes: DataFrame, path: str) -> DataFrame:
     """event_id, predicted_score and predicted_tier from the written tables, level by level.
 
-    A row for each event and tree goes down the tree by joins with the node table, whose size the
-    number and depth of the trees bound; an event's rows stay in its task, so only sums are shuffled.
+    Every task holds the node table, whose size the number and depth of the trees bound, as arrays, and takes
+    the rows of a batch down all trees by lookups, so no row is copied for the trees or shuffled with them.
     Rows alike in id and features are one.
     """
     spark = quakes.sparkSession
     nodes, alerts = spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/alerts")
-    trees, depth, unknown = nodes.agg(F.max("tree") + 1).first()[0], _levels(nodes), alerts.count()
+    forest, unknown = spark.sparkContext.broadcast(_arrays(nodes)), alerts.count()
     x = features(quakes).join(alerts, "alert", "left").withColumn("alert_idx", F.coalesce("alert_idx", F.lit(float(unknown))))
-    at = x.select("event_id", F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("x"),
-                  F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
-    inner = nodes.filter("feature IS NOT NULL").select("tree", "node", "feature", "threshold", "categories", "left", "right")
-    mine = F.get("x", F.col("feature"))
-    goes_left = F.when(F.col("categories").isNotNull(), F.array_contains("categories", mine)).otherwise(mine <= F.col("threshold"))
-    for _ in range(depth):
-        at = at.join(inner, ["tree", "node"], "left").select(
-            "event_id", "x", "tree", F.when(F.col("feature").isNull(), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
-    leaves = nodes.select("tree", "node", "value")
-    scored = at.join(leaves, ["tree", "node"]).groupBy("event_id", "x").agg(F.avg("value").alias("predicted_score"))
+    rows = x.select("event_id", F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("x")).distinct()
+
+    def score_batches(batches):
+        for batch in batches:
+            values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column("event_id"), pa.array(_descend(forest.value, values))], ["event_id", "predicted_score"])
+
+    kind = rows.schema["event_id"].dataType.simpleString()
+    scored = rows.mapInArrow(score_batches, f"event_id {kind}, predicted_score double")
     return scored.select("event_id", "predicted_score", risk_tier("predicted_score").alias("predicted_tier"))
 
 
-def _levels(nodes: DataFrame) -> int:
-    """The number of steps from the roots to the deepest leaf: one aggregate a level over the small table."""
-    level = nodes.filter("node = 0").select("tree", "node")
-    depth = 0
+def _arrays(nodes: DataFrame) -> dict[str, np.ndarray]:
+    """The node table as arrays, trees one after another: where each row goes from a node, and the leaves' values.
+
+    A leaf leads to itself. ``listed`` has a row for each node with categories: whether a value goes left.
+    """
+    found = nodes.orderBy("tree", "node").collect()
+    at = {(r["tree"], r["node"]): i for i, r in enumerate(found)}
+    leaf = np.array([r["feature"] is None for r in found], bool)
+    sets = [r["categories"] for r in found]
+    listed = np.array([c is not None for c in sets], bool)
+    known = sorted({v for c in sets if c is not None for v in c})
+    member = np.zeros((int(listed.sum()), len(known) + 1), bool)  # the last column: a value that no node lists
+    for i, c in enumerate(c for c in sets if c is not None):
+        member[i, np.searchsorted(known, c)] = True
+    return {
+        "roots": np.array(sorted(i for (_, node), i in at.items() if node == 0), np.int32),
+        "feature": np.array([0 if x else r["feature"] for r, x in zip(found, leaf)], np.int64),
+        "threshold": np.array([np.inf if r["threshold"] is None else r["threshold"] for r in found], np.float64),
+        "set": np.where(listed, np.cumsum(listed) - 1, -1).astype(np.int32), "known": np.array(known, np.float64), "member": member,
+        "left": np.array([i if x else at[r["tree"], r["left"]] for i, (r, x) in enumerate(zip(found, leaf))], np.int32),
+        "right": np.array([i if x else at[r["tree"], r["right"]] for i, (r, x) in enumerate(zip(found, leaf))], np.int32),
+        "value": np.array([r["value"] for r in found], np.float64),
+    }
+
+
+def _descend(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The rows' mean over the trees."""
+    which, known = forest["set"], forest["known"]
+    node = np.tile(forest["roots"], (len(x), 1))
     while True:
-        below = nodes.join(level, ["tree", "node"]).filter("feature IS NOT NULL").select("tree", F.explode(F.array("left", "right")).alias("node"))
-        if below.isEmpty():
-            return depth
-        level, depth = materialise(below, "level"), depth + 1
+        mine = np.take_along_axis(x, forest["feature"][node], 1)
+        goes = mine <= forest["threshold"][node]
+        if len(known):
+            some = np.nonzero(which[node] >= 0)
+            place = np.minimum(np.searchsorted(known, mine[some]), len(known) - 1)
+            place[known[place] != mine[some]] = len(known)
+            goes[some] = forest["member"][which[node[some]], place]
+        after = np.where(goes, forest["left"][node], forest["right"][node])
+        if (after == node).all():
+            return forest["value"][node].mean(1)
+        node = after
 
 
 def importances_by_nodes(spark: SparkSession, path: str) -> DataFrame:
