@@ -70,7 +70,7 @@ def fit(train: DataFrame, trees: int = 100, depth: int = 8, seed: int = 42) -> P
     stages = [
         alert_indexer(),
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip"),
-        RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed),
+        RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True),
     ]
     return Pipeline(stages=stages).fit(train)
 

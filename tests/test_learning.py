@@ -86,6 +86,20 @@ def test_scores_from_the_node_table(spark, trained, tables):
     assert len(walked) == len(want) and all(abs(v - want[k][0]) < 1e-9 for k, v in walked)
 
 
+def test_scoring_copies_no_row_for_the_trees(spark, trained, tables):
+    plan = risk_forest.score_by_nodes(trained[0], tables)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_alike_in_id_and_features_are_scored_once(spark, tables, quake_rows):
+    row, other = dict(event_id="a", magnitude=6.0, alert="red"), dict(event_id="a", magnitude=3.0)
+    assert risk_forest.score_by_nodes(quake_rows(row, row, other, dict(magnitude=6.0), dict(magnitude=6.0)), tables).count() == 3
+
+
+def test_the_forest_keeps_the_nodes_of_its_rows(trained):
+    assert trained[2].stages[-1].getCacheNodeIds()
+
+
 def test_importances_from_gains(spark, trained, tables):
     want = {r.feature: r.importance for r in risk_forest.importances(spark, trained[2]).collect()}
     got = risk_forest.importances_by_nodes(spark, tables).collect()
