@@ -124,15 +124,16 @@ class Collection:
         order = [F.col(c).asc_nulls_last() if self.first else F.col(c).desc_nulls_last() for c in VERSION]
         return ranked_first(rows, self.keys, *order)
 
-    def upsert(self, rows: DataFrame, batch_id: int, writer: int = 0) -> None:
-        """Store one batch; ``rows`` carry ``_order`` and need not be unique.
+    def upsert(self, rows: DataFrame, batch_id: int, writer: int = 0, unique: bool = False) -> None:
+        """Store one batch; ``rows`` carry ``_order`` and need not be unique. Where the caller has
+        made them so, ``unique`` spares the shuffle that looks for repeats.
 
         Columns the batch does not carry keep their stored values.
         """
         rows = rows.withColumns({
             WRITER: F.lit(writer).cast("long"), BATCH: F.lit(batch_id).cast("long"),
             BUCKET: F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")})
-        newest = self._latest(rows)
+        newest = rows if unique else self._latest(rows)
         narrow = [c for c in self.columns if c not in newest.columns]
         if narrow:
             earlier = self._current(but=(writer, batch_id)).select(*self.keys, *narrow)

@@ -64,8 +64,8 @@ class CorrectedCells:
         rest = known.join(new.select(self.key), self.key, "left_anti").unionByName(new.select(self.key, *PLACE, "magnitude"))
         again = rest.join(open_, PLACE).groupBy(*PLACE).agg(F.first("event_count").alias("event_count"), F.max("magnitude").alias("max_mag"))
         after = settled.unionByName(again).withColumn(ORDER, F.lit(batch_id).cast("long"))
-        self.cells.upsert(after, batch_id, writer)
-        self.events.upsert(new, batch_id, writer)
+        self.cells.upsert(after, batch_id, writer, True)
+        self.events.upsert(new, batch_id, writer, True)
 
     def current(self) -> DataFrame:
         """day, grid_lat, grid_lon, event_count and max_mag of the cells that hold an event."""

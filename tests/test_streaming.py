@@ -163,6 +163,18 @@ def test_corrected_cells_follow_every_revision(spark, folder):
             view.compact()
 
 
+def test_corrected_cells_look_for_repeats_once(spark, folder, monkeypatch):
+    schema = "event_id STRING, latitude DOUBLE, longitude DOUBLE, magnitude DOUBLE, ts TIMESTAMP, _order BIGINT"
+    day, looked = datetime(2024, 1, 1), []
+    latest = Collection._latest
+    monkeypatch.setattr(Collection, "_latest", lambda self, rows: looked.append(self.path) or latest(self, rows))
+    view = CorrectedCells(spark, folder)
+    rows = [("a", 1.0, 1.0, 5.0, day, 1), ("a", 1.0, 1.0, 4.0, day, 2), (None, 1.0, 1.0, 1.0, day, 3), (None, 1.0, 1.0, 3.0, day, 4)]
+    view.apply(spark.createDataFrame(rows, schema), 0)
+    assert not looked
+    assert [(r.event_count, r.max_mag) for r in view.current().collect()] == [(2, 4.0)]
+
+
 def test_a_batch_cut_off_between_its_writes_is_made_good(spark, folder, monkeypatch):
     schema = "event_id STRING, latitude DOUBLE, longitude DOUBLE, magnitude DOUBLE, ts TIMESTAMP, _order BIGINT"
     first = spark.createDataFrame([("a", 1.0, 1.0, 5.0, datetime(2024, 1, 1), 1)], schema)
