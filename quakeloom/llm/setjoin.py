@@ -13,7 +13,8 @@ answers are computed from whole sets; a member's follow incrementally, from what
 lacks of its pivot and what it has beyond it. Members linked to their pivot are in
 its component. Of a family's other pairs, one with a member too far from the pivot
 must share shingles that the pivot lacks, so only members that share such are
-compared: these lists hold what single copies changed, however many copies there are.
+compared, by a prefix filter of their own with the family's rarest additions first;
+their overlap follows from the differences, and no whole set travels for it.
 For pairs across families the overlap of the pivots bounds the members'; only pairs
 that the bound leaves open are compared.
 
@@ -164,12 +165,16 @@ def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
     return rows.mapInArrow(build, "k1 long, k2 long, doc_id long, n int, c binary, keys array<long>, prefix array<long>, stop double")
 
 
+def mark(c: Column) -> Column:
+    """The leading 64 bits of a set's fingerprint, for screens."""
+    return F.conv(F.hex(F.substring(c, 1, 8)), 16, -10).cast("long")
+
+
 def one_each(table: DataFrame) -> DataFrame:
     """The described rows with a shingle, one of each set: rows without an equal pass without a shuffle where the screen applies."""
     rows = table.filter("n > 0")
     groups = rows.groupBy("c").agg(F.count("*").alias("m"), F.min(F.struct("k1", "k2")).alias("k")).filter("m > 1").select("c", "k")
     groups = materialise(groups, "equal-sets")
-    mark = lambda c: F.conv(F.hex(F.substring(c, 1, 8)), 16, -10).cast("long")
     twice, lone = screen(rows, mark(F.col("c")), groups.select(mark(F.col("c")).alias("h")).distinct())
     met = twice.join(groups, "c", "left").filter(F.col("k").isNull() | ((F.col("k.k1") == F.col("k1")) & (F.col("k.k2") == F.col("k2"))))
     # whole rows that repeat agree in their keys too
@@ -252,10 +257,10 @@ def alike(na: Column, nb: Column, percent: int) -> Column:
 
 
 def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links of classes to pivots; the families; and what members have beyond their roots (c, root, added).
+    """Links of classes to pivots; the families; and the members with what they have beyond their roots and lack of them.
 
     A family row has c, n, stop, root, away (shingles of the root that c lacks), extra (of c that the root
-    lacks) and near (linked to the root).
+    lacks) and near (linked to the root); a member c, n, root, o (shingles shared with it), near, added and gone.
     """
     keys = classes.select("c", "n", F.explode("keys").alias("key"))
     groups = keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
@@ -282,31 +287,35 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
     near = enough(o, F.col("n"), F.col("nr"), percent)
     links = links.unionByName(members.filter(near & (F.col("c") != F.col("root"))).select(F.col("c").alias("a"), F.col("root").alias("b"))).distinct()
     kept = members.filter(enough(o, F.col("n"), F.col("nr"), KIN) & (F.col("c") != F.col("root"))).select(
-        F.col("c").alias("k"), "root", F.size("gone").alias("away"), F.size("added").alias("extra"), near.alias("near"), "added")
+        F.col("c").alias("k"), F.col("n").alias("nk"), "root", F.size("gone").alias("away"), F.size("added").alias("extra"), near.alias("near"), "added", "gone")
     kept = materialise(kept, "kept")
-    family = classes.select("c", "n", "stop").join(kept.drop("added"), F.col("c") == F.col("k"), "left").select(
+    family = classes.select("c", "n", "stop").join(kept.drop("nk", "added", "gone"), F.col("c") == F.col("k"), "left").select(
         "c", "n", "stop", F.coalesce("root", "c").alias("root"), F.coalesce("away", F.lit(0)).alias("away"),
         F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("near", F.lit(True)).alias("near"))
-    return materialise(links, "pivot-links"), materialise(family, "families"), kept.select(F.col("k").alias("c"), "root", "added")
+    return materialise(links, "pivot-links"), materialise(family, "families"), kept.select(
+        F.col("k").alias("c"), F.col("nk").alias("n"), "root", (F.col("nk") - F.col("extra")).alias("o"), "near", "added", "gone")
 
 
 def moved(members: DataFrame) -> DataFrame:
     """Members (c, n, root, nr, added, gone), and the roots themselves, of large families seen from their most typical member.
 
-    Which one that is shows in the differences from the root that most of some members have. What the
-    others differ by from it follows from what both differ by from the old root.
+    The differences from the root that most of some members have make up what is typical of the family; of
+    all members the one that differs least from that is the new root. What the others differ by from it
+    follows from what both differ by from the old root.
     """
     none = F.array().cast("array<bigint>")
     roots = members.groupBy(F.col("root").alias("c"), F.col("nr").alias("n")).agg(F.count("*").alias("m"))
     own = roots.filter(F.col("m") >= LARGE).select("c", "n", F.col("c").alias("root"), F.col("n").alias("nr"), none.alias("added"), none.alias("gone"))
     every = members.unionByName(own)
     some = members.join(own.select("root"), "root", "left_semi").withColumn("i", F.row_number().over(W.partitionBy("root").orderBy("c"))).filter(F.col("i") <= TOLD)
-    differs = materialise(some.select("root", "c", F.explode(F.concat("added", "gone")).alias("token")), "differences")
-    told = differs.groupBy("root").agg(F.count_distinct("c").alias("m"))
-    weight = differs.groupBy("root", "token").agg(F.count("*").alias("k")).join(told, "root").select("root", "token", (2 * F.col("k") - F.col("m")).alias("w"))
-    typical = differs.join(weight, ["root", "token"]).groupBy("root", "c").agg(F.sum("w").alias("w")).filter("w > 0")
-    chosen = typical.groupBy("root").agg(F.max(F.struct("w", "c")).alias("x")).select("root", F.col("x.c").alias("c"))
-    hub = materialise(members.join(chosen, ["root", "c"]).select("root", F.col("c").alias("hub"), F.col("n").alias("nh"), F.col("added").alias("plus"), F.col("gone").alias("minus")), "hubs")
+    told = some.groupBy("root").agg(F.count("*").alias("m"))
+    differs = some.select("root", F.explode(F.concat("added", "gone")).alias("token")).groupBy("root", "token").agg(F.count("*").alias("k"))
+    usual = differs.join(told, "root").filter(2 * F.col("k") > F.col("m")).groupBy("root").agg(F.collect_list("token").alias("usual"))
+    usual = materialise(usual, "usual-differences")
+    from_root = F.concat("added", "gone")
+    away = F.size(from_root) + F.size("usual") - 2 * F.size(F.array_intersect(from_root, "usual"))
+    chosen = every.join(usual, "root").groupBy("root").agg(F.min(F.struct(away, "c")).alias("x")).select("root", F.col("x.c").alias("c"))
+    hub = materialise(every.join(chosen, ["root", "c"]).select("root", F.col("c").alias("hub"), F.col("n").alias("nh"), F.col("added").alias("plus"), F.col("gone").alias("minus")), "hubs")
     far = every.join(hub, "root", "left")
     seen = lambda a, b, c, d: F.concat(F.array_except(a, b), F.array_except(c, d))
     to = F.col("hub").isNotNull()
@@ -315,38 +324,44 @@ def moved(members: DataFrame) -> DataFrame:
                       F.when(to, seen("plus", "added", "gone", "minus")).otherwise(F.col("gone")).alias("gone"))
 
 
-def within(classes: DataFrame, family: DataFrame, beyond: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one family, one of them far at least, that their overlap with the root leaves open.
+def within(beyond: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one family, one of them far from the root at least.
 
     Both overlap the root in some of its shingles; what a link needs beyond the lesser overlap they must
-    share among what the root lacks. It needs nothing more only if one of them is smaller than the root by
-    enough, so such pairs meet by their sizes.
+    share among what the root lacks. So the prefix filter holds for these additions too, in an order by the
+    number of the family's members that have them: one that many share is in few prefixes. A link needs no
+    addition only if one of the two is smaller than the root by enough, so such pairs meet by their sizes.
+    The overlap of the pairs found follows from what either has beyond the root and lacks of it.
     """
+    facts = ["c", "root", "n", "o", "near"]
+    members = beyond.select(*facts)
     tokens = materialise(repeated(beyond, "added"), "shared-additions")
-    some, _ = screen(beyond.select("c", "root", F.explode("added").alias("token")), F.col("token"), tokens)
-    members = materialise(family.filter(F.col("c") != F.col("root")).select("c", "root", "n", (F.col("n") - F.col("extra")).alias("o"), "near"), "kin-sizes")
-    listed = some.join(tokens, "token", "left_semi").join(members, ["c", "root"])
-    # with all its shared additions and the least partner, a member must reach the threshold at all
-    listed = listed.withColumn("m", F.count("*").over(W.partitionBy("c", "root")))
+    listed, _ = screen(beyond.select(*facts, F.explode("added").alias("token")), F.col("token"), tokens)
+    one = W.partitionBy("root", "token")
+    listed = listed.withColumns({"f": F.count("*").over(one), "far": F.count_if(~F.col("near")).over(one)}).filter((F.col("f") > 1) & (F.col("far") > 0))
+    own = W.partitionBy("root", "c")
+    listed = listed.withColumns({"m": F.count("*").over(own), "i": F.row_number().over(own.orderBy("f", "token"))})
+    # what c has to share with the least partner there may be; its last additions but as many are the prefix
     least = F.ceil(percent * F.col("n") / 100)
-    listed = listed.filter((100 + percent) * (F.col("m") + F.col("o")) >= percent * (F.col("n") + least)).drop("m")
-    listed = materialise(listed, "additions")
-    named = lambda df, *more: df.select(*(F.col(x).alias(f"l_{x}") for x in ("root", "c", "n", "o", "near", *more)))
+    short = F.ceil(percent * (F.col("n") + least) / (100 + percent)) - F.col("o")
+    listed = listed.filter(F.col("i") <= F.col("m") - F.greatest(short, F.lit(1)) + 1)
+    listed = materialise(listed.select(*facts, "token", (F.col("m") - F.col("i") + 1).alias("rest")), "additions")
+    named = lambda df, *more: df.select(*(F.col(x).alias(f"l_{x}") for x in (*facts, *more)))
     both = (F.col("l_root") == F.col("root")) & ~(F.col("l_near") & F.col("near")) & alike(F.col("l_n"), F.col("n"), percent)
-    met = named(listed, "token").join(listed, both & (F.col("l_token") == F.col("token")) & (F.col("l_c") < F.col("c")))
-    pairs = met.groupBy("l_c", "l_n", "l_o", "c", "n", "o").agg(F.count("*").alias("common"))
     need = lambda most: (100 + percent) * most >= percent * (F.col("l_n") + F.col("n"))
-    sharing = pairs.filter(need(F.col("common") + F.least("l_o", "o")))
+    sharing = named(listed, "token", "rest").join(listed, both & (F.col("l_token") == F.col("token")) & (F.col("l_c") < F.col("c"))
+                                                  & need(F.least("l_rest", "rest") + F.least("l_o", "o")))
     # of the far ones, those that lie in the root mostly, with each size that the other may have
     last = F.floor((100 + percent) * F.col("o") / percent).cast("int") - F.col("n")
     first = F.ceil(percent * F.col("n") / 100).cast("int")
     far = members.filter(~F.col("near") & (last >= first)).withColumn("size", F.explode(F.sequence(first, last)))
     inside = named(far, "size").join(members, both & (F.col("l_size") == F.col("n")) & (F.col("l_c") != F.col("c")) & need(F.least("l_o", "o")))
-    found = sharing.select("l_c", "l_n", "c", "n").unionByName(inside.select("l_c", "l_n", "c", "n"))
-    swap = F.col("l_c") > F.col("c")
-    order = lambda x: [F.when(swap, F.col(x)).otherwise(F.col(f"l_{x}")), F.when(swap, F.col(f"l_{x}")).otherwise(F.col(x))]
-    (a, b), (na, nb) = order("c"), order("n")
-    return found.select(a.alias("a"), na.alias("na"), b.alias("b"), nb.alias("nb"))
+    found = sharing.select("l_c", "c").unionByName(inside.select(F.least("l_c", "c").alias("l_c"), F.greatest("l_c", "c").alias("c"))).distinct()
+    found = materialise(found, "family-pairs")
+    side = beyond.select("c", "n", "o", "added", "gone")
+    met = found.join(side, "c").join(side.select(*(F.col(x).alias(f"l_{x}") for x in side.columns)), "l_c")
+    shared = F.size(F.array_intersect("added", "l_added")) + F.size(F.array_intersect("gone", "l_gone")) + F.col("o") - F.size("l_gone")
+    return met.filter(enough(shared, F.col("l_n"), F.col("n"), percent)).select(F.col("l_c").alias("a"), F.col("c").alias("b"))
 
 
 def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -357,21 +372,31 @@ def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(two.select("c", F.coalesce("up", "via").alias("met")), "joined")
 
 
-def candidates(classes: DataFrame, family: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+def candidates(classes: DataFrame, family: DataFrame, beyond: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """Pairs of different roots, not connected already, whose families can hold a link: a, na, b, nb.
 
     The prefix that ends first in the order has all its common shingles in the other prefix, so those
     found in the lists, and what follows that prefix, bound the overlap; so does what follows the
     first common shingle in either set.
     """
-    postings = classes.select("c", F.posexplode("prefix").alias("i", "token"))
     shared = materialise(repeated(classes, "prefix"), "shared-shingles")
-    some, _ = screen(postings, F.col("token"), shared)
+    # most classes are their own root and need not be looked up among the members
+    roots = beyond.select("c", "root")
+    some, alone = screen(classes.select("c", "n", "prefix"), mark(F.col("c")), beyond.select(mark(F.col("c")).alias("h")).distinct())
+    rooted = some.join(roots, "c", "left").select(F.coalesce("root", "c").alias("root"), "n", "prefix")
+    if alone is not None:
+        rooted = rooted.unionByName(alone.select(F.col("c").alias("root"), "n", "prefix"))
     block = F.floor(F.log(F.col("n").cast("double")) / (F.log(F.lit(100.0 / percent)) * 1.0001)).cast("int")
-    listed = some.join(shared, "token", "left_semi").join(family, "c").select("token", "root", "n", "i", block.alias("block"))
+    some, rare = screen(rooted.select("root", "n", F.posexplode("prefix").alias("i", "token")), F.col("token"), shared)
+    if rare is None:
+        some = some.join(shared, "token", "left_semi")
     # one entry for a family in a block of a list: its sizes and its earliest position
-    listed = materialise(listed.groupBy("token", "block", "root").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("i")).alias("rest")), "lists")
+    listed = some.select("token", "root", "n", "i", block.alias("block")).repartition("token").groupBy("token", "block", "root").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("i")).alias("rest"))
+    # lists of one family join nothing
+    one = W.partitionBy("token")
+    listed = listed.withColumns({"from": F.min("root").over(one), "to": F.max("root").over(one)}).filter(F.col("from") < F.col("to")).drop("from", "to")
+    listed = materialise(listed, "lists")
     left = listed.select(*(F.col(x).alias(f"l_{x}") for x in listed.columns), F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
     shares = left.join(listed, (F.col("l_token") == F.col("token")) & (F.col("l_block") + F.col("step") == F.col("block"))
                     & (F.col("l_root") != F.col("root"))
@@ -423,10 +448,9 @@ def class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> Da
     """Links (a, b) between classes from which every other link's ends can be reached."""
     own, family, beyond = kin(rows, classes, n, percent)
     linked = enough(F.col("o"), F.col("na"), F.col("nb"), percent)
-    met = overlaps(rows, classes, candidates(classes, family, joined(classes, own), percent), n)
-    finer = across(met, family, percent).unionByName(within(classes, family, beyond, percent))
-    finer = materialise(finer.distinct(), "member-pairs")
-    found = own.unionByName(met.filter(linked).select("a", "b"))
+    met = overlaps(rows, classes, candidates(classes, family, beyond, joined(classes, own), percent), n)
+    finer = materialise(across(met, family, percent).distinct(), "member-pairs")
+    found = own.unionByName(met.filter(linked).select("a", "b")).unionByName(within(beyond, percent))
     if not finer.isEmpty():
         found = found.unionByName(overlaps(rows, classes, finer, n).filter(linked).select("a", "b"))
     return materialise(found, "links")

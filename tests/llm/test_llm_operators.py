@@ -219,6 +219,44 @@ def test_components_of_near_copies(spark, seed):
     assert kept == {c for _, _, c in brute.components(rows, 4, 85)}
 
 
+def test_links_within_a_family(spark):
+    """Sharing additions, or lying in the root mostly; a common addition of many far members pairs few of them."""
+    rng = np.random.default_rng(4)
+    root, rows, added = np.arange(1000, 1100), {}, {}
+    # far members that all share two additions, and some that share many more with another
+    for i in range(300):
+        gone = rng.choice(100, 20, replace=False)
+        more = [1, 2, *range(10_000 + 40 * (i // 3), 10_000 + 40 * (i // 3) + (18 if i < 60 else 0)), *range(50_000 + 40 * i, 50_000 + 40 * i + (2 if i < 60 else 18))]
+        rows[i], added[i] = np.r_[np.delete(root, rng.choice(100, 20, replace=False) if i >= 60 else np.arange(20)), more], more
+    for i in range(300, 310):  # less than the root, two alike
+        rows[i], added[i] = root[:60 + i // 2 % 5 * 4], []
+    for i in range(310, 330):  # near the root
+        rows[i], added[i] = np.r_[root, 1, 2, 90_000 + i], [1, 2, 90_000 + i]
+    sets = {i: set(map(int, x)) for i, x in rows.items()}
+    base = set(map(int, root))
+    key = lambda i: i.to_bytes(16, "big")
+    linked = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
+    near = {i: linked(s, base) for i, s in sets.items()}
+    beyond = spark.createDataFrame(
+        [(bytearray(key(i)), len(s), bytearray(key(9999)), len(s & base), near[i], sorted(s - base), sorted(base - s)) for i, s in sets.items()],
+        "c binary, n int, root binary, o int, near boolean, added array<bigint>, gone array<bigint>")
+    want = {(key(i), key(j)) for i in sets for j in sets if i < j and not (near[i] and near[j]) and linked(sets[i], sets[j])}
+    found = [(bytes(a), bytes(b)) for a, b in setjoin.within(beyond, 85).collect()]
+    assert len(found) == len(set(found)) and set(found) == want and 60 < len(want) < 200
+
+
+def test_large_families_move_to_what_is_typical(spark):
+    """The member that differs least from the usual set is the root, wherever it stands among the members."""
+    rng = np.random.default_rng(3)
+    rows = [(f"{i:03}", int(60), "root", 60, sorted([1, 2, 3, *(1000 + 20 * i + k for k in range(8))]), sorted([50, 51, 52, *map(int, rng.choice(50, 8, replace=False))])) for i in range(100)]
+    rows.append(("999", 60, "root", 60, [1, 2, 3], [50, 51, 52]))
+    found = setjoin.moved(spark.createDataFrame(rows, "c string, n int, root string, nr int, added array<bigint>, gone array<bigint>")).collect()
+    assert {r["root"] for r in found} == {"999"} and len(found) == 102
+    by = {r["c"]: (set(r["added"]), set(r["gone"])) for r in found}
+    assert by["999"] == (set(), set()) and by["root"] == ({50, 51, 52}, {1, 2, 3})
+    assert by["007"] == (set(range(1140, 1148)), set(rows[7][5]) - {50, 51, 52})
+
+
 def test_frequent_shingles_change_no_result(documents, monkeypatch):
     want = brute.components(rows_of(documents), 4, 85)
     names, _, _, at = common.word_hashes(*common.text_bytes(documents.select("text").toArrow().column(0).combine_chunks()), lower=True)
