@@ -216,10 +216,12 @@ def overlaps(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, beyo
     """pairs (a, na, b, nb) with ``o``, the size of the intersection of the two sets, and for kin ``added`` and ``gone``, a without b and b without a.
 
     The one set of each pair travels to the other, once a pair; of the documents only those of a pair travel.
+    Other columns of the pairs stay.
     """
+    kept = [c for c in pairs.columns if c not in ("a", "b")]
     keyed = classes.select("c", "k1", "k2")
     left = pairs.join(keyed.withColumnRenamed("c", "a"), "a").groupBy("k1", "k2").agg(
-        F.first("a").alias("c"), F.collect_list(F.struct("b", "na", "nb")).alias("to"))
+        F.first("a").alias("c"), F.collect_list(F.struct("b", *kept)).alias("to"))
     right = keyed.join(pairs.select(F.col("b").alias("c")).distinct(), "c").select("k1", "k2", "c")
 
     def sets_of(wanted: DataFrame, label: str) -> DataFrame:
@@ -239,7 +241,7 @@ def overlaps(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, beyo
 
     sent = sets_of(left, "left").select(F.col("c").alias("a"), F.col("s").alias("sa"), F.explode("to").alias("t")).select("a", "sa", "t.*")
     met = sent.join(sets_of(right, "right").select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
-    found = met.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"),
+    found = met.select("a", "b", *kept, F.size(F.array_intersect("sa", "sb")).alias("o"),
                        *([F.array_except("sa", "sb").alias("added"), F.array_except("sb", "sa").alias("gone")] if beyond else []))
     if beyond:
         like = enough(F.col("o"), F.col("na"), F.col("nb"), KIN)
@@ -263,8 +265,7 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
     lacks) and near (linked to the root); a member c, n, root, o (shingles shared with it), near, added and gone.
     """
     keys = classes.select("c", "n", F.explode("keys").alias("key"))
-    groups = keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    shared = materialise(keys.join(groups, "key"), "shared-keys")
+    shared = materialise(keys.withColumn("m", F.count("*").over(W.partitionBy("key"))).filter("m > 1"), "shared-keys")
     # a class whose keys many others have is central: an unedited copy rather than an edited one
     ranked = shared.join(shared.groupBy("c").agg(F.sum("m").alias("score")), "c")
     pivots = ranked.groupBy("key").agg(F.max(F.struct("score", "c", "n")).alias("p"))
@@ -273,8 +274,7 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
     # each class is compared to the most central pivot and to the one it has most in common with
     two = met.groupBy("a", "na").agg(F.array_distinct(F.array(F.max(F.struct("p", "m"))["p"], F.max(F.struct("m", "p"))["p"])).alias("ps"))
     pairs = materialise(two.select("a", "na", F.explode("ps").alias("p")).select("a", "na", F.col("p.c").alias("b"), F.col("p.n").alias("nb"), "p.score"), "pivot-pairs")
-    known = overlaps(rows, classes, pairs.drop("score"), n, beyond=True).join(pairs.select("a", "b", "score"), ["a", "b"])
-    known = materialise(known, "pivot-overlaps")
+    known = overlaps(rows, classes, pairs, n, beyond=True)
     near = enough(F.col("o"), F.col("na"), F.col("nb"), percent)
     links = known.filter(near).select("a", "b")
     best = known.filter(F.col("added").isNotNull()).groupBy(F.col("a").alias("c")).agg(
@@ -288,7 +288,6 @@ def kin(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> tuple[Data
     links = links.unionByName(members.filter(near & (F.col("c") != F.col("root"))).select(F.col("c").alias("a"), F.col("root").alias("b"))).distinct()
     kept = members.filter(enough(o, F.col("n"), F.col("nr"), KIN) & (F.col("c") != F.col("root"))).select(
         F.col("c").alias("k"), F.col("n").alias("nk"), "root", F.size("gone").alias("away"), F.size("added").alias("extra"), near.alias("near"), "added", "gone")
-    kept = materialise(kept, "kept")
     family = classes.select("c", "n", "stop").join(kept.drop("nk", "added", "gone"), F.col("c") == F.col("k"), "left").select(
         "c", "n", "stop", F.coalesce("root", "c").alias("root"), F.coalesce("away", F.lit(0)).alias("away"),
         F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("near", F.lit(True)).alias("near"))

@@ -219,8 +219,16 @@ def test_components_of_near_copies(spark, seed):
     assert kept == {c for _, _, c in brute.components(rows, 4, 85)}
 
 
-def test_links_within_a_family(spark):
+def test_links_within_a_family(spark, monkeypatch):
     """Sharing additions, or lying in the root mostly; a common addition of many far members pairs few of them."""
+    made = {}
+
+    def told(df, label):
+        out = common.materialise(df, label)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(setjoin, "materialise", told)
     rng = np.random.default_rng(4)
     root, rows, added = np.arange(1000, 1100), {}, {}
     # far members that all share two additions, and some that share many more with another
@@ -243,6 +251,7 @@ def test_links_within_a_family(spark):
     want = {(key(i), key(j)) for i in sets for j in sets if i < j and not (near[i] and near[j]) and linked(sets[i], sets[j])}
     found = [(bytes(a), bytes(b)) for a, b in setjoin.within(beyond, 85).collect()]
     assert len(found) == len(set(found)) and set(found) == want and 60 < len(want) < 200
+    assert made["family-pairs"] < 500  # of 44,850 far pairs that share an addition
 
 
 def test_large_families_move_to_what_is_typical(spark):
